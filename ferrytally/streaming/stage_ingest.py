@@ -16,8 +16,8 @@ from ferrytally.sources.readers import CORRUPT
 def ingest_stage(
     spark: SparkSession, directory: str, target: str, schema: T.StructType, checkpoint: str,
     pattern: str = "*.csv*", files_per_batch: int = 1000,
-) -> int:
-    """Append the new staged files to a parquet target; returns the number of rows read.
+) -> None:
+    """Append the files staged since the last call to a parquet target.
 
     ``checkpoint`` is a folder in shared storage that belongs to this target. Rows that do not fit
     the schema are skipped.
@@ -36,4 +36,3 @@ def ingest_stage(
         .trigger(availableNow=True).start(target)
     )
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
