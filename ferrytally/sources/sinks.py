@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferrytally.columns import col
+from ferrytally.columns import col, cols
 from ferrytally.functions.names import rename_columns, warehouse_name
 from ferrytally.operators.cleaning import blank_to_null
 from ferrytally.sources.readers import CORRUPT, is_path, read_ref
@@ -52,31 +52,45 @@ def write_stage(df: DataFrame, directory: str, name: str, file_rows: int = STAGE
     return target
 
 
-def _stage_reader(spark: SparkSession, schema: T.StructType, pattern: str, quoted: bool):
-    # Staged files are gzip, read whole by one task each, so multi-line values cost nothing.
-    # Pruned columns are still parsed: a bad field rejects its row whatever is selected.
-    return (
-        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
-        .option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", pattern).option("recursiveFileLookup", True).option("columnPruning", False)
-        .option("quote", '"' if quoted else "").option("escape", '"').option("multiLine", quoted)
-        .option("enforceSchema", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-    )
+def stage_options(quoted: bool) -> dict[str, object]:
+    """Reader options of staged CSV. Gzip files are read whole, so multi-line values cost nothing."""
+    return {
+        "header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "recursiveFileLookup": True,
+        "columnPruning": False, "quote": '"' if quoted else "", "escape": '"', "multiLine": quoted,
+        "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    }
+
+
+def with_record(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def all_parsed(schema: T.StructType) -> Column:
+    """A condition that always holds but reads every column.
+
+    Spark converts only the columns a query uses, so a row's bad field would go unnoticed when its
+    column is not selected. With this, whether a row fits does not depend on the selection.
+    """
+    return F.pmod(F.hash(*cols(schema.fieldNames())), F.lit(2)) < 2
+
+
+def _stage_rows(spark: SparkSession, directory: str, schema: T.StructType, pattern: str, quoted: bool) -> DataFrame:
+    reader = spark.read.schema(with_record(schema)).options(**stage_options(quoted)).option("pathGlobFilter", pattern)
+    return reader.csv(directory).filter(all_parsed(schema))
 
 
 def read_stage(
     spark: SparkSession, directory: str, schema: T.StructType, pattern: str = "*.csv*", quoted: bool = True
 ) -> DataFrame:
     """Rows of staged files that fit the schema."""
-    rows = _stage_reader(spark, schema, pattern, quoted).csv(directory)
-    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return _stage_rows(spark, directory, schema, pattern, quoted).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def load_rejects(
     spark: SparkSession, directory: str, schema: T.StructType, pattern: str = "*.csv*", quoted: bool = True
 ) -> DataFrame:
     """Staged records that do not fit the schema, as read, with the file they came from."""
-    rows = _stage_reader(spark, schema, pattern, quoted).csv(directory)
+    rows = _stage_rows(spark, directory, schema, pattern, quoted)
     file_name = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)$", 1)
     return rows.withColumn("file_name", file_name).filter(F.col(CORRUPT).isNotNull()).select(
         F.col(CORRUPT).alias("record"), "file_name"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrytally.sources.readers import CORRUPT
+from ferrytally.sources.sinks import all_parsed, stage_options, with_record
 
 
 def ingest_stage(
@@ -23,15 +24,11 @@ def ingest_stage(
     the schema are skipped.
     """
     stream = (
-        spark.readStream.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
-        .option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", pattern).option("recursiveFileLookup", True).option("columnPruning", False)
-        .option("quote", '"').option("escape", '"').option("multiLine", True)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-        .option("maxFilesPerTrigger", files_per_batch).csv(directory)
+        spark.readStream.schema(with_record(schema)).options(**stage_options(quoted=True))
+        .option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch).csv(directory)
     )
     query = (
-        stream.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        stream.filter(all_parsed(schema) & F.col(CORRUPT).isNull()).drop(CORRUPT)
         .writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start(target)
     )
