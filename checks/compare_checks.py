@@ -126,12 +126,17 @@ def compare_lines(spark, sf):
     return report.compare_tables(*lines_pair(spark, sf), LINE_KEYS).summary
 
 
+def _hot_limit(df):
+    """A twentieth of the rows, so that small tables have hot keys too."""
+    return df.count() // 20
+
+
 @query("compare_tables_hot_key",
        oracle(["hot_left", "hot_right"], totals_sql("hot_left", "hot_right", ["l_orderkey"], HOT)))
 def compare_hot(spark, sf):
-    """A third of all rows share one (NULL) key; the limit is low so that it counts as hot at any scale."""
+    """A third of all rows share one (NULL) key, which counts as hot at every scale."""
     left, right = frame(spark, sf, "hot_left"), frame(spark, sf, "hot_right")
-    return report.compare_tables(left, right, ["l_orderkey"], hot_rows=1000).summary
+    return report.compare_tables(left, right, ["l_orderkey"], hot_rows=_hot_limit(left)).summary
 
 
 @query("compare_tables_identical", totals_sql("lineitem", "lineitem", LINE_KEYS, LINES))
@@ -260,7 +265,8 @@ def occurrence_number(spark, sf):
 @query("occurrence_number_hot_key", oracle(["hot_left"], f"""
 SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_order(HOT, ['l_orderkey'])}) AS occurrence FROM hot_left"""))
 def occurrence_number_hot_key(spark, sf):
-    return compare.occurrence_number(frame(spark, sf, "hot_left"), ["l_orderkey"], hot_rows=1000)
+    left = frame(spark, sf, "hot_left")
+    return compare.occurrence_number(left, ["l_orderkey"], hot_rows=_hot_limit(left))
 
 
 @query("string_keys", oracle(["text_key_orders"], """

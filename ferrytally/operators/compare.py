@@ -10,12 +10,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrytally.columns import col, cols, partner_keys, same_key
-from ferrytally.operators.numbering import HOT_ROWS, Multiplicity, first_rows, multiplicity, number_within
+from ferrytally.operators.numbering import (
+    HOT_ROWS, KeyProfile, first_rows, hot_keys, number_hot, number_within, profile_keys, split_hot,
+)
 
 OCCURRENCE = "occurrence"
 SIDE = "side"
@@ -71,22 +73,39 @@ def prepare(left: DataFrame, right: DataFrame, keys: list[str], keys_as_text: bo
     )
 
 
-def occurrence_number(
-    df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, known: Multiplicity | None = None
-) -> DataFrame:
+def occurrence_number(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """n-th occurrence of each key, rows of a key ordered by all other columns."""
     others = [c for c in df.columns if c not in keys]
-    return number_within(df, keys, others, OCCURRENCE, hot_rows, known)
+    return number_within(df, keys, others, OCCURRENCE, hot_rows)
 
 
 def _joined(pair: Pair, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Full outer match with columns ``l.<c>``/``r.<c>`` as ``l_i``/``r_i`` and presence flags."""
+    """Full outer match: keys, occurrence, side, and common column ``i`` as ``l_<i>`` and ``r_<i>``.
+
+    The plan follows the measured keys. Unique keys are joined directly. Repeated keys are paired
+    after a single exchange of both sides. Keys too frequent for one task are numbered apart and
+    joined on ``(keys, occurrence)``.
+    """
+    keys = pair.keys
+    left = pair.left.select(*cols(keys), *cols(pair.common))
+    right = pair.right.select(*cols(keys), *cols(pair.common))
+    profile = profile_keys([left, right], keys, hot_rows)
+    if profile.largest <= 1:
+        one = F.lit(1).cast("bigint")
+        return _join_numbered(left.withColumn(OCCURRENCE, one), right.withColumn(OCCURRENCE, one), pair, profile)
+    if profile.hot_keys == 0:
+        return _pair_repeated(left, right, pair)
+    hot = hot_keys([left, right], keys, hot_rows)
+    total = hot.agg(F.sum("__n")).first()[0]
+    left_cold, left_hot = split_hot(left, hot, keys, profile.hot_keys)
+    right_cold, right_hot = split_hot(right, hot, keys, profile.hot_keys)
+    numbered = [number_hot(df, keys, pair.common, OCCURRENCE, hot_rows, total) for df in (left_hot, right_hot)]
+    return _pair_repeated(left_cold, right_cold, pair).unionByName(_join_numbered(*numbered, pair, profile))
+
+
+def _join_numbered(left: DataFrame, right: DataFrame, pair: Pair, profile: KeyProfile) -> DataFrame:
+    """Full outer join of numbered sides; each ``(keys, occurrence)`` is unique on its side."""
     keys = pair.keys
-    lm = multiplicity(pair.left, keys, hot_rows)
-    rm = multiplicity(pair.right, keys, hot_rows)
-    # All columns take part in the occurrence order, also those found on one side only.
-    left = occurrence_number(pair.left, keys, hot_rows, lm)
-    right = occurrence_number(pair.right, keys, hot_rows, rm)
     left = left.select(
         *[col(k).alias(f"lk_{i}") for i, k in enumerate(keys)], F.col(OCCURRENCE).alias("l_occ"),
         *[col(c).alias(f"l_{i}") for i, c in enumerate(pair.common)], F.lit(True).alias("in_left"),
@@ -95,22 +114,59 @@ def _joined(pair: Pair, hot_rows: int = HOT_ROWS) -> DataFrame:
         *[col(k).alias(f"rk_{i}") for i, k in enumerate(keys)], F.col(OCCURRENCE).alias("r_occ"),
         *[col(c).alias(f"r_{i}") for i, c in enumerate(pair.common)], F.lit(True).alias("in_right"),
     )
-    on = [F.col(f"lk_{i}").eqNullSafe(F.col(f"rk_{i}")) for i in range(len(keys))]
-    if max(lm.largest, rm.largest) > 1:
+    sides = [(F.col(f"lk_{i}"), F.col(f"rk_{i}")) for i in range(len(keys))]
+    on = [a.eqNullSafe(b) if profile.has_null else a == b for a, b in sides]
+    if profile.largest > 1:
         on.append(F.col("l_occ") == F.col("r_occ"))
     joined = left.join(right, reduce(lambda a, b: a & b, on), "full")
+    key_of = [F.when(F.col("in_left"), a).otherwise(b).alias(k) for k, (a, b) in zip(keys, sides, strict=True)]
+    return _tagged(joined, key_of, F.coalesce("l_occ", "r_occ"), len(pair.common))
+
+
+def _pair_repeated(left: DataFrame, right: DataFrame, pair: Pair) -> DataFrame:
+    """Pair rows of repeated keys with one exchange.
+
+    Both sides are partitioned by key together, numbered per side, and rows with the same key and
+    number are folded into one. No key is hot here, so a key's rows fit one task.
+    """
+    keys, n = pair.keys, range(len(pair.common))
+    same = [left.schema[c].dataType == right.schema[c].dataType for c in pair.common]
+
+    def side(df: DataFrame, is_left: bool) -> DataFrame:
+        # A column of one type travels once; of two types, once per type.
+        out = [col(k) for k in keys]
+        for i, c in enumerate(pair.common):
+            if same[i]:
+                out.append(col(c).alias(f"v_{i}"))
+            else:
+                lt, rt = left.schema[c].dataType, right.schema[c].dataType
+                out.append((col(c) if is_left else F.lit(None).cast(lt)).alias(f"l_{i}"))
+                out.append((F.lit(None).cast(rt) if is_left else col(c)).alias(f"r_{i}"))
+        return df.select(*out, F.lit(is_left).alias("is_left"))
+
+    both = side(left, True).union(side(right, False)).repartition(*cols(keys))
+    order = [name for i in n for name in ([f"v_{i}"] if same[i] else [f"l_{i}", f"r_{i}"])]
+    window = Window.partitionBy(*cols(keys), "is_left").orderBy(
+        *([F.col(c).asc_nulls_first() for c in order] or [F.lit(1).asc()])
+    )
+    numbered = both.withColumn(OCCURRENCE, F.row_number().over(window).cast("bigint"))
+    is_left = F.col("is_left")
+    folded = [F.max(F.when(is_left, True)).alias("in_left"), F.max(F.when(~is_left, True)).alias("in_right")]
+    for i in n:
+        folded.append(F.max(F.when(is_left, F.col(f"v_{i}")) if same[i] else F.col(f"l_{i}")).alias(f"l_{i}"))
+        folded.append(F.max(F.when(~is_left, F.col(f"v_{i}")) if same[i] else F.col(f"r_{i}")).alias(f"r_{i}"))
+    paired = numbered.groupBy(*cols(keys), OCCURRENCE).agg(*folded)
+    return _tagged(paired, cols(keys), F.col(OCCURRENCE), len(pair.common))
+
+
+def _tagged(df: DataFrame, keys: list[Column], occurrence: Column, common: int) -> DataFrame:
     side = (
         F.when(F.col("in_left").isNull(), "right_only")
         .when(F.col("in_right").isNull(), "left_only")
         .otherwise("both")
     )
-    key_of = [
-        F.when(F.col("in_left"), F.col(f"lk_{i}")).otherwise(F.col(f"rk_{i}")).alias(k) for i, k in enumerate(keys)
-    ]
-    return joined.select(
-        *key_of, F.coalesce("l_occ", "r_occ").alias(OCCURRENCE), side.alias(SIDE),
-        *[c for c in joined.columns if c[:2] in ("l_", "r_") and c not in ("l_occ", "r_occ")],
-    )
+    values = [f"{s}_{i}" for i in range(common) for s in "lr"]
+    return df.select(*keys, occurrence.alias(OCCURRENCE), side.alias(SIDE), *values)
 
 
 def compare_join(
@@ -135,7 +191,8 @@ def left_only(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int
     counts before it is shuffled to the join.
     """
     pair = prepare(left, right, keys)
-    numbered = occurrence_number(pair.left, keys, hot_rows)
+    ordered = pair.left.select(*cols(keys), *cols(pair.common), *cols(pair.left_extra))
+    numbered = occurrence_number(ordered, keys, hot_rows)
     counts = pair.right.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("__partners"))
     joined = numbered.join(partner_keys(counts, keys), same_key(keys), "left")
     unmatched = F.col(OCCURRENCE) > F.coalesce(F.col("__partners"), F.lit(0))

@@ -15,6 +15,7 @@ All three give the same numbers.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,55 +31,84 @@ _N, _PART, _START, _CHUNK = "__n", "__part", "__start", "__chunk"
 
 
 @dataclass(frozen=True)
-class Multiplicity:
-    """How often the keys of a frame repeat."""
+class KeyProfile:
+    """How often the keys of one or two frames repeat."""
 
-    largest: int
-    hot_keys: int
+    largest: int  # rows of the most frequent key, on one side
+    hot_keys: int  # keys with more rows than the limit, all sides together
+    has_null: bool
 
 
-def multiplicity(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> Multiplicity:
-    counts = df.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias(_N))
+def profile_keys(frames: list[DataFrame], keys: list[str], hot_rows: int = HOT_ROWS) -> KeyProfile:
+    """Profile the keys of the frames in one job that shuffles nothing but partial counts per key."""
+    counts = _key_counts(frames, keys)
+    sides = [F.col(f"{_N}{i}") for i in range(len(frames))]
+    null_key = reduce(lambda a, b: a | b, [F.col(f"__k{i}").isNull() for i in range(len(keys))], F.lit(False))
     row = counts.agg(
-        F.coalesce(F.max(_N), F.lit(0)).alias("largest"), F.count_if(F.col(_N) > hot_rows).alias("hot")
+        F.coalesce(F.max(F.greatest(*sides, F.lit(0))), F.lit(0)).alias("largest"),
+        F.count_if(F.col(_N) > hot_rows).alias("hot"),
+        F.coalesce(F.bool_or(null_key), F.lit(False)).alias("has_null"),
     ).first()
-    return Multiplicity(row["largest"], row["hot"])
+    return KeyProfile(row["largest"], row["hot"], row["has_null"])
+
+
+def _key_counts(frames: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Rows per key: ``__k<i>``, rows per side ``__n<i>`` and in total ``__n``."""
+    names = [f"__k{i}" for i in range(len(keys))]
+    tagged = [
+        df.select(*[col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.lit(i).alias("__side"))
+        for i, df in enumerate(frames)
+    ]
+    sides = [F.count_if(F.col("__side") == i).alias(f"{_N}{i}") for i in range(len(frames))]
+    return reduce(DataFrame.union, tagged).groupBy(*names).agg(F.count(F.lit(1)).alias(_N), *sides)
+
+
+def hot_keys(frames: list[DataFrame], keys: list[str], hot_rows: int) -> DataFrame:
+    """Keys (as ``__k<i>``) with more than ``hot_rows`` rows, with their row count ``__n``."""
+    return materialise(_key_counts(frames, keys).filter(F.col(_N) > hot_rows))
+
+
+def split_hot(df: DataFrame, hot: DataFrame, keys: list[str], hot_count: int) -> tuple[DataFrame, DataFrame]:
+    """Rows without and with a hot key. The key list is broadcast only below a checked size."""
+    side = hot.select(*[f"__k{i}" for i in range(len(keys))])
+    side = F.broadcast(side) if hot_count <= BROADCAST_KEYS else side
+    return df.join(side, same_key(keys), "left_anti"), df.join(side, same_key(keys), "left_semi")
 
 
 def number_within(
     df: DataFrame, by: list[str], order: list[str], name: str, hot_rows: int = HOT_ROWS,
-    known: Multiplicity | None = None,
 ) -> DataFrame:
     """Add ``name``: the 1-based position of each row among the rows with the same ``by``.
 
     Rows are ordered by ``order`` (NULLs first). Columns outside ``by`` and ``order`` break
     ties, so the result does not depend on partitioning.
     """
-    known = known or multiplicity(df, by, hot_rows)
+    profile = profile_keys([df], by, hot_rows)
     ties = [c for c in df.columns if c not in by and c not in order]
-    ordering = [col(c).asc_nulls_first() for c in [*order, *ties]]
-    if known.largest <= 1:
+    ordering = [*order, *ties]
+    if profile.largest <= 1:
         return df.withColumn(name, F.lit(1).cast("bigint"))
-    window = Window.partitionBy(*cols(by)).orderBy(*(ordering or [F.lit(1)]))
-    if known.hot_keys == 0:
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+    if profile.hot_keys == 0:
+        return _number_by_window(df, by, ordering, name)
+    hot = hot_keys([df], by, hot_rows)
+    cold_rows, hot_part = split_hot(df, hot, by, profile.hot_keys)
+    numbered = number_hot(hot_part, by, ordering, name, hot_rows, hot.agg(F.sum(_N)).first()[0])
+    return _number_by_window(cold_rows, by, ordering, name).unionByName(numbered)
 
-    hot = materialise(
-        df.groupBy(*cols(by)).agg(F.count(F.lit(1)).alias(_N)).filter(F.col(_N) > hot_rows)
-    )
-    hot_total = hot.agg(F.sum(_N)).first()[0]
-    side = partner_keys(hot, by)
-    side = F.broadcast(side) if known.hot_keys <= BROADCAST_KEYS else side
-    cold = df.join(side, same_key(by), "left_anti")
-    cold = cold.withColumn(name, F.row_number().over(window).cast("bigint"))
-    hot_part = df.join(side, same_key(by), "left_semi")
-    return cold.unionByName(_number_hot(hot_part, by, ordering, name, hot_rows, hot_total))
 
+def _ascending(names: list[str]) -> list[Column]:
+    return [col(c).asc_nulls_first() for c in names] or [F.lit(1).asc()]
 
-def _number_hot(
-    df: DataFrame, by: list[str], ordering: list[Column], name: str, hot_rows: int, total: int
-) -> DataFrame:
+
+def _number_by_window(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
+    window = Window.partitionBy(*cols(by)).orderBy(*_ascending(order))
+    return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+
+
+def number_hot(df: DataFrame, by: list[str], order: list[str], name: str, hot_rows: int, total: int) -> DataFrame:
+    """Number rows whose keys are all hot; ``total`` is (about) their number."""
     columns = df.columns
+    ordering = _ascending(order)
     distinct = df.groupBy(*cols(columns)).agg(F.count(F.lit(1)).alias(_N))
     width = shuffle_width(df, total, hot_rows)
     by_order = [col(c).asc_nulls_first() for c in by]
@@ -92,7 +122,7 @@ def _number_hot(
         .drop("__rows")
     )
     inside = (
-        Window.partitionBy(*cols(by), _PART).orderBy(*(ordering or [F.lit(1)]))
+        Window.partitionBy(*cols(by), _PART).orderBy(*ordering)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     local = ranged.withColumn(_START, F.coalesce(F.sum(_N).over(inside), F.lit(0)))
