@@ -74,7 +74,7 @@ def lineage_edges(spark, sf):
 
 @query("producers_of", oracle(["flows"], f"""WITH {FLOW_EDGES},
 p AS (SELECT flow_id FROM fe WHERE role = 'output' AND dataset_id IN (SELECT 'C' || c_custkey FROM customer WHERE c_custkey % 3 = 0))
-SELECT flow_id, coalesce(string_agg(dataset_id, ',' || chr(10) ORDER BY dataset_id) FILTER (role = 'source'), '') AS source_ids,
+SELECT flow_id, 0 AS part, coalesce(string_agg(dataset_id, ',' || chr(10) ORDER BY dataset_id) FILTER (role = 'source'), '') AS source_ids,
   coalesce(string_agg(dataset_id, ',' || chr(10) ORDER BY dataset_id) FILTER (role = 'output'), '') AS output_ids
 FROM fe WHERE flow_id IN (SELECT flow_id FROM p) GROUP BY flow_id"""))
 def producers_of(spark, sf):
@@ -92,7 +92,7 @@ def consumers_of(spark, sf):
     return lineage.consumers_of(entities(spark, sf), customer_ids(spark, sf))
 
 
-REPORT = f"""report AS (SELECT 'C' || c_custkey AS dataset_id, c_name AS dataset_name, coalesce(f, 'None') AS flow_ids,
+REPORT = f"""report AS (SELECT 'C' || c_custkey AS dataset_id, c_name AS dataset_name, 0 AS part, coalesce(f, 'None') AS flow_ids,
   coalesce(n, 0) AS flow_count FROM customer LEFT JOIN (SELECT dataset_id, string_agg(flow_id, ', ' ORDER BY flow_id) AS f, count(*) AS n
   FROM ({CONSUMERS}) GROUP BY dataset_id) x ON x.dataset_id = 'C' || c_custkey)"""
 
@@ -127,7 +127,7 @@ def clean_id_list(spark, sf):
 
 
 @query("group_concat", oracle(["flows"], f"""
-SELECT k AS flow_group, coalesce(string_agg(DISTINCT s, ',' || chr(10) ORDER BY s), '') AS source_ids,
+SELECT k AS flow_group, 0 AS part, coalesce(string_agg(DISTINCT s, ',' || chr(10) ORDER BY s), '') AS source_ids,
   coalesce(string_agg(DISTINCT o, ',' || chr(10) ORDER BY o), '') AS output_ids
 FROM (SELECT substr(flow_id, 1, 4) AS k, unnest({SOURCES}) AS s, NULL AS o FROM flows
   UNION ALL SELECT substr(flow_id, 1, 4), NULL, unnest({OUTPUTS}) FROM flows) GROUP BY k"""))
@@ -136,6 +136,16 @@ def group_concat(spark, sf):
     return lineage.merge_ids(flows, "flow_group", ["source_ids", "output_ids"])
 
 
+@query("group_concat_long", oracle(["flows"], f"""WITH d AS (SELECT DISTINCT substr(flow_id, 1, 2) AS k, unnest({OUTPUTS}) AS id FROM flows),
+n AS (SELECT *, (row_number() OVER (PARTITION BY k ORDER BY id) - 1) // 50 AS part FROM d)
+SELECT k AS flow_group, part, string_agg(id, ',' || chr(10) ORDER BY id) AS output_ids FROM n GROUP BY k, part"""))
+def group_concat_long(spark, sf):
+    """A few groups hold all ids: their lists continue over many cells."""
+    flows = frame(spark, sf, "flows").withColumn("flow_group", F.substring("flow_id", 1, 2))
+    merged = lineage.merge_ids(flows.filter("output_ids IS NOT NULL"), "flow_group", ["output_ids"], cell_ids=50)
+    return merged
+
+
 EXPLODED = f"""exploded AS (SELECT flow_id, {_cell(SOURCES)} AS source_ids,
   unnest(CASE WHEN len({OUTPUTS}) = 0 THEN [''] ELSE list_distinct({OUTPUTS}) END) AS output_id FROM flows)"""
 
@@ -170,6 +180,6 @@ def transitive_sources(spark, sf):
 
 
 @query("transitive_source_cells", oracle(["edges"], CLOSURE + """
-SELECT output_id, string_agg(source_id, ',' || chr(10) ORDER BY source_id) AS all_source_ids, count(*) AS source_count FROM closure GROUP BY output_id""", recursive=True))
+SELECT output_id, 0 AS part, string_agg(source_id, ',' || chr(10) ORDER BY source_id) AS all_source_ids FROM closure GROUP BY output_id""", recursive=True))
 def transitive_source_cells(spark, sf):
     return lineage.source_cells(lineage.transitive_sources(frame(spark, sf, "edges")))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferrytally.columns import col
+from ferrytally.columns import col, cols
 from ferrytally.functions import cells
 from ferrytally.functions.types import (
     FALSE_TEXT, NUMERIC_KEYWORDS, TRUE_TEXT, as_boolean, as_double, as_long, as_timestamp, cast_type,
@@ -136,7 +136,7 @@ def logical_types(df: DataFrame, n: int | None = None, order: list[str] | None =
     when a value is a number and the column's name suggests a quantity, else STRING. ``n``
     restricts the evidence to the first ``n`` rows in ``order``.
     """
-    sample = df if n is None else first_rows(df, [col(c) for c in order or df.columns], n)
+    sample = df if n is None else first_rows(df, cols(order or df.columns), n)
     names = text_columns(df)
     evidence = [F.lit(0).alias("none")]
     for i, name in enumerate(names):

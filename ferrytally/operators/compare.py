@@ -341,7 +341,7 @@ def duplicate_keys(df: DataFrame, keys: list[str], limit: int | None = 20) -> Da
     counts = key_counts(df, keys)
     if limit is None:
         return counts
-    return first_rows(counts, [col(k).asc_nulls_last() for k in keys], limit)
+    return first_rows(counts, cols(keys), limit, nulls_last=True)
 
 
 def distinct_keys(df: DataFrame, keys: list[str], drop_null: bool = False) -> DataFrame:
@@ -351,4 +351,4 @@ def distinct_keys(df: DataFrame, keys: list[str], drop_null: bool = False) -> Da
 
 def top_examples(df: DataFrame, keys: list[str], k: int = 5) -> DataFrame:
     """The first ``k`` rows in key order, for a report listing."""
-    return first_rows(df, [col(c).asc_nulls_last() for c in keys], k)
+    return first_rows(df, cols(keys), k, nulls_last=True)

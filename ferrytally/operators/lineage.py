@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ferrytally.columns import col, cols
 from ferrytally.functions.cells import LIST_SEPARATOR, clean_ids, split_ids
+from ferrytally.operators.numbering import number_within, profile_keys
 from ferrytally.session import materialise
 
 _REF = "array<struct<id:string,type:string>>"
@@ -31,39 +33,50 @@ def lineage_edges(entities: DataFrame) -> DataFrame:
     )
 
 
-def merge_ids(df: DataFrame, by: str, names: list[str]) -> DataFrame:
-    """Per ``by``, the distinct sorted ids of list cells, as cells.
+# A list cell holds at most this many ids; a longer list goes on in the next part.
+CELL_IDS = 10_000
 
-    Ids are made distinct across tasks first, so repeats never reach the final group.
+
+def list_cells(
+    ids: DataFrame, by: str, kinds: dict[str, str], separator: str = LIST_SEPARATOR, cell_ids: int = CELL_IDS
+) -> DataFrame:
+    """Sorted list cells from distinct ``(by, kind, id)`` rows: one row per ``by`` and ``part``.
+
+    ``kinds`` maps a kind to its output column. Nearly every list fits part 0. A list of any length
+    is cut into parts of ``cell_ids``, so no task ever holds more than that of one list.
     """
-    kinds = F.array(*[F.struct(F.lit(n).alias("kind"), split_ids(F.col(f"`{n}`")).alias("ids")) for n in names])
-    distinct = (
-        df.select(F.col(f"`{by}`").alias(by), F.inline(kinds))
-        .select(by, "kind", F.explode_outer("ids").alias("id")).distinct()
-    )
+    part = F.lit(0).cast("bigint")
+    if profile_keys([ids], [by, "kind"]).largest > cell_ids:
+        ids = number_within(ids, [by, "kind"], ["id"], "__k")
+        # Rows without an id come first and fill no cell.
+        part = F.floor((F.col("__k") - 1) / cell_ids)
     cells = [
-        F.array_join(F.sort_array(F.collect_list(F.when(F.col("kind") == n, F.col("id")))), LIST_SEPARATOR).alias(n)
-        for n in names
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("id")))), separator).alias(name)
+        for kind, name in kinds.items()
     ]
-    return distinct.groupBy(by).agg(*cells)
+    return ids.withColumn("part", part).groupBy(by, "part").agg(*cells)
+
+
+def merge_ids(df: DataFrame, by: str, names: list[str], cell_ids: int = CELL_IDS) -> DataFrame:
+    """Per ``by``, the distinct sorted ids of list cells, as cells."""
+    kinds = F.array(*[F.struct(F.lit(n).alias("kind"), split_ids(col(n)).alias("ids")) for n in names])
+    distinct = (
+        df.select(col(by).alias(by), F.inline(kinds)).select(by, "kind", F.explode_outer("ids").alias("id")).distinct()
+    )
+    return list_cells(distinct, by, {n: n for n in names}, cell_ids=cell_ids)
 
 
 def producers_of(entities: DataFrame, datasets: DataFrame) -> DataFrame:
     """Dataflows that output one of ``datasets(dataset_id)``, with all their ids merged."""
-    edges = lineage_edges(entities)
+    flows = entities.filter(F.col("type") == "DATAFLOW")
     wanted = datasets.select(F.col("dataset_id").alias("__wanted")).distinct()
     producing = (
-        edges.filter(F.col("role") == "output")
-        .join(wanted, F.col("dataset_id") == F.col("__wanted"), "left_semi")
-        .select(F.col("flow_id").alias("__flow")).distinct()
+        flows.select(F.col("id").alias("__flow"), F.explode(_ids(F.col("children"), "DATA_SOURCE")).alias("__output"))
+        .join(wanted, F.col("__output") == F.col("__wanted"), "left_semi").select("__flow").distinct()
     )
-    touched = edges.join(producing, F.col("flow_id") == F.col("__flow"), "left_semi").distinct()
-
-    def cell(role: str) -> Column:
-        ids = F.collect_list(F.when(F.col("role") == role, F.col("dataset_id")))
-        return F.array_join(F.sort_array(ids), LIST_SEPARATOR)
-
-    return touched.groupBy("flow_id").agg(cell("source").alias("source_ids"), cell("output").alias("output_ids"))
+    touched = lineage_edges(flows.join(producing, F.col("id") == F.col("__flow"), "left_semi")).distinct()
+    ids = touched.select("flow_id", F.col("role").alias("kind"), F.col("dataset_id").alias("id"))
+    return list_cells(ids, "flow_id", {"source": "source_ids", "output": "output_ids"})
 
 
 def consumers_of(entities: DataFrame, datasets: DataFrame) -> DataFrame:
@@ -90,20 +103,27 @@ def consumers_of(entities: DataFrame, datasets: DataFrame) -> DataFrame:
 
 
 def lineage_report(required: DataFrame, consumers: DataFrame) -> DataFrame:
-    """Per required dataset its consumers as text (``None`` without any) and their number."""
-    listed = consumers.distinct().groupBy(F.col("dataset_id").alias("__id")).agg(
-        F.array_join(F.sort_array(F.collect_list("flow_id")), ", ").alias("flows"), F.count("flow_id").alias("n")
+    """Per required dataset its consumers as text (``None`` without any) and their number.
+
+    A list too long for one cell continues in further rows with the next ``part``.
+    """
+    distinct = consumers.select("dataset_id", F.col("flow_id").alias("id")).distinct()
+    counts = distinct.groupBy(F.col("dataset_id").alias("__id")).agg(F.count("id").alias("n"))
+    cells = list_cells(distinct.withColumn("kind", F.lit("flow")), "dataset_id", {"flow": "flows"}, ", ")
+    listed = cells.withColumnRenamed("dataset_id", "__cell_id")
+    joined = (
+        required.join(counts, F.col("dataset_id") == F.col("__id"), "left")
+        .join(listed, F.col("dataset_id") == F.col("__cell_id"), "left")
     )
-    joined = required.join(listed, F.col("dataset_id") == F.col("__id"), "left")
     return joined.select(
-        *required.columns, F.coalesce("flows", F.lit("None")).alias("flow_ids"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("flow_count"),
+        *cols(required.columns), F.coalesce("part", F.lit(0)).alias("part"),
+        F.coalesce("flows", F.lit("None")).alias("flow_ids"), F.coalesce("n", F.lit(0)).cast("bigint").alias("flow_count"),
     )
 
 
 def lineage_summary(report: DataFrame) -> DataFrame:
     total = F.coalesce(F.sum("flow_count"), F.lit(0))
-    return report.agg(
+    return report.filter(F.col("part") == 0).agg(
         F.count(F.lit(1)).alias("datasets"), F.count_if(F.col("flow_count") > 0).alias("datasets_with_flows"),
         total.alias("flow_ids"), F.coalesce(F.try_divide(total, F.count(F.lit(1))), F.lit(0.0)).alias("mean_flows"),
     )
@@ -138,6 +158,10 @@ def expansion_stats(flows: DataFrame) -> DataFrame:
     return one.withColumn("ratio", ratio)
 
 
+# Rounds after which the pairs found so far become one table again.
+COMPACT_ROUNDS = 10
+
+
 def transitive_sources(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """All ``(output_id, source_id)`` pairs reachable over ``edges``; cycles are safe.
 
@@ -145,11 +169,11 @@ def transitive_sources(edges: DataFrame, max_rounds: int | None = None) -> DataF
     rounds are checkpointed in the shared folder, so a lost executor re-reads a round instead
     of recomputing all of them.
     """
-    step = edges.select(F.col("output_id").alias("__via"), F.col("source_id").alias("__next")).distinct()
-    step = materialise(step)
-    frontier = materialise(edges.select("output_id", "source_id").distinct())
-    found = frontier
-    rounds = 1
+    step = materialise(
+        edges.select(F.col("output_id").alias("__via"), F.col("source_id").alias("__next")).distinct()
+    )
+    frontier = step.select(F.col("__via").alias("output_id"), F.col("__next").alias("source_id"))
+    found, rounds = frontier, 1
     while max_rounds is None or rounds < max_rounds:
         reached = frontier.join(step, F.col("source_id") == F.col("__via")).select(
             "output_id", F.col("__next").alias("source_id")
@@ -163,12 +187,12 @@ def transitive_sources(edges: DataFrame, max_rounds: int | None = None) -> DataF
             break
         found = found.unionByName(frontier)
         rounds += 1
+        if rounds % COMPACT_ROUNDS == 0:
+            found = materialise(found)
     return found
 
 
-def source_cells(closure: DataFrame) -> DataFrame:
-    """Transitive sources per output as one sorted cell."""
-    return closure.groupBy("output_id").agg(
-        F.array_join(F.sort_array(F.collect_list("source_id")), LIST_SEPARATOR).alias("all_source_ids"),
-        F.count("source_id").alias("source_count"),
-    )
+def source_cells(closure: DataFrame, cell_ids: int = CELL_IDS) -> DataFrame:
+    """Transitive sources per output as sorted cells."""
+    ids = closure.select("output_id", F.lit("source").alias("kind"), F.col("source_id").alias("id"))
+    return list_cells(ids, "output_id", {"source": "all_source_ids"}, cell_ids=cell_ids)

@@ -19,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferrytally.columns import col, cols, partner_keys, same_key
 from ferrytally.session import materialise, shuffle_width
@@ -143,30 +144,64 @@ def number_hot(df: DataFrame, by: list[str], order: list[str], name: str, hot_ro
     )
 
 
-def first_rows(df: DataFrame, order: list[Column], n: int, direct_limit: int = DIRECT_LIMIT) -> DataFrame:
-    """The first ``n`` rows in ``order``.
+def _sort_keys(order: list[Column], nulls_last: bool) -> list[Column]:
+    return [k for c in order for k in ((c.isNull(), c) if nulls_last else (c,))]
 
-    A small ``n`` is a top-n. A large one would gather ``n`` rows in one task, so the rows are
-    range-partitioned instead: whole partitions below the cut are kept as they are and only
-    the partition holding the cut is sorted for its remainder.
+
+def first_rows(
+    df: DataFrame, order: list[Column], n: int, nulls_last: bool = False, direct_limit: int = DIRECT_LIMIT
+) -> DataFrame:
+    """The first ``n`` rows in ascending ``order``, ties broken by the other columns.
+
+    A small ``n`` is a top-n. A large one would gather ``n`` rows in one task: then rows that
+    cannot be among the first are filtered out by a sampled upper bound, what is left is
+    range-partitioned, whole partitions before the cut are kept as they are and only the
+    partition holding the cut is sorted for its remainder.
     """
+    ties = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    keys = _sort_keys([*order, *cols(ties)], nulls_last)
     if n <= direct_limit:
-        return df.orderBy(*order).limit(n)
-    width = shuffle_width(df, n, direct_limit)
-    ties = [col(c).asc_nulls_first() for c in df.columns]
-    ranged = materialise(
-        df.repartitionByRange(width, *order, *ties).withColumn(_PART, F.spark_partition_id())
-    )
-    kept, cut, rest = -1, None, 0
+        return df.orderBy(*keys).limit(n)
+    near, rows = _below_bound(df, keys, n)
+    width = shuffle_width(df, rows, direct_limit)
+    ranged = materialise(near.repartitionByRange(width, *keys).withColumn(_PART, F.spark_partition_id()))
     sizes = ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_N)).orderBy(_PART).collect()
-    taken = 0
+    kept, taken, cut = -1, 0, None
     for size in sizes:
         if taken + size[_N] > n:
-            cut, rest = size[_PART], n - taken
+            cut = size[_PART]
             break
-        taken += size[_N]
-        kept = size[_PART]
-    whole = ranged.filter(F.col(_PART) <= kept)
-    if cut is not None and rest:
-        whole = whole.unionByName(ranged.filter(F.col(_PART) == cut).orderBy(*order, *ties).limit(rest))
-    return whole.drop(_PART)
+        kept, taken = size[_PART], taken + size[_N]
+    chosen = ranged.filter(F.col(_PART) <= kept)
+    if cut is not None and taken < n:
+        chosen = chosen.unionByName(ranged.filter(F.col(_PART) == cut).orderBy(*keys).limit(n - taken))
+    return chosen.drop(_PART)
+
+
+SAMPLE_ROWS = 20_000
+
+
+def _below_bound(df: DataFrame, keys: list[Column], n: int) -> tuple[DataFrame, int]:
+    """Rows up to a sampled bound and their number, checked to be at least ``n``.
+
+    All rows when a large share of them is wanted anyway.
+    """
+    total = df.count()
+    if n * 4 >= total:
+        return df, total
+    fraction = min(1.0, SAMPLE_ROWS / total)
+    named = [k.alias(f"__s{i}") for i, k in enumerate(keys)]
+    sample = df.sample(fraction, seed=0).select(*named)
+    types = [f.dataType for f in sample.schema]
+    rank = int(fraction * n * 1.2) + 100
+    while rank < SAMPLE_ROWS:
+        # Text carries the bound unharmed whatever the session's time zone.
+        last = sample.orderBy(*sample.columns).limit(rank).agg(F.max(F.struct(*sample.columns)).alias("b"))
+        bound = last.select(*[F.col(f"b.{c}").cast("string").alias(c) for c in sample.columns]).first()
+        limit = F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(bound, types, sample.columns, strict=True)])
+        near = df.filter(F.struct(*named) <= limit)
+        rows = near.count()
+        if rows >= n:
+            return near, rows
+        rank *= 2
+    return df, total

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ferrytally.columns import col, cols, partner_keys, same_key
 from ferrytally.functions.bands import sample_size_of
 from ferrytally.operators.compare import distinct_keys
-from ferrytally.operators.numbering import BROADCAST_KEYS, first_rows
+from ferrytally.operators.numbering import BROADCAST_KEYS, DIRECT_LIMIT, first_rows
+from ferrytally.session import materialise
 
 SEED = 42
 
@@ -85,12 +86,25 @@ def sync_first(left: DataFrame, right: DataFrame, keys: list[str], order: list[s
 
 def ordered_sample(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     """First ``n`` rows by key, NULL keys last."""
-    return first_rows(df, [col(k).asc_nulls_last() for k in keys], n)
+    return first_rows(df, cols(keys), n, nulls_last=True)
 
 
 def random_rows(df: DataFrame, n: int, seed: int = SEED) -> DataFrame:
-    """``n`` rows at random, not synchronised with anything."""
-    return first_rows(df.withColumn("__rand", F.rand(seed)), [F.col("__rand")], n).drop("__rand")
+    """``n`` rows at random, not synchronised with anything.
+
+    The rows with the smallest random numbers are taken. A large draw first keeps the rows below a
+    threshold that leaves a little more than ``n`` of them, and only those are ordered.
+    """
+    drawn = df.withColumn("__rand", F.rand(seed))
+    if n > DIRECT_LIMIT:
+        share = n / max(df.count(), 1) * 1.1
+        while True:
+            near = materialise(drawn.filter(F.col("__rand") < share))
+            if share >= 1 or near.count() >= n:
+                break
+            share *= 2
+        drawn = near
+    return first_rows(drawn, [F.col("__rand")], n).drop("__rand")
 
 
 def coverage(frames: dict[str, DataFrame], sampled: DataFrame) -> DataFrame:

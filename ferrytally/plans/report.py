@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrytally.columns import col
+from ferrytally.columns import col, cols
 from ferrytally.functions.bands import count_bands, percentage
 from ferrytally.functions.cells import key_text
 from ferrytally.functions.names import apply_to_header, rename_columns, transform_name
@@ -19,6 +19,7 @@ from ferrytally.operators.numbering import HOT_ROWS, first_rows
 BATCH_COLUMNS = {"_batch_last_run_", "_batch_id_"}
 EXAMPLES = 5
 DUPLICATE_LISTING = 20
+DUPLICATES_SHOWN = 10
 
 
 @dataclass(frozen=True)
@@ -217,7 +218,7 @@ def duplicate_lines(df: DataFrame, keys: list[str], side: str, ordinal: int) ->
     """
     repeated = compare.key_counts(compare.nan_as_null(df), keys)
     totals = repeated.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("n"))
-    first = first_rows(repeated, [col(k).asc_nulls_last() for k in keys], 11)
+    first = first_rows(repeated, cols(keys), DUPLICATES_SHOWN + 1, nulls_last=True)
     rank = F.struct(*[F.struct(col(k).isNull(), col(k)) for k in keys])
     listing = first.agg(F.array_sort(F.collect_list(F.struct(rank.alias("k"), key_text(keys).alias("t")))).alias("l"))
     one = totals.unionByName(listing.select(F.col("l.t").alias("texts")), allowMissingColumns=True).agg(
@@ -228,7 +229,7 @@ def duplicate_lines(df: DataFrame, keys: list[str], side: str, ordinal: int) ->
         F.lit(f"  {side} duplicate keys: "), F.col("n").cast("string"), F.lit(" unique combinations (showing first 5)"),
         F.lit("\n    First 5: "), F.array_join(F.slice("texts", 1, 5), ", "),
     )
-    text = F.concat(F.lit(f"{side}: "), F.col("rows").cast("string"), F.lit("\n"), F.when(F.col("n") <= 10, few).otherwise(many))
+    text = F.concat(F.lit(f"{side}: "), F.col("rows").cast("string"), F.lit("\n"), F.when(F.col("n") <= DUPLICATES_SHOWN, few).otherwise(many))
     return one.filter(F.col("n") > 0).select(
         F.lit(ordinal).alias("ordinal"), F.lit("error").alias("severity"), text.alias("text")
     )

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import codecs
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferrytally.columns import col
+from ferrytally.columns import col, cols
 from ferrytally.operators.counts import row_count
 from ferrytally.operators.lineage import LINEAGE_SCHEMA
 from ferrytally.operators.numbering import first_rows
@@ -33,7 +35,13 @@ def read_dataset(
     df = source if query is None else source.sparkSession.sql(query, table=source)
     if limit is None:
         return df
-    return first_rows(df, [col(c).asc_nulls_last() for c in order or df.columns], limit)
+    return first_rows(df, cols(order or df.columns), limit, nulls_last=True)
+
+
+def charset(encoding: str) -> str:
+    """Spark's name of an encoding given in any usual spelling."""
+    name = codecs.lookup(encoding).name
+    return {"iso8859-1": "ISO-8859-1", "ascii": "US-ASCII"}.get(name, name)
 
 
 def read_csv(
@@ -46,7 +54,7 @@ def read_csv(
     none, so that Spark can split large files.
     """
     reader = (
-        spark.read.option("header", True).option("encoding", encoding).option("sep", sep)
+        spark.read.option("header", True).option("encoding", charset(encoding)).option("sep", sep)
         .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
         .option("preferDate", False).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
     )
