@@ -83,80 +83,81 @@ def _joined(pair: Pair, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Full outer match: keys, occurrence, side, and common column ``i`` as ``l_<i>`` and ``r_<i>``.
 
     The plan follows the measured keys. Unique keys are joined directly. Repeated keys are paired
-    after a single exchange of both sides. Keys too frequent for one task are numbered apart and
-    joined on ``(keys, occurrence)``.
+    after a single exchange of both sides. Rows of keys too frequent for one task are numbered
+    apart, spread over many tasks, and then paired on ``(keys, occurrence)``.
     """
     keys = pair.keys
     left = pair.left.select(*cols(keys), *cols(pair.common))
     right = pair.right.select(*cols(keys), *cols(pair.common))
     profile = profile_keys([left, right], keys, hot_rows)
     if profile.largest <= 1:
-        one = F.lit(1).cast("bigint")
-        return _join_numbered(left.withColumn(OCCURRENCE, one), right.withColumn(OCCURRENCE, one), pair, profile)
+        return _join_unique(left, right, pair, profile)
+    same = [left.schema[c].dataType == right.schema[c].dataType for c in pair.common]
+    both = _stacked(left, True, pair, same).union(_stacked(right, False, pair, same))
     if profile.hot_keys == 0:
-        return _pair_repeated(left, right, pair)
+        return _paired(_numbered_in_place(both, pair, same), pair, same)
     hot = hot_keys([left, right], keys, hot_rows)
-    total = hot.agg(F.sum("__n")).first()[0]
-    left_cold, left_hot = split_hot(left, hot, keys, profile.hot_keys)
-    right_cold, right_hot = split_hot(right, hot, keys, profile.hot_keys)
-    numbered = [number_hot(df, keys, pair.common, OCCURRENCE, hot_rows, total) for df in (left_hot, right_hot)]
-    return _pair_repeated(left_cold, right_cold, pair).unionByName(_join_numbered(*numbered, pair, profile))
+    cold_part, hot_part = split_hot(both, hot, keys, profile.hot_keys)
+    spread = number_hot(
+        hot_part, [*keys, "is_left"], _stacked_order(pair, same), OCCURRENCE, hot_rows, profile.hot_rows
+    )
+    return _paired(_numbered_in_place(cold_part, pair, same), pair, same).unionByName(_paired(spread, pair, same))
 
 
-def _join_numbered(left: DataFrame, right: DataFrame, pair: Pair, profile: KeyProfile) -> DataFrame:
-    """Full outer join of numbered sides; each ``(keys, occurrence)`` is unique on its side."""
+def _join_unique(left: DataFrame, right: DataFrame, pair: Pair, profile: KeyProfile) -> DataFrame:
+    """Full outer join on keys that are unique on both sides."""
     keys = pair.keys
     left = left.select(
-        *[col(k).alias(f"lk_{i}") for i, k in enumerate(keys)], F.col(OCCURRENCE).alias("l_occ"),
+        *[col(k).alias(f"lk_{i}") for i, k in enumerate(keys)],
         *[col(c).alias(f"l_{i}") for i, c in enumerate(pair.common)], F.lit(True).alias("in_left"),
     )
     right = right.select(
-        *[col(k).alias(f"rk_{i}") for i, k in enumerate(keys)], F.col(OCCURRENCE).alias("r_occ"),
+        *[col(k).alias(f"rk_{i}") for i, k in enumerate(keys)],
         *[col(c).alias(f"r_{i}") for i, c in enumerate(pair.common)], F.lit(True).alias("in_right"),
     )
     sides = [(F.col(f"lk_{i}"), F.col(f"rk_{i}")) for i in range(len(keys))]
     on = [a.eqNullSafe(b) if profile.has_null else a == b for a, b in sides]
-    if profile.largest > 1:
-        on.append(F.col("l_occ") == F.col("r_occ"))
     joined = left.join(right, reduce(lambda a, b: a & b, on), "full")
     key_of = [F.when(F.col("in_left"), a).otherwise(b).alias(k) for k, (a, b) in zip(keys, sides, strict=True)]
-    return _tagged(joined, key_of, F.coalesce("l_occ", "r_occ"), len(pair.common))
+    return _tagged(joined, key_of, F.lit(1).cast("bigint"), len(pair.common))
 
 
-def _pair_repeated(left: DataFrame, right: DataFrame, pair: Pair) -> DataFrame:
-    """Pair rows of repeated keys with one exchange.
+def _stacked(df: DataFrame, is_left: bool, pair: Pair, same: list[bool]) -> DataFrame:
+    """One side in the layout both share: a column of one type once, of two types once per type."""
+    out = cols(pair.keys)
+    for i, c in enumerate(pair.common):
+        if same[i]:
+            out.append(col(c).alias(f"v_{i}"))
+            continue
+        lt, rt = pair.left.schema[c].dataType, pair.right.schema[c].dataType
+        out.append((col(c) if is_left else F.lit(None).cast(lt)).alias(f"l_{i}"))
+        out.append((F.lit(None).cast(rt) if is_left else col(c)).alias(f"r_{i}"))
+    return df.select(*out, F.lit(is_left).alias("is_left"))
 
-    Both sides are partitioned by key together, numbered per side, and rows with the same key and
-    number are folded into one. No key is hot here, so a key's rows fit one task.
-    """
-    keys, n = pair.keys, range(len(pair.common))
-    same = [left.schema[c].dataType == right.schema[c].dataType for c in pair.common]
 
-    def side(df: DataFrame, is_left: bool) -> DataFrame:
-        # A column of one type travels once; of two types, once per type.
-        out = [col(k) for k in keys]
-        for i, c in enumerate(pair.common):
-            if same[i]:
-                out.append(col(c).alias(f"v_{i}"))
-            else:
-                lt, rt = left.schema[c].dataType, right.schema[c].dataType
-                out.append((col(c) if is_left else F.lit(None).cast(lt)).alias(f"l_{i}"))
-                out.append((F.lit(None).cast(rt) if is_left else col(c)).alias(f"r_{i}"))
-        return df.select(*out, F.lit(is_left).alias("is_left"))
-
-    both = side(left, True).union(side(right, False)).repartition(*cols(keys))
-    order = [name for i in n for name in ([f"v_{i}"] if same[i] else [f"l_{i}", f"r_{i}"])]
-    window = Window.partitionBy(*cols(keys), "is_left").orderBy(
-        *([F.col(c).asc_nulls_first() for c in order] or [F.lit(1).asc()])
-    )
-    numbered = both.withColumn(OCCURRENCE, F.row_number().over(window).cast("bigint"))
+def _stacked_order(pair: Pair, same: list[bool]) -> list[str]:
+    return [n for i in range(len(pair.common)) for n in ([f"v_{i}"] if same[i] else [f"l_{i}", f"r_{i}"])]
+
+
+def _numbered_in_place(both: DataFrame, pair: Pair, same: list[bool]) -> DataFrame:
+    """Occurrence numbers per side after one exchange by key; no key is hot here."""
+    order = [F.col(c).asc_nulls_first() for c in _stacked_order(pair, same)] or [F.lit(1).asc()]
+    window = Window.partitionBy(*cols(pair.keys), "is_left").orderBy(*order)
+    return both.repartition(*cols(pair.keys)).withColumn(OCCURRENCE, F.row_number().over(window).cast("bigint"))
+
+
+def _paired(numbered: DataFrame, pair: Pair, same: list[bool]) -> DataFrame:
+    """Fold the (at most two) rows with the same key and occurrence into one.
+
+    Needs no further exchange where the rows are partitioned by key already.
+    """
     is_left = F.col("is_left")
     folded = [F.max(F.when(is_left, True)).alias("in_left"), F.max(F.when(~is_left, True)).alias("in_right")]
-    for i in n:
+    for i in range(len(pair.common)):
         folded.append(F.max(F.when(is_left, F.col(f"v_{i}")) if same[i] else F.col(f"l_{i}")).alias(f"l_{i}"))
         folded.append(F.max(F.when(~is_left, F.col(f"v_{i}")) if same[i] else F.col(f"r_{i}")).alias(f"r_{i}"))
-    paired = numbered.groupBy(*cols(keys), OCCURRENCE).agg(*folded)
-    return _tagged(paired, cols(keys), F.col(OCCURRENCE), len(pair.common))
+    rows = numbered.groupBy(*cols(pair.keys), OCCURRENCE).agg(*folded)
+    return _tagged(rows, cols(pair.keys), F.col(OCCURRENCE), len(pair.common))
 
 
 def _tagged(df: DataFrame, keys: list[Column], occurrence: Column, common: int) -> DataFrame:

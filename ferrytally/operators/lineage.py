@@ -45,6 +45,7 @@ def list_cells(
     ``kinds`` maps a kind to its output column. Nearly every list fits part 0. A list of any length
     is cut into parts of ``cell_ids``, so no task ever holds more than that of one list.
     """
+    ids = materialise(ids)  # measured, then used: not to be computed twice
     part = F.lit(0).cast("bigint")
     if profile_keys([ids], [by, "kind"]).largest > cell_ids:
         ids = number_within(ids, [by, "kind"], ["id"], "__k")

@@ -37,6 +37,7 @@ class KeyProfile:
 
     largest: int  # rows of the most frequent key, on one side
     hot_keys: int  # keys with more rows than the limit, all sides together
+    hot_rows: int  # rows of those keys
     has_null: bool
 
 
@@ -48,9 +49,10 @@ def profile_keys(frames: list[DataFrame], keys: list[str], hot_rows: int = HOT_R
     row = counts.agg(
         F.coalesce(F.max(F.greatest(*sides, F.lit(0))), F.lit(0)).alias("largest"),
         F.count_if(F.col(_N) > hot_rows).alias("hot"),
+        F.coalesce(F.sum(F.when(F.col(_N) > hot_rows, F.col(_N))), F.lit(0)).alias("hot_rows"),
         F.coalesce(F.bool_or(null_key), F.lit(False)).alias("has_null"),
     ).first()
-    return KeyProfile(row["largest"], row["hot"], row["has_null"])
+    return KeyProfile(row["largest"], row["hot"], row["hot_rows"], row["has_null"])
 
 
 def _key_counts(frames: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -93,7 +95,7 @@ def number_within(
         return _number_by_window(df, by, ordering, name)
     hot = hot_keys([df], by, hot_rows)
     cold_rows, hot_part = split_hot(df, hot, by, profile.hot_keys)
-    numbered = number_hot(hot_part, by, ordering, name, hot_rows, hot.agg(F.sum(_N)).first()[0])
+    numbered = number_hot(hot_part, by, ordering, name, hot_rows, profile.hot_rows)
     return _number_by_window(cold_rows, by, ordering, name).unionByName(numbered)
 
 
