@@ -87,6 +87,13 @@ def combine_schemas(spark, sf):
     return schema.combine_schemas(*pair(spark, sf))
 
 
+@query("concat_batches", """
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_custkey, NULL FROM orders WHERE o_orderkey % 3 = 0""")
+def concat_batches(spark, sf):
+    orders = frame(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return schema.concat_batches([orders, orders.filter("o_orderkey % 3 = 0").select("o_custkey", "o_orderkey")])
+
+
 def match_sql(left="left_columns", right="right_columns"):
     key = "regexp_replace(lower(name), '[^a-z0-9]', '', 'g')"
     return f"""WITH ml AS (SELECT dataset, {key} AS key, arg_max(name, ordinal) AS left_name, arg_max(type, ordinal) AS lt FROM {left} GROUP BY ALL),

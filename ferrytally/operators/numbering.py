@@ -42,33 +42,46 @@ class KeyProfile:
 
 
 def profile_keys(frames: list[DataFrame], keys: list[str], hot_rows: int = HOT_ROWS) -> KeyProfile:
-    """Profile the keys of the frames in one job that shuffles nothing but partial counts per key."""
-    counts = _key_counts(frames, keys)
-    sides = [F.col(f"{_N}{i}") for i in range(len(frames))]
-    null_key = reduce(lambda a, b: a | b, [F.col(f"__k{i}").isNull() for i in range(len(keys))], F.lit(False))
-    row = counts.agg(
-        F.coalesce(F.max(F.greatest(*sides, F.lit(0))), F.lit(0)).alias("largest"),
-        F.count_if(F.col(_N) > hot_rows).alias("hot"),
-        F.coalesce(F.sum(F.when(F.col(_N) > hot_rows, F.col(_N))), F.lit(0)).alias("hot_rows"),
-        F.coalesce(F.bool_or(null_key), F.lit(False)).alias("has_null"),
-    ).first()
-    return KeyProfile(row["largest"], row["hot"], row["hot_rows"], row["has_null"])
-
+    """Profile the keys of the frames in one job.
 
-def _key_counts(frames: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Rows per key: ``__k<i>``, rows per side ``__n<i>`` and in total ``__n``."""
-    names = [f"__k{i}" for i in range(len(keys))]
+    Only an eight-byte hash of the key and partial counts are shuffled, whatever the keys look
+    like. Two keys with one hash count as one key, which can only choose a more careful plan.
+    """
     tagged = [
-        df.select(*[col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.lit(i).alias("__side"))
+        df.select(
+            _key_hash(df, keys).alias("__hash"), F.lit(i).alias("__side"),
+            reduce(lambda a, b: a | b, [col(k).isNull() for k in keys], F.lit(False)).alias("__null"),
+        )
         for i, df in enumerate(frames)
     ]
     sides = [F.count_if(F.col("__side") == i).alias(f"{_N}{i}") for i in range(len(frames))]
-    return reduce(DataFrame.union, tagged).groupBy(*names).agg(F.count(F.lit(1)).alias(_N), *sides)
+    counts = reduce(DataFrame.union, tagged).groupBy("__hash").agg(
+        F.count(F.lit(1)).alias(_N), F.bool_or("__null").alias("__null"), *sides
+    )
+    hot = F.col(_N) > hot_rows
+    row = counts.agg(
+        F.coalesce(F.max(F.greatest(*[F.col(f"{_N}{i}") for i in range(len(frames))], F.lit(0))), F.lit(0)).alias("largest"),
+        F.count_if(hot).alias("hot"),
+        F.coalesce(F.sum(F.when(hot, F.col(_N))), F.lit(0)).alias("hot_rows"),
+        F.coalesce(F.bool_or("__null"), F.lit(False)).alias("has_null"),
+    ).first()
+    return KeyProfile(row["largest"], row["hot"], row["hot_rows"], row["has_null"])
+
+
+def _key_hash(df: DataFrame, keys: list[str]) -> Column:
+    if not keys:
+        return F.lit(0).cast("bigint")
+    # Adding zero makes -0.0 hash like 0.0, which it equals.
+    floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return F.xxhash64(*[col(k) + F.lit(0.0) if k in floats else col(k) for k in keys])
 
 
 def hot_keys(frames: list[DataFrame], keys: list[str], hot_rows: int) -> DataFrame:
-    """Keys (as ``__k<i>``) with more than ``hot_rows`` rows, with their row count ``__n``."""
-    return materialise(_key_counts(frames, keys).filter(F.col(_N) > hot_rows))
+    """Keys (as ``__k<i>``) with more than ``hot_rows`` rows in all frames together."""
+    names = [f"__k{i}" for i in range(len(keys))]
+    chosen = [df.select(*[col(k).alias(n) for k, n in zip(keys, names, strict=True)]) for df in frames]
+    counts = reduce(DataFrame.union, chosen).groupBy(*names).agg(F.count(F.lit(1)).alias(_N))
+    return materialise(counts.filter(F.col(_N) > hot_rows))
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: list[str], hot_count: int) -> tuple[DataFrame, DataFrame]:

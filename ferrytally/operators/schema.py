@@ -5,6 +5,8 @@ A column table holds the columns of many datasets, so one job compares a whole c
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,6 +118,11 @@ def combine_schemas(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.select("dataset", F.col("ordinal").cast("bigint"), "name", "type").unionByName(added)
 
 
+def concat_batches(batches: list[DataFrame]) -> DataFrame:
+    """All rows of the batches, repeats kept; columns a batch lacks are NULL in its rows."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
+
+
 def match_columns(left: DataFrame, right: DataFrame) -> DataFrame:
     """Target columns matched to source columns by letters and digits only.
 
