@@ -51,7 +51,8 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("ferrytally-bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false").config("spark.driver.memory", "12g").getOrCreate()
+        .config("spark.ui.enabled", "false").config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     chosen = sys.argv[1:] or [*HEADLINE, *EXTRA]
