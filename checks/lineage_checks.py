@@ -126,11 +126,11 @@ def clean_id_list(spark, sf):
     )
 
 
-@query("group_concat", oracle(["flows"], f"""
-SELECT k AS flow_group, 0 AS part, coalesce(string_agg(DISTINCT s, ',' || chr(10) ORDER BY s), '') AS source_ids,
-  coalesce(string_agg(DISTINCT o, ',' || chr(10) ORDER BY o), '') AS output_ids
-FROM (SELECT substr(flow_id, 1, 4) AS k, unnest({SOURCES}) AS s, NULL AS o FROM flows
-  UNION ALL SELECT substr(flow_id, 1, 4), NULL, unnest({OUTPUTS}) FROM flows) GROUP BY k"""))
+@query("group_concat", oracle(["flows"], f"""WITH d AS (SELECT DISTINCT substr(flow_id, 1, 4) AS k, 's' AS kind, unnest({SOURCES}) AS id FROM flows
+  UNION ALL SELECT DISTINCT substr(flow_id, 1, 4), 'o', unnest({OUTPUTS}) FROM flows),
+n AS (SELECT *, (row_number() OVER (PARTITION BY k, kind ORDER BY id) - 1) // 10000 AS part FROM d)
+SELECT k AS flow_group, part, coalesce(string_agg(id, ',' || chr(10) ORDER BY id) FILTER (kind = 's'), '') AS source_ids,
+  coalesce(string_agg(id, ',' || chr(10) ORDER BY id) FILTER (kind = 'o'), '') AS output_ids FROM n GROUP BY k, part"""))
 def group_concat(spark, sf):
     flows = frame(spark, sf, "flows").withColumn("flow_group", F.substring("flow_id", 1, 4))
     return lineage.merge_ids(flows, "flow_group", ["source_ids", "output_ids"])
@@ -142,8 +142,7 @@ SELECT k AS flow_group, part, string_agg(id, ',' || chr(10) ORDER BY id) AS outp
 def group_concat_long(spark, sf):
     """A few groups hold all ids: their lists continue over many cells."""
     flows = frame(spark, sf, "flows").withColumn("flow_group", F.substring("flow_id", 1, 2))
-    merged = lineage.merge_ids(flows.filter("output_ids IS NOT NULL"), "flow_group", ["output_ids"], cell_ids=50)
-    return merged
+    return lineage.merge_ids(flows, "flow_group", ["output_ids"], cell_ids=50)
 
 
 EXPLODED = f"""exploded AS (SELECT flow_id, {_cell(SOURCES)} AS source_ids,

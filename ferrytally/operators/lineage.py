@@ -48,8 +48,9 @@ def list_cells(
     ids = materialise(ids)  # measured, then used: not to be computed twice
     part = F.lit(0).cast("bigint")
     if profile_keys([ids], [by, "kind"]).largest > cell_ids:
-        ids = number_within(ids, [by, "kind"], ["id"], "__k")
-        # Rows without an id come first and fill no cell.
+        # Rows without an id only keep their list present; they take no place in it.
+        listed = number_within(ids.filter(F.col("id").isNotNull()), [by, "kind"], ["id"], "__k")
+        ids = listed.unionByName(ids.filter(F.col("id").isNull()).withColumn("__k", F.lit(1).cast("bigint")))
         part = F.floor((F.col("__k") - 1) / cell_ids)
     cells = [
         F.array_join(F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("id")))), separator).alias(name)
