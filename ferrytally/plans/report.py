@@ -216,11 +216,12 @@ def duplicate_lines(df: DataFrame, keys: list[str], side: str, ordinal: int) ->
 
     Up to ten keys are all listed, of more the first five.
     """
-    repeated = compare.key_counts(compare.nan_as_null(df), keys)
+    repeated = compare.key_counts(df, keys)
     totals = repeated.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("n"))
     first = first_rows(repeated, cols(keys), DUPLICATES_SHOWN + 1, nulls_last=True)
     rank = F.struct(*[F.struct(col(k).isNull(), col(k)) for k in keys])
-    listing = first.agg(F.array_sort(F.collect_list(F.struct(rank.alias("k"), key_text(keys).alias("t")))).alias("l"))
+    shown = F.collect_list(F.struct(rank.alias("k"), key_text(keys).alias("t")))
+    listing = first.agg(F.array_sort(shown).alias("l"))
     one = totals.unionByName(listing.select(F.col("l.t").alias("texts")), allowMissingColumns=True).agg(
         F.max("rows").alias("rows"), F.max("n").alias("n"), F.max_by("texts", F.size("texts")).alias("texts")
     )
@@ -229,7 +230,10 @@ def duplicate_lines(df: DataFrame, keys: list[str], side: str, ordinal: int) ->
         F.lit(f"  {side} duplicate keys: "), F.col("n").cast("string"), F.lit(" unique combinations (showing first 5)"),
         F.lit("\n    First 5: "), F.array_join(F.slice("texts", 1, 5), ", "),
     )
-    text = F.concat(F.lit(f"{side}: "), F.col("rows").cast("string"), F.lit("\n"), F.when(F.col("n") <= DUPLICATES_SHOWN, few).otherwise(many))
+    text = F.concat(
+        F.lit(f"{side}: "), F.col("rows").cast("string"), F.lit("\n"),
+        F.when(F.col("n") <= DUPLICATES_SHOWN, few).otherwise(many),
+    )
     return one.filter(F.col("n") > 0).select(
         F.lit(ordinal).alias("ordinal"), F.lit("error").alias("severity"), text.alias("text")
     )
