@@ -159,7 +159,8 @@ UNION ALL SELECT 'O' || {_s('o_orderkey')}, 'C' || {_s('o_custkey')} FROM orders
 SELECT conv_id AS dataflow_id, turn AS position,
   CASE WHEN turn % 5 = 4 THEN 'Mystery' WHEN role = 'system' THEN 'SelectValues' WHEN role = 'user' THEN 'Filter'
        ELSE 'MergeJoin' END AS action_type,
-  CASE WHEN turn % 3 = 2 THEN 0 ELSE length(text) END AS sql_chars, 2 * length(text) AS fallback_chars
+  CAST(CASE WHEN turn % 3 = 2 THEN 0 ELSE length(text) END AS BIGINT) AS sql_chars,
+  CAST(2 * length(text) AS BIGINT) AS fallback_chars
 FROM conversations"""),
 }
 

@@ -74,7 +74,7 @@ def lineage_edges(spark, sf):
 
 @query("producers_of", oracle(["flows"], f"""WITH {FLOW_EDGES},
 p AS (SELECT flow_id FROM fe WHERE role = 'output' AND dataset_id IN (SELECT 'C' || c_custkey FROM customer WHERE c_custkey % 3 = 0))
-SELECT flow_id, 0 AS part, coalesce(string_agg(dataset_id, ',' || chr(10) ORDER BY dataset_id) FILTER (role = 'source'), '') AS source_ids,
+SELECT flow_id, 0::BIGINT AS part, coalesce(string_agg(dataset_id, ',' || chr(10) ORDER BY dataset_id) FILTER (role = 'source'), '') AS source_ids,
   coalesce(string_agg(dataset_id, ',' || chr(10) ORDER BY dataset_id) FILTER (role = 'output'), '') AS output_ids
 FROM fe WHERE flow_id IN (SELECT flow_id FROM p) GROUP BY flow_id"""))
 def producers_of(spark, sf):
@@ -92,7 +92,7 @@ def consumers_of(spark, sf):
     return lineage.consumers_of(entities(spark, sf), customer_ids(spark, sf))
 
 
-REPORT = f"""report AS (SELECT 'C' || c_custkey AS dataset_id, c_name AS dataset_name, 0 AS part, coalesce(f, 'None') AS flow_ids,
+REPORT = f"""report AS (SELECT 'C' || c_custkey AS dataset_id, c_name AS dataset_name, 0::BIGINT AS part, coalesce(f, 'None') AS flow_ids,
   coalesce(n, 0) AS flow_count FROM customer LEFT JOIN (SELECT dataset_id, string_agg(flow_id, ', ' ORDER BY flow_id) AS f, count(*) AS n
   FROM ({CONSUMERS}) GROUP BY dataset_id) x ON x.dataset_id = 'C' || c_custkey)"""
 
@@ -179,6 +179,6 @@ def transitive_sources(spark, sf):
 
 
 @query("transitive_source_cells", oracle(["edges"], CLOSURE + """
-SELECT output_id, 0 AS part, string_agg(source_id, ',' || chr(10) ORDER BY source_id) AS all_source_ids FROM closure GROUP BY output_id""", recursive=True))
+SELECT output_id, 0::BIGINT AS part, string_agg(source_id, ',' || chr(10) ORDER BY source_id) AS all_source_ids FROM closure GROUP BY output_id""", recursive=True))
 def transitive_source_cells(spark, sf):
     return lineage.source_cells(lineage.transitive_sources(frame(spark, sf, "edges")))

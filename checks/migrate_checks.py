@@ -145,7 +145,7 @@ def _comparisons(spark, sf):
     )
 
 
-VERDICTS = """SELECT r_regionkey AS ordinal, CASE WHEN r_regionkey = 4 THEN 'failed' ELSE 'success' END AS status,
+VERDICTS = """SELECT r_regionkey::BIGINT AS ordinal, CASE WHEN r_regionkey = 4 THEN 'failed' ELSE 'success' END AS status,
   CASE WHEN r_regionkey <> 4 THEN (SELECT count(*) FILTER (c_custkey % 53 = 0 OR c_custkey % 37 = 0 OR c_custkey % 41 = 0) = 0
     FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = r_regionkey) END AS overall_match FROM region"""
 
