@@ -4,8 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.against_oracle import connect, difference
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from checks.all import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +19,7 @@ def test_query(spark, con, sf, key):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 1
+    assert entry.queries().keys() >= QUERIES.keys() and entry.oracle_sql().keys() >= ORACLES.keys()
 
 
 def test_only_random_and_listing_queries_lack_sql():
