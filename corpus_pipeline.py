@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrytally.llm import quality_rules
+from ferrytally.llm import quality_rules, simhash_neardup
 from ferrytally.llm.common import table
 from ferrytally.session import scratch_path
 
@@ -18,8 +18,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return simhash_neardup.one_of_each(docs)
+
+
 STAGES = [
     ("quality rules", quality),
+    ("near duplicates", near_duplicates),
 ]
 
 #: Hashes of trained weights and fingerprints decide; SQL cannot express them.

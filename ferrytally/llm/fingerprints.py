@@ -39,13 +39,14 @@ def simhash(text: bytes, shingle: int) -> int:
 def fingerprinted(docs: DataFrame, keys: dict[str, Column], text: str, shingle: int) -> DataFrame:
     """``keys`` and the fingerprint ``fp`` (bigint) of each text; null counts as empty."""
     narrow = docs.select(*[c.alias(n) for n, c in keys.items()], F.coalesce(F.col(text), F.lit("")).cast("binary").alias("__text"))
+    names = list(keys)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if f.name != "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             values = pa.array([simhash(t.as_py(), shingle) for t in b.column("__text")], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(n) for n in keys], values], names=[*keys, "fp"]
+                [*[b.column(n) for n in names], values], names=[*names, "fp"]
             )
 
     return map_arrow(narrow, run, f"{kept}, fp bigint")

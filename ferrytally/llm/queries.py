@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ferrytally.llm import quality_rules
+from ferrytally.llm import quality_rules, simhash_neardup
 
 QUERIES = {
     "op8_quality_rules": quality_rules.query,
+    "op10_simhash_neardup": simhash_neardup.query,
 }
 
 #: Only what SQL can express; the others are tested against plain Python on small tables.
