@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrytally.llm import quality_rules, simhash_neardup
+from ferrytally.llm import decontaminate, mixing, quality_rules, sharding, simhash_neardup
 from ferrytally.llm.common import table
 from ferrytally.session import scratch_path
 
@@ -23,9 +23,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash_neardup.one_of_each(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.remove_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeat until every source has an equal share of the text, in random order."""
+    return mixing.mixed(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A uniform shuffle into shards of equal size."""
+    return sharding.sharded(docs)
+
+
 STAGES = [
     ("quality rules", quality),
     ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mix),
+    ("sharding", shard),
 ]
 
 #: Hashes of trained weights and fingerprints decide; SQL cannot express them.

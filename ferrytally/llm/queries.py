@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from ferrytally.llm import quality_rules, simhash_neardup
+from ferrytally.llm import decontaminate, mixing, quality_rules, sharding, simhash_neardup
 
 QUERIES = {
+    "op2_benchmark_decontamination": decontaminate.query,
+    "op3_source_mixing": mixing.query,
+    "op6_sharding": sharding.query,
     "op8_quality_rules": quality_rules.query,
     "op10_simhash_neardup": simhash_neardup.query,
 }
 
 #: Only what SQL can express; the others are tested against plain Python on small tables.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_source_mixing": mixing.SQL,
+}
