@@ -169,11 +169,13 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> Model:
 
 def identified(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Bounded by the model's settings.
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.symbols, model.width, model.places, model.bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Model(*shared.value)
         for b in batches:
-            found = [shared.value.predict(t) for t in b.column("text").to_pylist()]
+            found = [known.predict(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=["doc_id", "lang_pred", "score"],

@@ -1,13 +1,15 @@
 """Toxicity by a weighted lexicon, matched by Aho-Corasick on folded text.
 
-Folding undoes disguises: case, accents, letters of other scripts that look Latin, and digits or signs
-that stand for letters; i and l are one letter, as 1 stands for both. What is not a letter then separates words.
+Folding undoes disguises: case, letters of other scripts that look Latin, and digits or signs that stand for
+letters; i and l are one letter, as 1 stands for both. What is not a letter then separates words. Accents tell
+words apart in many languages, so they stay; a word without its accents is compared with whole words only.
 
-The lexicon is learned from labelled documents: words, and beginnings of words, that occur in far more
-toxic than clean ones. Of a word and its beginnings the longest is kept that is found in (almost) as
-many toxic documents as the shortest. A term weighs its log odds ratio. The score of a text is
-the sum of the weights of its terms over its length, mapped to 0..1 so that the calibrated density is
-0.7. Terms within an exception phrase do not count.
+The lexicon is learned from labelled documents: words, and beginnings of words, that are far more frequent
+in toxic documents than in clean ones, and stand after many different words, so that what copies of one text
+share is not taken for toxic. Of a word and its beginnings the longest is kept that is found in (almost)
+as many toxic documents as the shortest. A term weighs the log ratio of its rates. The density of a text
+is the sum of the weights of its terms over its length; the score maps it to 0..1 so that the density that
+separates the training documents best scores 0.7. Terms within an exception phrase do not count.
 
 At most ``sample`` labelled documents per class are used to fit; every whole text is scored.
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ferrytally.llm.common import map_arrow, table
 from ferrytally.llm.labelled import held_out, per_class
+from ferrytally.session import materialise
 
 # Letters of other scripts that look like Latin ones, and signs that stand for letters.
 HOMOGLYPHS = {
@@ -51,8 +55,8 @@ class _Folding(dict):
         char = HOMOGLYPHS.get(char, SIGNS.get(char, char))
         if char == "l":
             char = "i"
-        if unicodedata.combining(char[0]) or char in "​‌‍­﻿":
-            out = None
+        if unicodedata.category(char[0]) in ("Mn", "Me", "Cf"):
+            out = None  # marks and invisible signs
         else:
             out = char if char.isalpha() else " "
         self[code] = out
@@ -62,11 +66,16 @@ class _Folding(dict):
 _FOLDING = _Folding()
 
 
-def fold(text: str) -> str:
-    """Lower-case Latin letters without disguise, other signs as blanks."""
+def fold(text: str) -> list[str]:
+    """The words in lower-case letters, without disguise."""
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text)
-    return text.translate(_FOLDING)
+        text = unicodedata.normalize("NFKC", text)
+    return text.translate(_FOLDING).split()
+
+
+def bare(words: list[str]) -> list[str]:
+    """The accented words without their accents."""
+    return fold(unicodedata.normalize("NFKD", " ".join(w for w in words if not w.isascii())).encode("ascii", "ignore").decode())
 
 
 @dataclass(frozen=True)
@@ -75,12 +84,15 @@ class Settings:
     terms: int = 5_000  # of the lexicon's candidates, at most
     shortest: int = 4
     longest: int = 9
-    least_share: float = 0.01  # of the toxic documents that have a term
-    least_docs: int = 3
-    least_weight: float = 3.0  # natural log of the odds ratio
+    least_share: float = 0.02  # of the toxic documents that have a term
+    least_docs: int = 5
+    least_weight: float = 2.5  # natural log of the ratio of rates
+    least_ratio: float = 3.0  # of the shares of toxic and of clean documents that have a term
+    least_places: float = 0.2  # different words before a term, of the toxic documents that have it
     held_folds: int = 3
     held_fold: int = 1
     cut: float = 0.7
+    shortest_text: int = 20  # words added to every length, so that one word in a few is no proof
     exceptions: tuple[str, ...] = EXCEPTIONS
 
 
@@ -95,7 +107,7 @@ class Lexicon:
         for term, weight in self.weights.items():
             found.add_word(" " + term, (len(term) + 1, weight))
         for phrase in self.settings.exceptions:
-            whole = f" {' '.join(fold(phrase).split())} "
+            whole = f" {' '.join(fold(phrase))} "
             found.add_word(whole, (len(whole), None))
         found.make_automaton()
         return found if len(self.weights) else None
@@ -104,17 +116,21 @@ class Lexicon:
         """Weight per word of each text."""
         automaton = self.automaton()
         for text in texts:
-            words = fold(text or "").split() if automaton else []
+            words = fold(text or "") if automaton else []
             if not words:
                 yield 0.0
                 continue
-            matches = [(end - size + 1, end, weight) for end, (size, weight) in automaton.iter(f" {' '.join(words)} ")]
+            joined = f" {' '.join(words)} "
+            matches = [(end - size + 1, end, weight) for end, (size, weight) in automaton.iter(joined)]
             safe = [(start, end) for start, end, weight in matches if weight is None]
             total = sum(
                 weight for start, end, weight in matches
                 if weight is not None and not any(a <= start and end <= b for a, b in safe)
             )
-            yield total / (len(words) + 10)
+            if not joined.isascii():
+                plain = f" {' '.join(bare(words))} "
+                total += sum(w for end, (_, w) in automaton.iter(plain) if w is not None and plain[end] == " ")
+            yield total / (len(words) + self.settings.shortest_text)
 
     def score(self, density: float) -> float:
         middle = self.density * (1 - self.settings.cut) / self.settings.cut
@@ -122,19 +138,30 @@ class Lexicon:
 
 
 def _terms(settings: Settings):
-    """The words of each text and their beginnings, once a text."""
+    """The words of each text and their beginnings: how often, and the word before the first of each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            terms, marks = [], []
+            terms, places, times, marks = [], [], [], []
             for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
-                own = set()
-                for w in set(fold(text or "").split()):
-                    own.update(w[:k] for k in range(settings.shortest, min(settings.longest, len(w)) + 1))
-                    if settings.shortest <= len(w):
-                        own.add(w + " ")
+                words = fold(text or "")
+                first: dict[str, str] = {}
+                for before, w in zip(["", *words], words):
+                    first.setdefault(w, before)
+                own: dict[str, list] = {"": ["", len(words)]}  # the empty term counts all words
+                # A word said over and over counts once for each word before it.
+                for w, n in Counter(w for _, w in set(zip(["", *words], words))).items():
+                    if len(w) >= settings.shortest:
+                        own[w + " "] = [first[w], n]
+                        for k in range(settings.shortest, min(settings.longest, len(w)) + 1):
+                            own.setdefault(w[:k], [first[w], 0])[1] += n
                 terms.extend(own)
+                places.extend(p for p, _ in own.values())
+                times.extend(n for _, n in own.values())
                 marks.extend([toxic] * len(own))
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(marks, pa.int64())], names=["term", "toxic"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(terms, pa.string()), pa.array(places, pa.string()), pa.array(times, pa.int64()), pa.array(marks, pa.int64())],
+                names=["term", "place", "times", "toxic"],
+            )
 
     return run
 
@@ -151,18 +178,25 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> Dat
 
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Lexicon:
     rows = training_rows(docs, labels, settings)
-    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    if not toxic or not clean:
-        return Lexicon(settings=settings)
-    counted = map_arrow(rows, _terms(settings), "term string, toxic bigint").groupBy("term").agg(
-        F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")
+    bad = F.col("toxic") == 1
+    placed = map_arrow(rows, _terms(settings), "term string, place string, times bigint, toxic bigint").groupBy("term", "place").agg(
+        F.count_if(bad).alias("docs"), F.count_if(~bad).alias("others"), F.coalesce(F.sum(F.when(bad, F.col("times"))), F.lit(0)).alias("bad"),
+        F.coalesce(F.sum(F.when(~bad, F.col("times"))), F.lit(0)).alias("good"),
     )
-    weight = F.log((F.col("bad") + 0.5) / (toxic - F.col("bad") + 0.5)) - F.log((F.col("good") + 0.5) / (clean - F.col("good") + 0.5))
-    least = max(settings.least_docs, math.ceil(settings.least_share * toxic))
-    found = counted.filter(F.col("bad") >= least).withColumn("weight", weight).filter(F.col("weight") >= settings.least_weight)
-    best = found.orderBy(F.desc("bad"), "term").limit(settings.terms).collect()
-    lexicon = Lexicon(choose({r["term"]: (r["bad"], r["weight"]) for r in best}), 1.0, settings)
+    counted = materialise(placed.groupBy("term").agg(
+        F.sum("docs").alias("docs"), F.sum("others").alias("others"), F.sum("bad").alias("bad"), F.sum("good").alias("good"), 
+        F.count_if(F.col("docs") > 0).alias("places"),
+    ).filter((F.col("docs") >= settings.least_docs) | (F.col("term") == "")))
+    every = counted.filter("term = ''").first()
+    if not every or not every["bad"] or not every["good"]:
+        return Lexicon(settings=settings)
+    weight = F.log((F.col("bad") + 0.5) / every["bad"]) - F.log((F.col("good") + 0.5) / every["good"])
+    least = max(settings.least_docs, math.ceil(settings.least_share * every["docs"]))
+    wide = F.col("places") >= F.greatest(F.lit(settings.least_docs), F.col("docs") * settings.least_places)
+    more = F.col("docs") / every["docs"] >= settings.least_ratio * F.col("others") / max(every["others"], 1)
+    found = counted.filter((F.col("docs") >= least) & wide & more & (F.col("term") != "")).withColumn("weight", weight)
+    best = found.filter(F.col("weight") >= settings.least_weight).orderBy(F.desc("docs"), "term").limit(settings.terms).collect()
+    lexicon = Lexicon(choose({r["term"]: (r["docs"], r["weight"]) for r in best}), 1.0, settings)
     return Lexicon(lexicon.weights, _calibrated(rows, lexicon), settings)
 
 
@@ -186,14 +220,23 @@ def _calibrated(rows: DataFrame, lexicon: Lexicon) -> float:
             found = list(lexicon.densities(b.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(found, pa.float64())], names=["toxic", "density"])
 
-    found = map_arrow(rows, run, "toxic bigint, density double")
-    low, high = found.agg(
-        F.coalesce(F.percentile_approx(F.when(F.col("toxic") == 0, F.col("density")), 0.999, 10000), F.lit(0.0)),
-        F.percentile_approx(F.when((F.col("toxic") == 1) & (F.col("density") > 0), F.col("density")), 0.01, 10000),
-    ).first()
-    if not high:
+    # At most two classes of ``sample`` numbers.
+    found = sorted((r["density"], r["toxic"]) for r in map_arrow(rows, run, "toxic bigint, density double").collect())
+    return separating([d for d, _ in found], [t for _, t in found])
+
+
+def separating(densities: list[float], toxic: list[int]) -> float:
+    """The positive density with the best F1 as a lower bound of toxic ones, midway to the next lower; inputs ascend."""
+    d, t = np.array(densities), np.array(toxic)
+    above = np.cumsum(t[::-1])[::-1]  # toxic ones from here on
+    f1 = 2 * above / (np.arange(len(d), 0, -1) + t.sum())
+    f1[d <= 0] = 0
+    f1[1:][d[1:] == d[:-1]] = 0  # a cut falls between different values
+    best = int(f1.argmax())
+    if not f1[best]:
         return 1.0
-    return math.sqrt(max(low, high / 100) * high) if low < high else high
+    below = d[best - 1] if best and d[best - 1] > 0 else d[best] / 4
+    return float(np.sqrt(below * d[best]))
 
 
 def scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
