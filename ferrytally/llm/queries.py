@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from ferrytally.llm import (
-    decontaminate, language_id, mixing, quality_rules, sharding, simhash_neardup, substring_dedup, toxicity,
+    decontaminate, language_id, licenses, mixing, quality_rules, sharding, simhash_neardup, substring_dedup, toxicity, warc,
 )
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op2_benchmark_decontamination": decontaminate.query,
     "op3_source_mixing": mixing.query,
+    "op4_warc": warc.query,
     "op5_substring_dedup": substring_dedup.query,
     "op6_sharding": sharding.query,
     "op7_language_id": language_id.query,
     "op8_quality_rules": quality_rules.query,
+    "op9_license_scan": licenses.query,
     "op10_simhash_neardup": simhash_neardup.query,
 }
 
