@@ -111,9 +111,11 @@ def judge(docs: DataFrame, labels: DataFrame, rules: Rules = Rules(), packed: bo
     llr = let(F.col("__weights"), lambda a: let(gram_buckets(text, rules.buckets), lambda g: F.when(F.size(g) > 0, F.aggregate(
         g, F.lit(0.0), lambda s, b: s + F.get(a, b)
     ) / F.size(g)).otherwise(F.lit(0.0))))
-    measured = docs.withColumn("__weights", weights).select(
-        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")] if packed else []),
-        "doc_id", *[c.alias(n) for n, c in base_stats(text, rules).items()], llr.alias("llr"),
+    rows = docs.select(
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")] if packed else []), "doc_id", "text"
+    )
+    measured = rows.withColumn("__weights", weights).select(
+        *(["__row"] if packed else []), "doc_id", *[c.alias(n) for n, c in base_stats(text, rules).items()], llr.alias("llr")
     )
     n, repeated = F.col("stats.n_words"), F.col("stats.n_repeat_words")
     failed = (n < rules.min_words) | (100 * repeated > rules.max_repeat_percent * n)
