@@ -78,11 +78,14 @@ def _majority(sums: Column, n: Column, lane: int) -> Column:
 
 
 def fingerprint(hashes: Column) -> Column:
-    """SimHash of an array of shingle hashes; counters of 8 bits where they suffice, else of 32."""
+    """SimHash of an array of shingle hashes; counters of 8 bits where they suffice, else of 32.
+
+    The highest counter shares its word with the sign, so it holds one bit less.
+    """
     def counted(lane: int) -> Column:
         return let(hashes, lambda h: let(_bits(h, lane), lambda s: _majority(s, F.size(h).cast("bigint"), lane)))
 
-    return F.when(F.size(hashes) <= 255, counted(8)).otherwise(counted(32))
+    return F.when(F.size(hashes) <= 127, counted(8)).otherwise(counted(32))
 
 
 def tagged(hashes: Column) -> Column:
