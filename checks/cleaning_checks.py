@@ -110,12 +110,25 @@ def null_count_introduced(spark, sf):
 @query("infer_logical_type", oracle(["dirty_text"], "\nUNION ALL ".join(
     f"""SELECT {i} AS ordinal, '{c}' AS name, t AS logical_type,
   CASE t WHEN 'LONG' THEN 'number' WHEN 'DOUBLE' THEN 'float' WHEN 'DATETIME' THEN 'timestamp' ELSE 'varchar(16777216)' END AS warehouse_type
-FROM (SELECT {"'LONG'" if c == 'o_orderkey' else f"CASE WHEN d > 0 THEN 'DATETIME' WHEN n > 0 AND {str('price' in c or 'number' in c).lower()} THEN 'DOUBLE' ELSE 'STRING' END"} AS t
+FROM (SELECT {"'LONG'" if c == 'o_orderkey' else f"CASE WHEN v > 0 AND d >= 0.8 * v THEN 'DATETIME' WHEN v > 0 AND n >= 0.8 * v AND {str('price' in c or 'number' in c).lower()} THEN 'DOUBLE' ELSE 'STRING' END"} AS t
   FROM {shares(c if c != 'o_orderkey' else 'padded')})""" for i, c in enumerate(["o_orderkey", *TEXTS], 1))))
 def infer_logical_type(spark, sf):
     return cleaning.logical_types(dirty(spark, sf))
 
 
+@query("infer_logical_type_stray", """SELECT 1 AS ordinal, 'note' AS name, 'STRING' AS logical_type, 'varchar(16777216)' AS warehouse_type FROM (SELECT count(*) FROM orders)
+UNION ALL SELECT 2, 'day', 'DATETIME', 'timestamp'""")
+def infer_logical_type_stray(spark, sf):
+    """One date among texts leaves the column text; a column of dates with one stray text is one of dates."""
+    orders = frame(spark, sf, "orders")
+    first = orders.agg(F.min("o_orderkey")).first()[0]
+    stray = F.col("o_orderkey") == first
+    return cleaning.logical_types(orders.select(
+        F.when(stray, "2024-01-01").otherwise(F.col("o_orderpriority")).alias("note"),
+        F.when(stray, "none").otherwise(F.col("o_orderdate").cast("string")).alias("day"),
+    ))
+
+
 SCIENTIFIC = "'^-?[0-9]+\\.[0-9]+e[+-][0-9]+$'"
 FIXED = f"""CASE WHEN regexp_matches(scientific, {SCIENTIFIC})
   THEN CAST(CAST(round_even(CAST(scientific AS DOUBLE), 0) AS BIGINT) AS VARCHAR) ELSE scientific END"""

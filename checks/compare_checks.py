@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from checks.inputs import frame, oracle
@@ -138,6 +140,67 @@ def compare_hot(spark, sf):
     return report.compare_tables(left, right, ["l_orderkey"], hot_rows=_hot_limit(left)).summary
 
 
+NULL_PAIR = ["a", "b", "v"]
+_NULLED = """SELECT CASE WHEN l_orderkey % 2 = 0 THEN NULL ELSE 1 END AS a, CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE NULL END AS b,
+  l_quantity {} AS v FROM lineitem"""
+_NULLED_SQL = {"nl": _NULLED.format(""), "nr": _NULLED.format("+ CASE WHEN l_partkey % 31 = 0 THEN 1 ELSE 0 END")}
+
+
+@query("compare_tables_hot_composite_null", "WITH " + ", ".join(f"{n} AS ({s})" for n, s in _NULLED_SQL.items()) + "," +
+       totals_sql("nl", "nr", ["a", "b"], NULL_PAIR).removeprefix("WITH"))
+def compare_hot_composite_null(spark, sf):
+    """All rows share two keys, (NULL, 1) and (1, NULL), and both are hot."""
+    frame(spark, sf, "lineitem").createOrReplaceTempView("lineitem")
+    left, right = (spark.sql(s) for s in _NULLED_SQL.values())
+    return report.compare_tables(left, right, ["a", "b"], hot_rows=_hot_limit(left)).summary
+
+
+@query("compare_tables_error", """SELECT 'ERRORS FOUND' AS status, false AS overall_match, (SELECT count(*) FROM orders) AS left_rows,
+  'schema' AS section, 'Key column no_such_column is missing on the ' || side AS error FROM (VALUES ('left'), ('right')) t(side)""")
+def compare_error(spark, sf):
+    """A key that neither table has: reported, not raised."""
+    found = report.compare_tables(*orders_pair(spark, sf), ["no_such_column"])
+    verdict = found.summary.first()
+    return found.error_list.select(
+        F.lit(verdict["status"]).alias("status"), F.lit(verdict["overall_match"]).alias("overall_match"),
+        F.lit(verdict["left_rows"]).alias("left_rows"), "section", "error",
+    )
+
+
+@query("column_stats_mixed_dates", """SELECT 'd' AS "column", count(*) AS match_cnt, CAST(0 AS BIGINT) AS unequal_cnt, true AS all_match,
+  CAST(0 AS DOUBLE) AS max_diff, CAST(0 AS BIGINT) AS null_diff FROM orders""")
+def column_stats_mixed_dates(spark, sf):
+    """A date against the same date as a timestamp."""
+    day = frame(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
+    return compare.column_stats(day, day.withColumn("d", F.col("d").cast("timestamp")), ["o_orderkey"])
+
+
+@query("column_stats_big_integers", """SELECT 'n' AS "column", CAST(0 AS BIGINT) AS match_cnt, count(*) AS unequal_cnt, false AS all_match,
+  CAST(1 AS DOUBLE) AS max_diff, CAST(0 AS BIGINT) AS null_diff FROM orders""")
+def column_stats_big_integers(spark, sf):
+    """Neighbours above 2**53, which doubles cannot tell apart."""
+    large = frame(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") * 2 + F.lit(2**60)).alias("n"))
+    return compare.column_stats(large, large.withColumn("n", F.col("n") + 1), ["o_orderkey"])
+
+
+@query("rows_left_only_hot_key", oracle(["hot_left", "hot_right"], joined_sql("hot_left", "hot_right", ["l_orderkey"], HOT) + """
+SELECT l_orderkey, CAST(count(*) AS BIGINT) AS rows FROM j WHERE side = 'left_only' GROUP BY 1"""))
+def rows_left_only_hot_key(spark, sf):
+    left, right = frame(spark, sf, "hot_left"), frame(spark, sf, "hot_right")
+    only = compare.left_only(left, right, ["l_orderkey"], _hot_limit(left))
+    return only.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("sampled_keys_join_hot_key", oracle(["hot_left"], """
+SELECT * FROM hot_left WHERE l_orderkey IS NULL OR l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0)"""))
+def sampled_keys_join_hot_key(spark, sf):
+    """A long key list that holds the hot (NULL) key."""
+    left = frame(spark, sf, "hot_left")
+    keys = frame(spark, sf, "orders").filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("l_orderkey"))
+    listed = keys.unionByName(spark.range(1).select(F.lit(None).cast("bigint").alias("l_orderkey")))
+    return sampling.restrict(left, listed, ["l_orderkey"], None, _hot_limit(left), most=10)
+
+
 @query("compare_tables_identical", totals_sql("lineitem", "lineitem", LINE_KEYS, LINES))
 def compare_identical(spark, sf):
     lines = frame(spark, sf, "lineitem")
@@ -241,7 +304,7 @@ def duplicate_keys(spark, sf):
 
 @query("duplicate_keys_listing", f"SELECT * FROM ({LINE_COUNTS}) ORDER BY l_orderkey, l_linenumber LIMIT 20")
 def duplicate_keys_listing(spark, sf):
-    return compare.duplicate_keys(frame(spark, sf, "lineitem"), LINE_KEYS)
+    return compare.duplicate_keys(frame(spark, sf, "lineitem"), LINE_KEYS, limit=20)
 
 
 @query("distinct_keys", oracle(["left_customer"], """
@@ -412,9 +475,17 @@ def sample_coverage(spark, sf):
     return sampling.coverage({"left": left_rows, "right": right_rows}, drawn)
 
 
-@query("sample_independent")
+@query("sample_independent", "SELECT CAST(370 AS BIGINT) AS drawn, CAST(370 AS BIGINT) AS keys, CAST(370 AS BIGINT) AS found FROM (SELECT count(*) FROM orders)")
 def sample_independent(spark, sf):
-    return sampling.random_rows(frame(spark, sf, "orders"), 370)
+    """Rows drawn, different keys among them, and rows that are rows of the table."""
+    orders = frame(spark, sf, "orders")
+    drawn = sampling.random_rows(orders, 370)
+    found = drawn.join(orders.select(*[F.col(c).alias(f"t_{c}") for c in ORDERS]), reduce(
+        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"t_{c}")) for c in ORDERS]
+    ), "left")
+    return found.agg(
+        F.count(F.lit(1)).alias("drawn"), F.countDistinct("o_orderkey").alias("keys"), F.count("t_o_orderkey").alias("found")
+    )
 
 
 @query("top_examples", oracle(["right_orders"], """

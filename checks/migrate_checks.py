@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.compare_checks import CUSTOMER, totals_sql
+from checks.compare_checks import CUSTOMER, ORDERS, totals_sql
 from checks.inputs import frame, oracle
 from checks.registry import query
 from checks.source_checks import _priced
@@ -25,10 +25,16 @@ def migrate_full(spark, sf):
     return readers.read_ref(spark, target)
 
 
+@query("migrate_default", "SELECT count(*) AS expected, count(*) AS actual, true AS ok FROM lineitem")
+def migrate_default(spark, sf):
+    """Without a limit the whole table is loaded."""
+    return migrate.migrate(frame(spark, sf, "lineitem"), scratch_path(spark, "target"))
+
+
 @query("migrate_limited", f"SELECT {UPPER} FROM orders ORDER BY o_orderkey LIMIT 1000")
 def migrate_limited(spark, sf):
     target = scratch_path(spark, "target")
-    migrate.migrate(frame(spark, sf, "orders"), target, order=["o_orderkey"])
+    migrate.migrate(frame(spark, sf, "orders"), target, limit=1000, order=["o_orderkey"])
     return readers.read_ref(spark, target)
 
 
@@ -51,13 +57,25 @@ def _in(folder):
 @query("migrate_batch", """WITH n AS (SELECT n_regionkey AS r, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL)
 SELECT ROW_NUMBER() OVER (ORDER BY d) AS ordinal, d AS dataset_id, 't' || r AS target_table,
   CASE WHEN n IS NULL THEN 'error' ELSE 'success' END AS status, CASE WHEN n IS NULL THEN 'no data extracted' END AS error,
-  n AS expected, n AS actual
+  n AS expected, n AS actual, CAST(NULL AS BIGINT) AS row_limit
 FROM (SELECT 'region_' || range AS d, range AS r FROM range(6)) LEFT JOIN n USING (r)""")
 def migrate_batch(spark, sf):
     """Five regions and one that does not exist: its failure does not stop the others."""
     mapping = {f"region_{i}": f"t{i}" for i in range(6)}
     folder = scratch_path(spark, "batch")
-    return migrate.migrate_many(spark, mapping, _by_region(spark, sf, "customer"), _in(folder), limit=None)
+    return migrate.migrate_many(spark, mapping, _by_region(spark, sf, "customer"), _in(folder))
+
+
+@query("migrate_repeated_target", """WITH n AS (SELECT n_regionkey AS r, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL)
+SELECT r + 1 AS ordinal, CASE WHEN r IN (2, 4) THEN 'error' ELSE 'success' END AS status,
+  CASE r WHEN 2 THEN 'Target T0 is that of row 1 already' WHEN 4 THEN 'Target t0 is that of row 1 already' END AS error,
+  CASE WHEN r NOT IN (2, 4) THEN n END AS actual FROM n""")
+def migrate_repeated_target(spark, sf):
+    """Datasets that would overwrite each other: the first is loaded, the others are errors."""
+    mapping = {f"region_{i}": {2: "T0", 4: "t0"}.get(i, f"t{i}") for i in range(5)}
+    folder = scratch_path(spark, "batch")
+    done = migrate.migrate_many(spark, mapping, _by_region(spark, sf, "customer"), _in(folder))
+    return done.select("ordinal", "status", "error", "actual")
 
 
 def _control(spark, sf):
@@ -82,23 +100,27 @@ CONTROL_SQL = """SELECT r_regionkey AS row, CASE WHEN r_regionkey = 3 THEN ' ' E
 def migrate_from_control(spark, sf):
     """The updated control table, with the rows each target holds."""
     folder = scratch_path(spark, "targets")
-    run = migrate.migrate_control(_control(spark, sf), _by_region(spark, sf, "customer"), _in(folder), "row", full=True)
+    run = migrate.migrate_control(_control(spark, sf), _by_region(spark, sf, "customer"), _in(folder), "row")
     loaded = run.outcomes.select(F.col("ordinal").alias("o"), F.col("actual").alias("loaded"))
     joined = run.control.join(loaded, F.col("row") == F.col("o"), "left").drop("o")
     return joined.withColumn("loaded", F.coalesce("loaded", F.lit(0)))
 
 
 @query("migrate_control_to_stage", """
-SELECT replace(upper(r_name), ' ', '_') || '_CUSTOMERS' AS folder, CAST(sum(1) AS BIGINT) AS rows FROM region JOIN nation ON n_regionkey = r_regionkey
+SELECT replace(upper(r_name), ' ', '_') || '_CUSTOMERS' AS folder, CAST(sum(1) AS BIGINT) AS rows, CAST(sum(1) AS BIGINT) AS expected, CAST(sum(1) AS BIGINT) AS actual FROM region JOIN nation ON n_regionkey = r_regionkey
 JOIN customer ON c_nationkey = n_nationkey WHERE r_regionkey NOT IN (1, 3) GROUP BY ALL""")
 def migrate_control_to_stage(spark, sf):
-    """Rows staged per dataset folder."""
+    """Rows staged per dataset folder, beside what the outcomes say."""
     stage = scratch_path(spark, "stage")
-    migrate.control_to_stage(_control(spark, sf), _by_region(spark, sf, "customer"), stage, "row", full=True)
+    run = migrate.control_to_stage(_control(spark, sf), _by_region(spark, sf, "customer"), stage, "row")
     rows = spark.read.option("header", True).option("recursiveFileLookup", True).csv(stage)
-    return rows.groupBy(F.regexp_extract(F.input_file_name(), "([^/]+)/[^/]+$", 1).alias("folder")).agg(
+    found = rows.groupBy(F.regexp_extract(F.input_file_name(), "([^/]+)/[^/]+$", 1).alias("folder")).agg(
         F.count(F.lit(1)).alias("rows")
     )
+    told = run.outcomes.filter("status = 'success'").select(
+        F.upper(F.regexp_replace("target_table", "[^A-Za-z0-9]+", "_")).alias("folder"), "expected", "actual"
+    )
+    return found.join(told, "folder", "left")
 
 
 @query("migrate_to_stage", """SELECT CAST(o_orderkey AS VARCHAR) AS "O_ORDERKEY", CAST(o_custkey AS VARCHAR) AS "O_CUSTKEY",
@@ -109,28 +131,52 @@ def migrate_to_stage(spark, sf):
     return readers.read_csv(spark, f"{stage}/orders", infer=False)
 
 
-@query("migrate_via_stage", f"SELECT {UPPER} FROM orders")
+@query("migrate_via_stage", f"""SELECT {UPPER}, o_orderdate + INTERVAL 123456 MICROSECOND AS "STAMP",
+  count(*) OVER () AS expected, count(*) OVER () AS actual, CAST(0 AS BIGINT) AS rejected FROM orders""")
 def migrate_via_stage(spark, sf):
+    """The loaded rows, with a time in microseconds, beside the verification."""
     stage, target = scratch_path(spark, "stage"), scratch_path(spark, "target")
-    return migrate.via_stage(frame(spark, sf, "orders"), stage, "orders", target)
+    orders = frame(spark, sf, "orders").withColumn("stamp", F.expr("cast(o_orderdate + INTERVAL '0.123456' SECOND AS timestamp)"))
+    check = migrate.via_stage(orders, stage, "orders", target).first()
+    loaded = readers.read_ref(spark, target).withColumn("STAMP", F.col("STAMP").cast("timestamp_ntz"))
+    return loaded.withColumns({n: F.lit(check[n]).cast("bigint") for n in ("expected", "actual", "rejected")})
+
+
+def _saved(spark, sf, name):
+    path = scratch_path(spark, "csv")
+    sinks.save_csv(frame(spark, sf, name), path)
+    return readers.read_csv(spark, path)
 
 
 @query("compare_with_csv", oracle(["right_orders"], totals_sql(
-    "orders", "right_orders", ["o_orderkey"], ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"],
-    schema_match=False, tol=0.01, simple=True)))
+    "orders", "right_orders", ["o_orderkey"], ORDERS, tol=0.01, simple=True)))
 def compare_with_csv(spark, sf):
-    """Types inferred from the file differ from the table's, which exact types report."""
-    path = scratch_path(spark, "csv")
-    sinks.save_csv(frame(spark, sf, "right_orders").drop("o_orderdate"), path)
-    left = frame(spark, sf, "orders").drop("o_orderdate")
-    return report.compare_with_csv(left, readers.read_csv(spark, path), ["o_orderkey"]).summary
+    """The file's inferred types and the table's are brought to one set of types first."""
+    return report.compare_with_csv(frame(spark, sf, "orders"), _saved(spark, sf, "right_orders"), ["o_orderkey"]).summary
+
+
+@query("compare_with_csv_identical", totals_sql("orders", "orders", ["o_orderkey"], ORDERS, tol=0.01, simple=True))
+def compare_with_csv_identical(spark, sf):
+    """All columns of a table against its own file: a perfect match."""
+    return report.compare_with_csv(frame(spark, sf, "orders"), _saved(spark, sf, "orders"), ["o_orderkey"]).summary
 
 
-@query("compare_with_csv_quick", "SELECT false AS overall_match")
+def _csv_verdict(right):
+    return f"""SELECT '{right}' AS file, (SELECT count(*) FROM (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority, round(o_totalprice) FROM orders EXCEPT
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority, round(o_totalprice) FROM {right})) = 0
+  AND (SELECT count(*) FROM orders) = (SELECT count(*) FROM {right}) AS overall_match"""
+
+
+@query("compare_with_csv_quick", oracle(["right_orders"], _csv_verdict("orders") + " UNION ALL " + _csv_verdict("right_orders")))
 def compare_with_csv_quick(spark, sf):
-    path = scratch_path(spark, "csv")
-    sinks.save_csv(frame(spark, sf, "right_orders"), path)
-    return report.quick_csv_match(frame(spark, sf, "orders"), readers.read_csv(spark, path), ["o_orderkey"])
+    """The quick verdict on an identical and on a changed file."""
+    orders = frame(spark, sf, "orders")
+    verdicts = [
+        report.quick_csv_match(orders, _saved(spark, sf, name), ["o_orderkey"]).select(F.lit(name).alias("file"), "overall_match")
+        for name in ("orders", "right_orders")
+    ]
+    return verdicts[0].unionByName(verdicts[1])
 
 
 def _comparisons(spark, sf):

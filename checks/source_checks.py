@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,11 +102,32 @@ def scan_control_table(spark, sf):
     return readers.read_control(spark, path)
 
 
-@query("scan_stage_files")
+@query("scan_stage_files", """SELECT ceil(count(*) / 500.0) <= 1 OR count(*) > 500 AS several, true AS named, true AS sized, true AS dated,
+  count(*) AS rows FROM orders""")
 def scan_stage_files(spark, sf):
+    """Whether every listed file has a name, a size and a time, and the rows of the listed files."""
     stage = scratch_path(spark, "stage")
-    sinks.write_stage(frame(spark, sf, "orders"), stage, "orders", file_rows=50_000)
-    return readers.list_stage(spark, stage)
+    folder = sinks.write_stage(frame(spark, sf, "orders"), stage, "orders", file_rows=500)
+    rows = readers.read_csv(spark, folder, infer=False).groupBy(F.regexp_extract(F.input_file_name(), "([^/]+)$", 1).alias("file")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    listed = readers.list_stage(spark, stage).join(rows, F.col("name") == F.col("file"), "full")
+    return listed.agg(
+        (F.count("name") > 1).alias("several"), F.bool_and(F.col("name").endswith(".csv.gz")).alias("named"),
+        F.bool_and(F.col("size") > 0).alias("sized"), F.bool_and(F.col("last_modified").isNotNull()).alias("dated"),
+        F.sum("n").alias("rows"),
+    )
+
+
+@query("sink_table_append_types", """SELECT o_orderkey::VARCHAR AS k, o_custkey AS v FROM orders
+UNION ALL SELECT 'x' || o_orderkey, o_custkey FROM orders""")
+def sink_table_append_types(spark, sf):
+    """Text appended to numbers, and whole doubles to integers: the table stays readable and keeps every value."""
+    orders, path = frame(spark, sf, "orders"), scratch_path(spark, "table")
+    sinks.write_table(orders.select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("v")), path)
+    more = orders.select(F.concat(F.lit("x"), "o_orderkey").alias("k"), F.col("o_custkey").cast("double").alias("v"))
+    sinks.write_table(more, path, "append")
+    return spark.read.parquet(path)
 
 
 @query("sink_table", """
@@ -186,17 +209,24 @@ def verify_load(spark, sf):
 
 
 @query("write_report", oracle(["right_orders"], """
-SELECT 'left_only' AS part, o_orderkey FROM (SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM right_orders) ORDER BY 1 LIMIT 5)
-UNION ALL SELECT 'right_only', o_orderkey FROM (SELECT o_orderkey FROM right_orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders) ORDER BY 1 LIMIT 5)"""))
+SELECT 'left_only' AS part, o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM right_orders)
+UNION ALL SELECT 'right_only', o_orderkey FROM right_orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT 'summary', common FROM (SELECT count(*) AS common FROM orders JOIN right_orders USING (o_orderkey))
+UNION ALL SELECT 'column_stats', 5 UNION ALL SELECT 'left_duplicates', 0 UNION ALL SELECT 'right_duplicates', 0"""))
 def write_report(spark, sf):
-    """The listings of a written report, read back."""
+    """A written report read back: its whole lists of rows, and a number of each other table."""
     compared = report.compare_tables(frame(spark, sf, "orders"), frame(spark, sf, "right_orders"), ["o_orderkey"])
     compared = compared.settled()
     path = scratch_path(spark, "report")
     sinks.write_report(compared.frames(), path)
     sinks.write_text(report.executive_summary(compared, "orders"), f"{path}/text")
-    return spark.read.parquet(f"{path}/left_only_examples").select(F.lit("left_only").alias("part"), "o_orderkey").unionByName(
-        spark.read.parquet(f"{path}/right_only_examples").select(F.lit("right_only").alias("part"), "o_orderkey")
-    )
+    parts = [
+        spark.read.parquet(f"{path}/{part}").select(F.lit(part).alias("part"), "o_orderkey")
+        for part in ("left_only", "right_only")
+    ]
+    parts.append(spark.read.parquet(f"{path}/summary").select(F.lit("summary"), "common_rows"))
+    for part in ("column_stats", "left_duplicates", "right_duplicates"):
+        parts.append(spark.read.parquet(f"{path}/{part}").agg(F.lit(part), F.count(F.lit(1))))
+    return reduce(lambda a, b: a.union(b), parts)
 
 

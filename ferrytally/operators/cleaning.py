@@ -129,11 +129,19 @@ def null_counts_introduced(df: DataFrame, converted: dict[str, Column]) -> DataF
     return df.agg(*lost).select(F.inline(F.array(*entries)))
 
 
-def logical_types(df: DataFrame, n: int | None = None, order: list[str] | None = None) -> DataFrame:
+def _share(parsed: Column, value: Column, threshold: float) -> Column:
+    """Whether enough of the values that are not blank can be parsed."""
+    filled = value.isNotNull() & (F.trim(value) != "")
+    return (F.count_if(filled) > 0) & (F.count_if(filled & parsed.isNotNull()) >= threshold * F.count_if(filled))
+
+
+def logical_types(
+    df: DataFrame, n: int | None = None, order: list[str] | None = None, threshold: float = THRESHOLD
+) -> DataFrame:
     """``(ordinal, name, logical_type, warehouse_type)`` of each column.
 
-    Typed columns keep their type. A text column is DATETIME when a value is a date, DOUBLE
-    when a value is a number and the column's name suggests a quantity, else STRING. ``n``
+    Typed columns keep their type. A text column is DATETIME when at least ``threshold`` of its values are
+    dates, DOUBLE when as many are numbers and the column's name suggests a quantity, else STRING. ``n``
     restricts the evidence to the first ``n`` rows in ``order``.
     """
     sample = df if n is None else first_rows(df, cols(order or df.columns), n)
@@ -141,8 +149,8 @@ def logical_types(df: DataFrame, n: int | None = None, order: list[str] | None =
     evidence = [F.lit(0).alias("none")]
     for i, name in enumerate(names):
         evidence += [
-            F.bool_or(as_timestamp(col(name)).isNotNull()).alias(f"date_{i}"),
-            F.bool_or(as_double(col(name)).isNotNull()).alias(f"number_{i}"),
+            _share(as_timestamp(col(name)), col(name), threshold).alias(f"date_{i}"),
+            _share(as_double(col(name)), col(name), threshold).alias(f"number_{i}"),
         ]
     entries = []
     for ordinal, f in enumerate(df.schema, 1):

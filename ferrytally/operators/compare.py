@@ -1,8 +1,8 @@
 """Keyed comparison of two tables: matching, differences, duplicates.
 
 Keys match null-safely (NULL equals NULL). Rows that share a key are paired by their
-occurrence number, so a key held by many rows never multiplies and the join key
-``(keys, occurrence)`` is unique on each side: no join task can be skewed.
+occurrence number, so a key held by many rows never multiplies. Rows of keys too frequent
+for one task are split off and spread before they are numbered or joined.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ferrytally.columns import col, cols, partner_keys, same_key
 from ferrytally.operators.numbering import (
-    HOT_ROWS, KeyProfile, first_rows, hot_keys, number_hot, number_within, profile_keys, split_hot,
+    BROADCAST_KEYS, HOT_ROWS, KeyProfile, first_rows, hot_keys, number_hot, number_within, profile_keys, sortable, split_hot,
 )
 
 OCCURRENCE = "occurrence"
@@ -141,7 +141,7 @@ def _stacked_order(pair: Pair, same: list[bool]) -> list[str]:
 
 def _numbered_in_place(both: DataFrame, pair: Pair, same: list[bool]) -> DataFrame:
     """Occurrence numbers per side after one exchange by key; no key is hot here."""
-    order = [F.col(c).asc_nulls_first() for c in _stacked_order(pair, same)] or [F.lit(1).asc()]
+    order = [sortable(both, c).asc_nulls_first() for c in _stacked_order(pair, same)] or [F.lit(1).asc()]
     window = Window.partitionBy(*cols(pair.keys), "is_left").orderBy(*order)
     return both.repartition(*cols(pair.keys)).withColumn(OCCURRENCE, F.row_number().over(window).cast("bigint"))
 
@@ -154,8 +154,11 @@ def _paired(numbered: DataFrame, pair: Pair, same: list[bool]) -> DataFrame:
     is_left = F.col("is_left")
     folded = [F.max(F.when(is_left, True)).alias("in_left"), F.max(F.when(~is_left, True)).alias("in_right")]
     for i in range(len(pair.common)):
-        folded.append(F.max(F.when(is_left, F.col(f"v_{i}")) if same[i] else F.col(f"l_{i}")).alias(f"l_{i}"))
-        folded.append(F.max(F.when(~is_left, F.col(f"v_{i}")) if same[i] else F.col(f"r_{i}")).alias(f"r_{i}"))
+        for side, here in (("l", is_left), ("r", ~is_left)):
+            value = F.when(here, F.col(f"v_{i}")) if same[i] else F.col(f"{side}_{i}")
+            # One row of a side at most, so any value is its value; maps have no maximum.
+            is_map = isinstance(numbered.schema[f"v_{i}" if same[i] else f"{side}_{i}"].dataType, T.MapType)
+            folded.append((F.first(value, ignorenulls=True) if is_map else F.max(value)).alias(f"{side}_{i}"))
     rows = numbered.groupBy(*cols(pair.keys), OCCURRENCE).agg(*folded)
     return _tagged(rows, cols(pair.keys), F.col(OCCURRENCE), len(pair.common))
 
@@ -189,15 +192,30 @@ def left_only(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int
     """Rows of the left side without a partner on the right.
 
     Only the number of rows per key matters on the right, so the right side is reduced to
-    counts before it is shuffled to the join.
+    counts before it is shuffled to the join. Rows of hot keys stay where they were numbered: the
+    counts of those few keys are sent to them.
     """
     pair = prepare(left, right, keys)
     ordered = pair.left.select(*cols(keys), *cols(pair.common), *cols(pair.left_extra))
-    numbered = occurrence_number(ordered, keys, hot_rows)
     counts = pair.right.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("__partners"))
-    joined = numbered.join(partner_keys(counts, keys), same_key(keys), "left")
-    unmatched = F.col(OCCURRENCE) > F.coalesce(F.col("__partners"), F.lit(0))
-    return joined.filter(unmatched).select(*cols(pair.left.columns))
+    columns = cols(pair.left.columns)
+    profile = profile_keys([ordered], keys, hot_rows)
+    if profile.hot_keys == 0:
+        return _beyond(occurrence_number(ordered, keys, hot_rows), counts, keys).select(*columns)
+    hot = hot_keys([ordered], keys, hot_rows)
+    cold_part, hot_part = split_hot(ordered, hot, keys, profile.hot_keys)
+    others = [c for c in ordered.columns if c not in keys]
+    spread = number_hot(hot_part, keys, others, OCCURRENCE, hot_rows, profile.hot_rows)
+    few = counts.join(hot.select(*[f"__k{i}" for i in range(len(keys))]), same_key(keys), "left_semi")
+    kept = _beyond(spread, few, keys, profile.hot_keys <= BROADCAST_KEYS)
+    return _beyond(occurrence_number(cold_part, keys, hot_rows), counts, keys).select(*columns).unionByName(kept.select(*columns))
+
+
+def _beyond(numbered: DataFrame, counts: DataFrame, keys: list[str], small: bool = False) -> DataFrame:
+    """Numbered rows past the number of partners their key has."""
+    side = partner_keys(counts, keys)
+    joined = numbered.join(F.broadcast(side) if small else side, same_key(keys), "left")
+    return joined.filter(F.col(OCCURRENCE) > F.coalesce(F.col("__partners"), F.lit(0)))
 
 
 def right_only(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -213,6 +231,13 @@ def _numeric(dt: T.DataType) -> bool:
     return isinstance(dt, T.NumericType)
 
 
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _exact(dt: T.DataType) -> bool:
+    return isinstance(dt, T.IntegralType)
+
+
 @dataclass(frozen=True)
 class _Column:
     name: str
@@ -228,19 +253,30 @@ def _columns(pair: Pair, abs_tol: float, rel_tol: float) -> list[_Column]:
         lt, rt = pair.left.schema[c].dataType, pair.right.schema[c].dataType
         diff = F.lit(None).cast("double")
         if _numeric(lt) and _numeric(rt):
-            diff = F.abs(a.cast("double") - b.cast("double"))
+            # Doubles cannot tell large integers apart.
+            kind = "decimal(20,0)" if _exact(lt) and _exact(rt) else "double"
+            diff = F.abs(a.cast(kind) - b.cast(kind)).cast("double")
             equal = a.eqNullSafe(b)
             if abs_tol or rel_tol:
                 close = diff <= F.lit(abs_tol) + F.lit(rel_tol) * F.abs(b.cast("double"))
                 equal = F.coalesce(equal | close, F.lit(False))
+        elif isinstance(lt, T.MapType) and lt == rt:
+            equal = F.array_sort(F.map_entries(a)).eqNullSafe(F.array_sort(F.map_entries(b)))
         elif lt == rt:
             equal = a.eqNullSafe(b)
+        elif isinstance(lt, _TIMES) and isinstance(rt, _TIMES):
+            equal = a.cast("timestamp_ntz").eqNullSafe(b.cast("timestamp_ntz"))
         else:
             equal = a.cast("string").eqNullSafe(b.cast("string"))
         out.append(_Column(c, equal, diff, a.isNull() != b.isNull()))
     return out
 
 
+COLUMN_STATS = (
+    "array<struct<column:string,match_cnt:bigint,unequal_cnt:bigint,all_match:boolean,max_diff:double,null_diff:bigint>>"
+)
+
+
 def compare_totals(
     pair: Pair, abs_tol: float = 0.0, rel_tol: float = 0.0, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -285,11 +321,10 @@ def compare_totals(
         )
         for i, c in enumerate(columns)
     ]
-    empty = "array<struct<column:string,match_cnt:bigint,unequal_cnt:bigint,all_match:boolean,max_diff:double,null_diff:bigint>>"
     return totals.select(
         "common_rows", "left_only_rows", "right_only_rows", "rows_with_differences",
         "left_duplicate_rows", "right_duplicate_rows",
-        (F.array(*stats) if stats else F.array()).cast(empty).alias("columns"),
+        (F.array(*stats) if stats else F.array()).cast(COLUMN_STATS).alias("columns"),
     )
 
 
@@ -337,8 +372,8 @@ def duplicate_row_count(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def duplicate_keys(df: DataFrame, keys: list[str], limit: int | None = 20) -> DataFrame:
-    """Repeated keys with counts, in key order; ``limit`` is the length of the listing."""
+def duplicate_keys(df: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame:
+    """Repeated keys with counts; ``limit`` asks for a listing of the first ones in key order."""
     counts = key_counts(df, keys)
     if limit is None:
         return counts

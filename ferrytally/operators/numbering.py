@@ -27,6 +27,8 @@ from ferrytally.session import materialise, shuffle_width
 HOT_ROWS = 1_000_000
 BROADCAST_KEYS = 100_000
 DIRECT_LIMIT = 100_000
+# A top-n of every partition is gathered in one task, so only very small ones are taken directly.
+TOP_ROWS = 100
 
 _N, _PART, _START, _CHUNK = "__n", "__part", "__start", "__chunk"
 
@@ -73,7 +75,9 @@ def _key_hash(df: DataFrame, keys: list[str]) -> Column:
         return F.lit(0).cast("bigint")
     # Adding zero makes -0.0 hash like 0.0, which it equals.
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return F.xxhash64(*[col(k) + F.lit(0.0) if k in floats else col(k) for k in keys])
+    # The hash passes over NULLs: their places tell (NULL, 1) from (1, NULL).
+    values = [col(k) + F.lit(0.0) if k in floats else col(k) for k in keys]
+    return F.xxhash64(*values, *[col(k).isNull() for k in keys])
 
 
 def hot_keys(frames: list[DataFrame], keys: list[str], hot_rows: int) -> DataFrame:
@@ -112,19 +116,26 @@ def number_within(
     return _number_by_window(cold_rows, by, ordering, name).unionByName(numbered)
 
 
-def _ascending(names: list[str]) -> list[Column]:
-    return [col(c).asc_nulls_first() for c in names] or [F.lit(1).asc()]
+def sortable(df: DataFrame, name: str) -> Column:
+    """A column in a form that can be ordered and compared: a map as its sorted entries."""
+    if isinstance(df.schema[name].dataType, T.MapType):
+        return F.array_sort(F.map_entries(col(name)))
+    return col(name)
+
+
+def _ascending(df: DataFrame, names: list[str]) -> list[Column]:
+    return [sortable(df, c).asc_nulls_first() for c in names] or [F.lit(1).asc()]
 
 
 def _number_by_window(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
-    window = Window.partitionBy(*cols(by)).orderBy(*_ascending(order))
+    window = Window.partitionBy(*cols(by)).orderBy(*_ascending(df, order))
     return df.withColumn(name, F.row_number().over(window).cast("bigint"))
 
 
 def number_hot(df: DataFrame, by: list[str], order: list[str], name: str, hot_rows: int, total: int) -> DataFrame:
     """Number rows whose keys are all hot; ``total`` is (about) their number."""
     columns = df.columns
-    ordering = _ascending(order)
+    ordering = _ascending(df, order)
     distinct = df.groupBy(*cols(columns)).agg(F.count(F.lit(1)).alias(_N))
     width = shuffle_width(df, total, hot_rows)
     by_order = [col(c).asc_nulls_first() for c in by]
@@ -150,7 +161,7 @@ def number_hot(df: DataFrame, by: list[str], order: list[str], name: str, hot_ro
     chunked = placed.withColumn(
         _CHUNK, F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(_N) - 1) / chunk)))
     )
-    if ranged.agg(F.max(_N)).first()[0] > hot_rows:
+    if (ranged.agg(F.max(_N)).first()[0] or 0) > hot_rows:
         chunked = chunked.repartition(width, *cols(columns), _CHUNK)
     first = F.col(_CHUNK) * chunk
     last = F.least(F.col(_N), first + chunk) - 1
@@ -168,16 +179,18 @@ def first_rows(
 ) -> DataFrame:
     """The first ``n`` rows in ascending ``order``, ties broken by the other columns.
 
-    A small ``n`` is a top-n. A large one would gather ``n`` rows in one task: then rows that
-    cannot be among the first are filtered out by a sampled upper bound, what is left is
-    range-partitioned, whole partitions before the cut are kept as they are and only the
-    partition holding the cut is sorted for its remainder.
+    A very small ``n`` is a top-n. A larger one would gather ``n`` rows of every partition in one task:
+    then rows that cannot be among the first are filtered out by a sampled upper bound. If a few
+    are left, those are sorted; otherwise they are range-partitioned, whole partitions before the cut
+    are kept as they are and only the partition holding the cut is sorted for its remainder.
     """
     ties = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
     keys = _sort_keys([*order, *cols(ties)], nulls_last)
-    if n <= direct_limit:
+    if n <= min(TOP_ROWS, direct_limit):
         return df.orderBy(*keys).limit(n)
     near, rows = _below_bound(df, keys, n)
+    if rows <= direct_limit:
+        return near.orderBy(*keys).limit(n)
     width = shuffle_width(df, rows, direct_limit)
     ranged = materialise(near.repartitionByRange(width, *keys).withColumn(_PART, F.spark_partition_id()))
     sizes = ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_N)).orderBy(_PART).collect()

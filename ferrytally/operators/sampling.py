@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from ferrytally.columns import col, cols, partner_keys, same_key
 from ferrytally.functions.bands import sample_size_of
 from ferrytally.operators.compare import distinct_keys
-from ferrytally.operators.numbering import BROADCAST_KEYS, DIRECT_LIMIT, first_rows
+from ferrytally.operators.numbering import (
+    BROADCAST_KEYS, DIRECT_LIMIT, HOT_ROWS, first_rows, hot_keys, profile_keys, split_hot,
+)
 from ferrytally.session import materialise
 
 SEED = 42
@@ -36,15 +38,38 @@ def first_keys(df: DataFrame, keys: list[str], order: list[str], n: int) -> Data
     return first_rows(seen, [F.col("__first"), *cols(keys)], n).drop("__first")
 
 
-def restrict(df: DataFrame, sampled: DataFrame, keys: list[str], sampled_rows: int | None = None) -> DataFrame:
+BROADCAST_BYTES = 64 << 20
+
+
+def restrict(
+    df: DataFrame, sampled: DataFrame, keys: list[str], sampled_rows: int | None = None, hot_rows: int = HOT_ROWS,
+    most: int = BROADCAST_KEYS,
+) -> DataFrame:
     """All rows whose key is in ``sampled`` (NULL matches NULL), duplicates kept.
 
-    ``sampled`` is broadcast only when the caller knows it to be small.
+    A list of at most ``most`` keys counts as small. One of a size that is not known is counted first. A small one is broadcast; beside a large one
+    rows of hot keys are split off, so that they do not meet in one task.
     """
-    side = partner_keys(sampled.select(*cols(keys)), keys)
-    if sampled_rows is not None and sampled_rows <= BROADCAST_KEYS:
-        side = F.broadcast(side)
-    return df.join(side, same_key(keys), "left_semi")
+    listed = sampled.select(*cols(keys))
+    side = partner_keys(listed, keys)
+    if sampled_rows is None or sampled_rows > most:
+        sampled_rows = side.limit(most + 1).count()
+    if sampled_rows <= most and _bytes(side) <= BROADCAST_BYTES:
+        return df.join(F.broadcast(side), same_key(keys), "left_semi")
+    profile = profile_keys([df], keys, hot_rows)
+    if profile.hot_keys == 0 or profile.hot_keys > BROADCAST_KEYS:
+        return df.join(side, same_key(keys), "left_semi")
+    hot = hot_keys([df], keys, hot_rows)
+    cold_part, hot_part = split_hot(df, hot, keys, profile.hot_keys)
+    few = hot.select(*[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)]).join(side, same_key(keys), "left_semi")
+    kept = hot_part.join(F.broadcast(partner_keys(few, keys)), same_key(keys), "left_semi")
+    return cold_part.join(side, same_key(keys), "left_semi").unionByName(kept)
+
+
+def _bytes(side: DataFrame) -> int:
+    """The size of a short key list as text."""
+    length = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint") for c in side.columns]
+    return side.agg(F.coalesce(F.sum(sum(length, F.lit(0))), F.lit(0))).first()[0]
 
 
 def rows_for_keys(df: DataFrame, sampled: DataFrame, keys: list[str], sampled_rows: int | None = None) -> DataFrame:

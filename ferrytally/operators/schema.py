@@ -93,10 +93,11 @@ def schema_summary(left: DataFrame, right: DataFrame, transform: bool = False) -
 
 def column_sets(left: DataFrame, right: DataFrame) -> DataFrame:
     """Column names left minus right, right minus left and in both, tagged by ``part``."""
-    lhs, rhs = left.select("dataset", "name"), right.select("dataset", "name")
-    parts = {"left_only": lhs.exceptAll(rhs), "right_only": rhs.exceptAll(lhs), "both": lhs.intersect(rhs)}
-    tagged = [df.distinct().withColumn("part", F.lit(part)) for part, df in parts.items()]
-    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+    sides = left.select("dataset", "name", F.lit(1).alias("side")).unionByName(
+        right.select("dataset", "name", F.lit(2).alias("side"))
+    )
+    part = F.when(F.min("side") == 2, "right_only").when(F.max("side") == 1, "left_only").otherwise("both")
+    return sides.groupBy("dataset", "name").agg(part.alias("part"))
 
 
 def combine_schemas(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -48,6 +48,8 @@ def _compare(row: Row, ordinal: str, left_of: Resolve, right_of: Resolve, option
         ).settled()
         verdict = report.summary.first()
         title = f"{verdict['status']}: {row['dataset_id']} -> {row['table_name']}"
+        if report.errors:
+            raise ValueError("; ".join(text for _, text in report.errors))
         note = summary_text(executive_summary(report, title)).first()["summary"]
         return Comparison(*where, "success", verdict["overall_match"], note)
     except Exception as e:  # one failure must not stop the others

@@ -17,10 +17,11 @@ from pyspark.sql import types as T
 from ferrytally.functions.names import identifier, rename_columns, table_name, warehouse_name
 from ferrytally.operators.cleaning import drop_empty_rows, trim_headers
 from ferrytally.operators.control import MIGRATION, find_header, pending, standardize, update_status
-from ferrytally.sources.readers import list_stage, read_dataset
-from ferrytally.sources.sinks import load_stage, verify_count, write_stage, write_table
+from ferrytally.sources.readers import list_stage, read_dataset, read_ref
+from ferrytally.sources.sinks import (
+    exists, load_rejects, load_stage, read_stage, verify_count, write_stage, write_table,
+)
 
-DEFAULT_ROWS = 1000
 Resolve = Callable[[str], DataFrame]
 TargetOf = Callable[[str], str]
 
@@ -36,11 +37,12 @@ class Outcome:
     error: str | None = None
     expected: int | None = None
     actual: int | None = None
+    row_limit: int | None = None  # of the extract; none: the whole table
 
 
 OUTCOME_SCHEMA = (
     "ordinal bigint, dataset_id string, target_table string, status string, error string, "
-    "expected bigint, actual bigint"
+    "expected bigint, actual bigint, row_limit bigint"
 )
 
 
@@ -56,10 +58,10 @@ def _extract(source: DataFrame, limit: int | None, order: list[str] | None) -> D
 
 
 def migrate(
-    source: DataFrame, target: str, limit: int | None = DEFAULT_ROWS, order: list[str] | None = None,
+    source: DataFrame, target: str, limit: int | None = None, order: list[str] | None = None,
     if_exists: str = "replace",
 ) -> DataFrame:
-    """Extract, clean, load and verify one dataset; ``limit=None`` takes the whole table.
+    """Extract, clean, load and verify one dataset: the whole table, or its first ``limit`` rows.
 
     An empty extract is an error and leaves the target alone. Returns ``(expected, actual, ok)``.
     """
@@ -70,14 +72,27 @@ def migrate(
     return verify_count(spark, target, written.get["rows"])
 
 
-def _attempt(ordinal: int, dataset_id: str, target: str, work: Callable[[], DataFrame]) -> Outcome:
+def _attempt(
+    ordinal: int, dataset_id: str, target: str, work: Callable[[], DataFrame], limit: int | None = None
+) -> Outcome:
     try:
         check = work().first()
     except Exception as e:  # one failure must not stop the others
-        return Outcome(ordinal, dataset_id, target, "error", str(e).split("\n")[0])
+        return Outcome(ordinal, dataset_id, target, "error", str(e).split("\n")[0], row_limit=limit)
     status = "success" if check["ok"] else "failed"
     error = None if check["ok"] else f"Dataset {dataset_id}: Migration failed"
-    return Outcome(ordinal, dataset_id, target, status, error, check["expected"], check["actual"])
+    return Outcome(ordinal, dataset_id, target, status, error, check["expected"], check["actual"], limit)
+
+
+class _Targets:
+    """The targets given out so far: two datasets must not overwrite each other."""
+
+    def __init__(self):
+        self.seen: dict[str, int] = {}
+
+    def taken(self, target: str, ordinal: int) -> str | None:
+        first = self.seen.setdefault(target.lower(), ordinal)
+        return None if first == ordinal else f"Target {target} is that of row {first} already"
 
 
 def _run(jobs: list[Callable[[], Outcome]], concurrent: int) -> list[Outcome]:
@@ -88,12 +103,17 @@ def _run(jobs: list[Callable[[], Outcome]], concurrent: int) -> list[Outcome]:
 
 def migrate_many(
     spark: SparkSession, mapping: dict[str, str], resolve: Resolve, target_of: TargetOf = str,
-    limit: int | None = DEFAULT_ROWS, order: list[str] | None = None, concurrent: int = 4,
+    limit: int | None = None, order: list[str] | None = None, concurrent: int = 4,
 ) -> DataFrame:
-    """Migrate ``{dataset_id: target_table}``; one outcome row per dataset."""
+    """Migrate ``{dataset_id: target_table}``; one outcome row per dataset. A repeated target is an error."""
+    targets = _Targets()
+
     def job(ordinal: int, dataset_id: str, target: str) -> Callable[[], Outcome]:
+        taken = targets.taken(target, ordinal)
+        if taken:
+            return lambda: Outcome(ordinal, dataset_id, target, "error", taken, row_limit=limit)
         return lambda: _attempt(
-            ordinal, dataset_id, target, lambda: migrate(resolve(dataset_id), target_of(target), limit, order)
+            ordinal, dataset_id, target, lambda: migrate(resolve(dataset_id), target_of(target), limit, order), limit
         )
 
     jobs = [job(i, d, t) for i, (d, t) in enumerate(mapping.items(), 1)]
@@ -115,19 +135,22 @@ def pending_rows(control: DataFrame, ordinal: str) -> DataFrame:
 
 
 def _control_run(
-    control: DataFrame, ordinal: str, work: Callable[[str, str], DataFrame], concurrent: int
+    control: DataFrame, ordinal: str, work: Callable[[str, str], DataFrame], concurrent: int, limit: int | None = None
 ) -> ControlRun:
     spark = control.sparkSession
-    jobs = []
+    jobs, targets = [], _Targets()
     # One entry per dataset to migrate, streamed from the control table in order.
     for row in pending_rows(control, ordinal).orderBy(ordinal).toLocalIterator():
         position, dataset_id, target = row[ordinal], row["dataset_id"], row["target_table"]
         if dataset_id is None or not dataset_id.strip():
-            blank = Outcome(position, dataset_id, None, "error", f"Row {position}: Empty or invalid Dataset ID")
+            blank = Outcome(position, dataset_id, None, "error", f"Row {position}: Empty or invalid Dataset ID", row_limit=limit)
             jobs.append(lambda blank=blank: blank)
+        elif taken := targets.taken(target, position):
+            repeat = Outcome(position, dataset_id, target, "error", f"Row {position}: {taken}", row_limit=limit)
+            jobs.append(lambda repeat=repeat: repeat)
         else:
             jobs.append(
-                lambda p=position, d=dataset_id, t=target: _attempt(p, d, t, lambda: work(d, t))
+                lambda p=position, d=dataset_id, t=target: _attempt(p, d, t, lambda: work(d, t), limit)
             )
     outcomes = outcomes_frame(spark, _run(jobs, concurrent))
     id_header = find_header(control, MIGRATION[0].aliases)
@@ -139,17 +162,15 @@ def _control_run(
 
 
 def migrate_control(
-    control: DataFrame, resolve: Resolve, target_of: TargetOf, ordinal: str, full: bool = False,
+    control: DataFrame, resolve: Resolve, target_of: TargetOf, ordinal: str, limit: int | None = None,
     order: list[str] | None = None, concurrent: int = 4,
 ) -> ControlRun:
-    """Migrate the pending rows of a control table and mark the migrated ones.
+    """Migrate the pending rows of a control table, whole tables by default, and mark the migrated ones.
 
-    Rows without an id become error outcomes. ``full`` takes whole tables, otherwise the first
-    1,000 rows.
+    Rows without an id, and rows whose target another row has already, become error outcomes.
     """
-    limit = None if full else DEFAULT_ROWS
     return _control_run(
-        control, ordinal, lambda d, t: migrate(resolve(d), target_of(t), limit, order), concurrent
+        control, ordinal, lambda d, t: migrate(resolve(d), target_of(t), limit, order), concurrent, limit
     )
 
 
@@ -157,11 +178,19 @@ def to_stage(
     source: DataFrame, stage: str, name: str, limit: int | None = None, order: list[str] | None = None
 ) -> DataFrame:
     """Extract to gzip CSV files of a stage; fails when none was written. Returns the listing."""
-    folder = write_stage(_extract(source, limit, order), stage, name)
-    files = list_stage(source.sparkSession, folder)
-    if files.isEmpty():
+    folder, _ = _staged(source, stage, name, limit, order)
+    return list_stage(source.sparkSession, folder)
+
+
+def _staged(
+    source: DataFrame, stage: str, name: str, limit: int | None = None, order: list[str] | None = None
+) -> tuple[str, int]:
+    """The folder of the staged files and the number of rows written to them."""
+    written = Observation()
+    folder = write_stage(_extract(source, limit, order).observe(written, F.count(F.lit(1)).alias("rows")), stage, name)
+    if list_stage(source.sparkSession, folder).isEmpty():
         raise ValueError(f"no file staged in {folder}")
-    return files
+    return folder, written.get["rows"]
 
 
 def staged_schema(source: DataFrame) -> T.StructType:
@@ -173,24 +202,39 @@ def via_stage(
     source: DataFrame, stage: str, name: str, target: str, if_exists: str = "replace",
     limit: int | None = None, order: list[str] | None = None,
 ) -> DataFrame:
-    """Stage a dataset, load the target from the staged files, verify against them."""
+    """Stage a dataset, load the target from the staged files, and verify.
+
+    One row ``(expected, actual, rejected, ok)``: rows staged, rows that the load put into the target, and
+    staged records that do not fit the schema.
+    """
     spark = source.sparkSession
-    to_stage(source, stage, name, limit, order)
-    folder = f"{stage.rstrip('/')}/{name}"
-    load_stage(spark, folder, target, staged_schema(source), if_exists=if_exists)
-    return spark.read.parquet(target) if "/" in target else spark.table(target)
+    folder, expected = _staged(source, stage, name, limit, order)
+    schema = staged_schema(source)
+    before = read_ref(spark, target).count() if if_exists == "append" and exists(spark, target) else 0
+    load_stage(spark, folder, target, schema, if_exists=if_exists)
+    rejected = load_rejects(spark, folder, schema).count()
+    return verify_count(spark, target, expected + before).select(
+        F.lit(expected).cast("bigint").alias("expected"), (F.col("actual") - before).alias("actual"),
+        F.lit(rejected).cast("bigint").alias("rejected"), (F.col("ok") & F.lit(rejected == 0)).alias("ok"),
+    )
 
 
 def control_to_stage(
-    control: DataFrame, resolve: Resolve, stage: str, ordinal: str, full: bool = False, concurrent: int = 4
+    control: DataFrame, resolve: Resolve, stage: str, ordinal: str, limit: int | None = None, concurrent: int = 4
 ) -> ControlRun:
-    """Stage the pending rows of a control table, one folder of files per dataset."""
+    """Stage the pending rows of a control table, one folder of files per dataset.
+
+    What was written is compared with the rows that the files hold when read back.
+    """
     spark = control.sparkSession
 
     def work(dataset_id: str, target: str) -> DataFrame:
         name = spark.range(1).select(identifier(F.lit(target))).first()[0]
-        files = to_stage(resolve(dataset_id), stage, name, None if full else DEFAULT_ROWS)
+        source = resolve(dataset_id)
+        folder, expected = _staged(source, stage, name, limit)
         n = F.count(F.lit(1))
-        return files.agg(n.alias("expected"), n.alias("actual"), (n > 0).alias("ok"))
+        return read_stage(spark, folder, staged_schema(source)).agg(
+            F.lit(expected).cast("bigint").alias("expected"), n.alias("actual"), (n == expected).alias("ok")
+        )
 
-    return _control_run(control, ordinal, work, concurrent)
+    return _control_run(control, ordinal, work, concurrent, limit)

@@ -6,6 +6,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferrytally.columns import col, cols
 from ferrytally.functions.bands import count_bands, percentage
@@ -17,8 +18,8 @@ from ferrytally.operators.numbering import HOT_ROWS, first_rows
 
 # Technical columns whose absence on the right is tolerated.
 BATCH_COLUMNS = {"_batch_last_run_", "_batch_id_"}
+# Of the text summary alone; the written tables are whole.
 EXAMPLES = 5
-DUPLICATE_LISTING = 20
 DUPLICATES_SHOWN = 10
 
 
@@ -65,11 +66,18 @@ class Report:
     pair: compare.Pair
     simple_bands: bool = False
     hot_rows: int = HOT_ROWS
+    errors: tuple[tuple[str, str], ...] = ()  # (section, text) of what kept the tables from being compared
+    coverage: DataFrame | None = None  # of a sampled comparison: keys asked for against rows found
 
     @property
     def summary(self) -> DataFrame:
         """One row: counts, differences and the verdict."""
-        return _verdict(self.totals, self.schema, self.pair, self.simple_bands)
+        return _verdict(self.totals, self.schema, self.pair, self.simple_bands, bool(self.errors))
+
+    @property
+    def error_list(self) -> DataFrame:
+        """``(section, error)``; empty if the tables could be compared."""
+        return self.totals.sparkSession.createDataFrame(list(self.errors), "section string, error string")
 
     @property
     def column_stats(self) -> DataFrame:
@@ -87,14 +95,16 @@ class Report:
         return compare.right_only(self.pair.left, self.pair.right, self.keys, self.hot_rows)
 
     def frames(self) -> dict[str, DataFrame]:
-        """Everything a written report holds."""
+        """Everything a written report holds, with no listing cut."""
+        if self.errors:
+            return {"summary": self.summary, "errors": self.error_list}
         return {
             "summary": self.summary,
             "column_stats": self.column_stats,
-            "left_duplicates": compare.duplicate_keys(self.pair.left, self.keys, DUPLICATE_LISTING),
-            "right_duplicates": compare.duplicate_keys(self.pair.right, self.keys, DUPLICATE_LISTING),
-            "left_only_examples": compare.top_examples(self.left_only(), self.keys, EXAMPLES),
-            "right_only_examples": compare.top_examples(self.right_only(), self.keys, EXAMPLES),
+            "left_duplicates": compare.duplicate_keys(self.pair.left, self.keys),
+            "right_duplicates": compare.duplicate_keys(self.pair.right, self.keys),
+            "left_only": self.left_only(),
+            "right_only": self.right_only(),
         }
 
 
@@ -106,7 +116,9 @@ def data_match(missing_columns: int, extra_columns: int) -> Column:
     )
 
 
-def _verdict(totals: DataFrame, diff: SchemaDiff, pair: compare.Pair, simple_bands: bool) -> DataFrame:
+def _verdict(
+    totals: DataFrame, diff: SchemaDiff, pair: compare.Pair, simple_bands: bool, failed: bool = False
+) -> DataFrame:
     left_rows, right_rows = F.col("left_rows"), F.col("right_rows")
     if simple_bands:
         pct = percentage(left_rows, right_rows)
@@ -123,10 +135,28 @@ def _verdict(totals: DataFrame, diff: SchemaDiff, pair: compare.Pair, simple_ban
         data_match(len(pair.left_extra), len(pair.right_extra)).alias("data_match"),
     )
     counts_fit = F.col("count_match") | F.col("is_negligible")
-    overall = F.col("schema_match") & counts_fit & F.col("data_match")
-    return judged.withColumn("overall_match", overall).withColumn(
-        "status", F.when(overall, "PERFECT MATCH").otherwise("DISCREPANCIES FOUND")
+    overall = F.lit(False) if failed else F.col("schema_match") & counts_fit & F.col("data_match")
+    status = F.lit("ERRORS FOUND") if failed else F.when(overall, "PERFECT MATCH").otherwise("DISCREPANCIES FOUND")
+    return judged.withColumn("overall_match", overall).withColumn("status", status)
+
+
+def _failed(left: DataFrame, right: DataFrame, keys: list[str], diff: SchemaDiff, errors: list[tuple[str, str]]) -> Report:
+    """A report on tables that cannot be matched: their row counts and what is wrong."""
+    totals = counts.both_counts(left, right).select(
+        "left_rows", "right_rows", *[F.lit(None).cast("bigint").alias(c) for c in (
+            "common_rows", "left_only_rows", "right_only_rows", "rows_with_differences", "left_duplicate_rows",
+            "right_duplicate_rows",
+        )], F.array().cast(compare.COLUMN_STATS).alias("columns"),
     )
+    return Report(keys, diff, totals, compare.Pair(left, right, keys, [], [], []), errors=tuple(errors))
+
+
+def missing_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> list[tuple[str, str]]:
+    """(section, text) of key columns that a side lacks, in any case."""
+    return [
+        ("schema", f"Key column {k} is missing on the {side}")
+        for side, df in (("left", left), ("right", right)) for k in keys if k.lower() not in {c.lower() for c in df.columns}
+    ]
 
 
 def _sampled(left, right, keys, sample, method, order):
@@ -156,7 +186,9 @@ def compare_tables(
     if schema is not None:
         left, right = cleaning.apply_schema(left, schema, keys), cleaning.apply_schema(right, schema, keys)
     diff = schema_diff(left, compare.align_case(right, left.columns), exact_schema)
-    part_left, part_right = left, right
+    if errors := missing_keys(left, right, keys):
+        return _failed(left, right, keys, diff, errors)
+    part_left, part_right, covered = left, right, None
     if sample is not None:
         aligned_left = compare.align_case(left, keys)
         aligned_right = compare.align_case(right, aligned_left.columns)
@@ -164,6 +196,9 @@ def compare_tables(
         part_left, part_right = _sampled(
             part_left, part_right, keys, None if sample == "auto" else sample, method, order
         )
+        covered = sampling.coverage(
+            {"left": part_left, "right": part_right}, compare.distinct_keys(part_left, keys)
+        )
     pair = compare.prepare(part_left, part_right, keys, keys_as_text)
     totals = compare.compare_totals(pair, abs_tol, rel_tol, hot_rows)
     if sample is None:
@@ -176,7 +211,7 @@ def compare_tables(
         merged = totals.unionByName(both, allowMissingColumns=True)
         # Two one-row frames: each column is filled by exactly one of them.
         totals = merged.agg(*[F.first(c, ignorenulls=True).alias(c) for c in merged.columns])
-    return Report(keys, diff, totals, pair, simple_bands, hot_rows)
+    return Report(keys, diff, totals, pair, simple_bands, hot_rows, coverage=covered)
 
 
 # Tolerance of file comparisons, absolute and relative.
@@ -187,16 +222,35 @@ def compare_with_csv(
     left: DataFrame, right_csv: DataFrame, keys: list[str], sample: int | str | None = None,
     transform: bool = False, method: str = "random", order: list[str] | None = None, hot_rows: int = HOT_ROWS,
 ) -> Report:
-    """Compare with a CSV scan: keys as text, tolerant numbers, exact types, one-percent band."""
+    """Compare with a CSV scan: keys as text, tolerant numbers, exact types, one-percent band.
+
+    A file has no types, so both sides get those that a file can show before they are compared.
+    """
     return compare_tables(
-        left, right_csv, keys, sample, transform, method, abs_tol=CSV_TOLERANCE, rel_tol=CSV_TOLERANCE,
+        file_types(left), file_types(right_csv), keys, sample, transform, method, abs_tol=CSV_TOLERANCE, rel_tol=CSV_TOLERANCE,
         exact_schema=True, keys_as_text=True, simple_bands=True, order=order, hot_rows=hot_rows,
     )
 
 
-def quick_csv_match(left: DataFrame, right_csv: DataFrame, keys: list[str]) -> DataFrame:
-    """Verdict only: transformed names, a random sample of 1,000 keys."""
-    return compare_with_csv(left, right_csv, keys, 1000, transform=True).summary.select("overall_match")
+def file_types(df: DataFrame) -> DataFrame:
+    """Integers as bigint, other numbers as double, dates and times as local timestamps: what a text file tells apart."""
+    wide = {}
+    for f in df.schema:
+        kind = f.dataType
+        if isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.scale == 0 and kind.precision <= 18:
+            wide[f.name] = "bigint"
+        elif isinstance(kind, (T.FloatType, T.DecimalType)):
+            wide[f.name] = "double"
+        elif isinstance(kind, (T.DateType, T.TimestampType)):
+            wide[f.name] = "timestamp_ntz"
+    return df.withColumns({n: col(n).cast(t) for n, t in wide.items()}) if wide else df
+
+
+def quick_csv_match(
+    left: DataFrame, right_csv: DataFrame, keys: list[str], sample: int | str | None = None
+) -> DataFrame:
+    """Verdict only, with transformed names: over the whole tables, or a random sample of keys."""
+    return compare_with_csv(left, right_csv, keys, sample, transform=True).summary.select("overall_match")
 
 
 def _listing(names: list[str], what: str) -> list[str]:

@@ -19,6 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         current = tempfile.mkdtemp(prefix="ferrytally-")
+    elif current.startswith(("file:", "/")) and not sc.master.startswith("local"):
+        raise RuntimeError(f"{current} is a folder of one machine; set spark.checkpoint.dir to a shared one")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
@@ -35,7 +37,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+# Range partitions at most: their sizes are collected, one number each.
+MAX_WIDTH = 20_000
+
+
 def shuffle_width(df: DataFrame, rows: int, rows_per_partition: int) -> int:
-    """Number of range partitions that keeps each near ``rows_per_partition`` rows."""
+    """Number of range partitions that keeps each near ``rows_per_partition`` rows, within a ceiling."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, -(-rows // rows_per_partition))
+    return max(configured, min(MAX_WIDTH, -(-rows // rows_per_partition)))

@@ -46,17 +46,18 @@ def charset(encoding: str) -> str:
 
 def read_csv(
     spark: SparkSession, path: str, encoding: str = "utf-8", sep: str = ",", infer: bool = True,
-    schema: T.StructType | str | None = None, multi_line: bool = True,
+    schema: T.StructType | str | None = None, multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header; types inferred, declared, or all text.
 
-    ``multi_line`` keeps quoted line breaks inside a value. Turn it off for files known to have
-    none, so that Spark can split large files.
+    Spark splits large files. ``multi_line`` keeps quoted line breaks inside a value, at the price of one
+    task per file.
     """
     reader = (
         spark.read.option("header", True).option("encoding", charset(encoding)).option("sep", sep)
         .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
         .option("preferDate", False).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
     )
     if schema is not None:
         return reader.schema(schema).csv(path)
@@ -65,7 +66,7 @@ def read_csv(
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
     """Control sheet: the first row is the header and every cell is text."""
-    return read_csv(spark, path, infer=False)
+    return read_csv(spark, path, infer=False, multi_line=True)
 
 
 def read_lineage(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

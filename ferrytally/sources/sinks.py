@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +10,7 @@ from pyspark.sql import types as T
 from ferrytally.columns import col, cols
 from ferrytally.functions.names import rename_columns, warehouse_name
 from ferrytally.operators.cleaning import blank_to_null
+from ferrytally.session import materialise
 from ferrytally.sources.readers import CORRUPT, is_path, read_ref
 
 # A gzip file is read by one task, so staged files are kept to this many rows.
@@ -17,7 +19,22 @@ SAVE_MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists
 
 
 def write_table(df: DataFrame, ref: str, if_exists: str = "replace", file_rows: int = 0) -> None:
-    """Write a typed table; an existing one is replaced, appended to, or an error."""
+    """Write a typed table; an existing one is replaced, appended to, or an error.
+
+    Appended rows take the types of the table. If a value does not fit, the column becomes text, as
+    the whole table would be unreadable otherwise; the table is then written anew.
+    """
+    if if_exists == "append" and exists(df.sparkSession, ref):
+        there = read_ref(df.sparkSession, ref)
+        df, misfits = fitted(df, there)
+        if misfits:
+            # Read from a copy: a table cannot be replaced by what is read from it.
+            whole = materialise(as_text(there, misfits).unionByName(as_text(df, misfits), allowMissingColumns=True))
+            return _save(whole, ref, "replace", file_rows)
+    return _save(df, ref, if_exists, file_rows)
+
+
+def _save(df: DataFrame, ref: str, if_exists: str, file_rows: int) -> None:
     writer = df.write.mode(SAVE_MODES[if_exists]).option("maxRecordsPerFile", file_rows)
     if is_path(ref):
         writer.parquet(ref)
@@ -25,6 +42,32 @@ def write_table(df: DataFrame, ref: str, if_exists: str = "replace", file_rows:
         writer.saveAsTable(ref)
 
 
+def exists(spark: SparkSession, ref: str) -> bool:
+    if not is_path(ref):
+        return spark.catalog.tableExists(ref)
+    try:
+        return len(spark.read.parquet(ref).columns) > 0
+    except AnalysisException:
+        return False
+
+
+def as_text(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.withColumns({n: col(n).cast("string") for n in names if n in df.columns})
+
+
+def fitted(df: DataFrame, there: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The rows with a table's types, and the columns that have values which do not fit theirs."""
+    types = {f.name: f.dataType for f in there.schema}
+    differing = [f.name for f in df.schema if f.name in types and types[f.name] != f.dataType]
+    if not differing:
+        return df, []
+    cast = {n: col(n).try_cast(types[n]) for n in differing}
+    lost = [F.count_if(col(n).isNotNull() & ~cast[n].try_cast(df.schema[n].dataType).eqNullSafe(col(n))) for n in differing]
+    row = df.agg(*[c.alias(f"n{i}") for i, c in enumerate(lost)]).first()
+    misfits = [n for i, n in enumerate(differing) if row[f"n{i}"]]
+    return df.withColumns({n: c for n, c in cast.items() if n not in misfits}), misfits
+
+
 def verify_count(spark: SparkSession, ref: str, expected: int) -> DataFrame:
     """``(expected, actual, ok)`` of a loaded table."""
     actual = F.count(F.lit(1))
@@ -40,6 +83,7 @@ def save_csv(df: DataFrame, path: str, compression: str = "none", file_rows: int
         .option("quote", '"').option("escape", '"').option("compression", compression)
         .option("maxRecordsPerFile", file_rows).option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
         .csv(path)
     )
 
@@ -57,7 +101,7 @@ def stage_options(quoted: bool) -> dict[str, object]:
     return {
         "header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "recursiveFileLookup": True,
         "columnPruning": False, "quote": '"' if quoted else "", "escape": '"', "multiLine": quoted,
-        "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+        "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]", "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
     }
 
 

@@ -35,7 +35,7 @@ def test_migrate_control(spark, tmp_path):
         [(1, "same", "A B", None), (2, "gone", "x", "Pending"), (3, " ", "y", "Pending"), (4, "off", "z", "MIGRATED 2024"),
          (5, "same", "again", "Failed")], "row int, `Dataset ID` string, `Model Name` string, Status string",
     )
-    run = migrate.migrate_control(control, tables(spark).__getitem__, lambda t: str(tmp_path / t), "row", full=True)
+    run = migrate.migrate_control(control, tables(spark).__getitem__, lambda t: str(tmp_path / t), "row")
     got = {r["ordinal"]: (r["status"], r["target_table"], r["actual"]) for r in run.outcomes.collect()}
     assert got == {1: ("success", "a_b", 50), 2: ("error", "x", None), 3: ("error", None, None), 5: ("success", "again", 50)}
     status = {r["row"]: r["Status"] for r in run.control.collect()}
@@ -45,7 +45,8 @@ def test_migrate_control(spark, tmp_path):
 
 def test_via_stage_and_incremental(spark, tmp_path):
     source = tables(spark)["same"]
-    loaded = migrate.via_stage(source, str(tmp_path / "stage"), "one", str(tmp_path / "t"))
+    assert migrate.via_stage(source, str(tmp_path / "stage"), "one", str(tmp_path / "t")).first()[:] == (50, 50, 0, True)
+    loaded = spark.read.parquet(str(tmp_path / "t"))
     assert loaded.count() == 50 and loaded.dtypes == [("ID", "int"), ("AMOUNT", "double")]
     schema = migrate.staged_schema(source)
     for expected in (50, 50, 100):

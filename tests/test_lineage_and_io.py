@@ -143,7 +143,7 @@ def test_migrate_empty_leaves_target(spark, tmp_path):
 
 
 def test_migrate_limit(spark, tmp_path):
-    assert migrate.migrate(spark.range(5000), str(tmp_path / "t"), order=["id"]).first()["actual"] == 1000
+    assert migrate.migrate(spark.range(5000), str(tmp_path / "t"), limit=1000, order=["id"]).first()["actual"] == 1000
     assert spark.read.parquet(str(tmp_path / "t")).agg(F.max("ID")).first()[0] == 999
 
 

@@ -22,5 +22,5 @@ def test_entry(spark):
     assert entry.queries().keys() >= QUERIES.keys() and entry.oracle_sql().keys() >= ORACLES.keys()
 
 
-def test_only_random_and_listing_queries_lack_sql():
-    assert set(QUERIES) - set(ORACLES) == {"sample_independent", "scan_stage_files"}
+def test_all_queries_have_sql():
+    assert set(QUERIES) == set(ORACLES)
