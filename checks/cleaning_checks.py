@@ -80,6 +80,22 @@ def infer_datetime(spark, sf):
     return fingerprint(cleaning.infer_datetime(dirty(spark, sf)), TEXTS)
 
 
+_FORMS = {
+    "zone": ("%Y-%m-%dT00:00:00Z", "yyyy-MM-dd'T00:00:00Z'"), "us_time": ("%m/%d/%Y 10:20:30", "MM/dd/yyyy' 10:20:30'"),
+    "slash": ("%Y/%m/%d", "yyyy/MM/dd"), "name_day": ("%d-%b-%Y", "dd-MMM-yyyy"), "name_us": ("%b %d, %Y", "MMM dd, yyyy"),
+}
+
+
+@query("infer_datetime_forms", "SELECT o_orderkey, " + ", ".join(
+    f"'timestamp_ntz' AS {n}_type, CAST(date_trunc('day', o_orderdate){' + INTERVAL 37230 SECOND' if n == 'us_time' else ''} AS VARCHAR) AS {n}_text"
+    for n in _FORMS) + " FROM orders")
+def infer_datetime_forms(spark, sf):
+    """Dates with a zone, with slashes, with month names, and month/day/year with a time."""
+    orders = frame(spark, sf, "orders")
+    texts = orders.select("o_orderkey", *[F.date_format("o_orderdate", f).alias(n) for n, (_, f) in _FORMS.items()])
+    return fingerprint(cleaning.infer_datetime(texts), list(_FORMS))
+
+
 @query("infer_boolean", oracle(["dirty_text"], inferred_sql(["boolean"])))
 def infer_boolean(spark, sf):
     return fingerprint(cleaning.infer_boolean(dirty(spark, sf)), TEXTS)

@@ -173,6 +173,18 @@ CLOSURE = """WITH closure AS (SELECT output_id, source_id FROM edges
 """
 
 
+@query("transitive_sources_hub", """SELECT o_orderkey::VARCHAR AS output_id, 'hub' AS source_id FROM orders
+UNION ALL SELECT 'hub', 'r' || r_regionkey FROM region
+UNION ALL SELECT o_orderkey::VARCHAR, 'r' || r_regionkey FROM orders, region""")
+def transitive_sources_hub(spark, sf):
+    """All orders come from one hub, which comes from the regions."""
+    orders, regions = frame(spark, sf, "orders"), frame(spark, sf, "region")
+    edges = orders.select(F.col("o_orderkey").cast("string").alias("output_id"), F.lit("hub").alias("source_id")).unionByName(
+        regions.select(F.lit("hub").alias("output_id"), F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("source_id"))
+    )
+    return lineage.transitive_sources(edges, hot_rows=100)
+
+
 @query("transitive_sources", oracle(["edges"], CLOSURE + "SELECT * FROM closure", recursive=True))
 def transitive_sources(spark, sf):
     return lineage.transitive_sources(frame(spark, sf, "edges"))

@@ -8,7 +8,7 @@ from checks.inputs import frame, oracle
 from checks.registry import query
 from ferrytally.functions import names
 from ferrytally.functions.names import RESERVED_WORDS
-from ferrytally.operators.schema import unique_names
+from ferrytally.operators.schema import unique_in_header, unique_names
 from ferrytally.plans.stage_models import source_manifest, stage_select
 
 TRANSFORM = """upper(trim(regexp_replace(translate(replace(replace(regexp_replace(lower(raw_name), '\\bno\\.\\s*', 'number_', 'g'),
@@ -48,10 +48,25 @@ def rename_transformed(spark, sf):
     return unique_names(rows, names.transform_name(F.col("raw_name")), ["dataset"], "p_partkey")
 
 
-@query("name_warehouse", oracle(["messy_names"], _suffixed(WAREHOUSE)))
+_FREE = """CASE WHEN NOT list_contains(used, own[1]) THEN own[1] ELSE list_filter(
+    list_transform(range(1, len(used) + 2), k -> own[1] || '_' || k), c -> NOT list_contains(used, c))[1] END"""
+
+
+@query("name_warehouse", oracle(["messy_names"], f"""WITH named AS (
+  SELECT dataset, p_partkey, raw_name, {WAREHOUSE} AS n FROM messy_names
+  UNION ALL SELECT dataset, p_partkey + 1000000000, raw_name, {WAREHOUSE} || '_1' FROM messy_names WHERE p_partkey % 3 = 0),
+h AS (SELECT dataset, list(p_partkey ORDER BY p_partkey) AS ids, list(raw_name ORDER BY p_partkey) AS raws,
+  list_reduce(list([n] ORDER BY p_partkey), lambda used, own: list_append(used, {_FREE})) AS finals FROM named GROUP BY dataset)
+SELECT dataset, unnest(ids) AS p_partkey, unnest(raws) AS raw_name, unnest(finals) AS final_name FROM h""".replace("k -> ", "lambda k: ").replace("c -> ", "lambda c: ")))
 def name_warehouse(spark, sf):
+    """Headers in which a name may equal another one's suffixed repeat."""
     rows = frame(spark, sf, "messy_names")
-    return unique_names(rows, names.warehouse_name(F.col("raw_name")), ["dataset"], "p_partkey")
+    named = rows.withColumn("n", names.warehouse_name(F.col("raw_name")))
+    more = named.filter("p_partkey % 3 = 0").withColumns({
+        "p_partkey": F.col("p_partkey") + 1000000000, "n": F.concat("n", F.lit("_1"))
+    })
+    both = named.unionByName(more)
+    return unique_in_header(both, F.col("n"), ["dataset"], "p_partkey").select("dataset", "p_partkey", "raw_name", "final_name")
 
 
 @query("name_suffix_number", oracle(["messy_names"], f"""WITH named AS (SELECT p_partkey, raw_name, {TRANSFORM} AS n FROM messy_names)

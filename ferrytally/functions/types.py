@@ -69,12 +69,31 @@ def as_long(c: Column) -> Column:
     )
 
 
+# Further forms of dates and times, each with the pattern that it is read by.
+DATE_FORMS = [
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{2}:[0-9]{2}$", "M/d/yyyy H:mm:ss"),
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{2}$", "M/d/yyyy H:mm"),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "yyyy/M/d"),
+    (r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$", "d-MMM-yyyy"),
+    (r"^[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}$", "MMM d, yyyy"),
+]
+ZONED_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})$"
+
+
 def as_timestamp(c: Column) -> Column:
-    """ISO date, ISO date-time or month/day/year text as a timestamp, else NULL."""
+    """A date or time in ISO form, month/day/year, or one of ``DATE_FORMS`` as a timestamp, else NULL.
+
+    A time with a zone becomes the time in UTC.
+    """
     text = F.trim(c)
     iso = F.when(text.rlike(DATETIME_PATTERN), text)
     us = F.when(text.rlike(US_DATE_PATTERN), F.regexp_replace(text, US_DATE_PATTERN, "$3-$1-$2"))
-    return F.coalesce(iso, us).try_cast("timestamp_ntz")
+    plain = F.coalesce(iso, us).try_cast("timestamp_ntz")
+    instant = F.when(text.rlike(ZONED_PATTERN), text).try_cast("timestamp").cast("timestamp_ntz")
+    zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant)
+    # Read in the session's zone and shown in it again: the local time stays as written.
+    others = [F.when(text.rlike(p), F.try_to_timestamp(F.initcap(text), F.lit(f)).cast("timestamp_ntz")) for p, f in DATE_FORMS]
+    return F.coalesce(plain, zoned, *others)
 
 
 def as_boolean(c: Column) -> Column:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrytally.columns import col, cols
 from ferrytally.functions.cells import LIST_SEPARATOR, clean_ids, split_ids
-from ferrytally.operators.numbering import number_within, profile_keys
+from ferrytally.operators.numbering import HOT_ROWS, hot_keys, number_within, profile_keys, split_hot
 from ferrytally.session import materialise
 
 _REF = "array<struct<id:string,type:string>>"
@@ -164,7 +166,28 @@ def expansion_stats(flows: DataFrame) -> DataFrame:
 COMPACT_ROUNDS = 10
 
 
-def transitive_sources(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+# Parts that the rows of a hub are dealt into.
+HUB_PARTS = 64
+
+
+def _extended(frontier: DataFrame, step: DataFrame, size: int, hot_rows: int) -> DataFrame:
+    """Pairs one step longer. Pairs that end in a hub are dealt into parts, each with the hub's steps."""
+    def joined(pairs: DataFrame, steps: DataFrame, *more: Column) -> DataFrame:
+        on = reduce(lambda a, b: a & b, more, F.col("source_id") == F.col("__via"))
+        return pairs.join(steps, on).select("output_id", F.col("__next").alias("source_id"))
+
+    profile = profile_keys([frontier], ["source_id"], hot_rows) if size > hot_rows else None
+    if profile is None or profile.hot_keys == 0:
+        return joined(frontier, step)
+    hot = hot_keys([frontier], ["source_id"], hot_rows)
+    cold_part, hub_part = split_hot(frontier, hot, ["source_id"], profile.hot_keys)
+    hubs = step.join(hot.select("__k0"), F.col("__via") == F.col("__k0"), "left_semi")
+    hubs = hubs.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(HUB_PARTS - 1))))
+    dealt = hub_part.withColumn("__own", F.pmod(F.xxhash64("output_id"), F.lit(HUB_PARTS)).cast("int"))
+    return joined(cold_part, step).unionByName(joined(dealt, hubs, F.col("__own") == F.col("__part")))
+
+
+def transitive_sources(edges: DataFrame, max_rounds: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """All ``(output_id, source_id)`` pairs reachable over ``edges``; cycles are safe.
 
     Each round extends only the pairs found in the round before and keeps the new ones. The
@@ -176,16 +199,16 @@ def transitive_sources(edges: DataFrame, max_rounds: int | None = None) -> DataF
     )
     frontier = step.select(F.col("__via").alias("output_id"), F.col("__next").alias("source_id"))
     found, rounds = frontier, 1
+    size = frontier.count()
     while max_rounds is None or rounds < max_rounds:
-        reached = frontier.join(step, F.col("source_id") == F.col("__via")).select(
-            "output_id", F.col("__next").alias("source_id")
-        ).distinct()
+        reached = _extended(frontier, step, size, hot_rows).distinct()
         known = found.select(F.col("output_id").alias("__o"), F.col("source_id").alias("__s"))
         fresh = reached.join(
             known, (F.col("output_id") == F.col("__o")) & (F.col("source_id") == F.col("__s")), "left_anti"
         )
         frontier = materialise(fresh)
-        if frontier.isEmpty():
+        size = frontier.count()
+        if size == 0:
             break
         found = found.unionByName(frontier)
         rounds += 1

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrytally.columns import col
+from ferrytally.columns import col, cols
 from ferrytally.functions.names import match_key, transform_name
 from ferrytally.functions.types import cast_type, load_type, logical_type, types_compatible
 from ferrytally.operators.numbering import HOT_ROWS, number_within
@@ -44,6 +44,25 @@ def unique_names(names: DataFrame, name: Column, by: list[str], ordinal: str, ho
     return numbered.withColumn("final_name", suffixed).drop("__name", "__k")
 
 
+def unique_in_header(names: DataFrame, name: Column, by: list[str], ordinal: str) -> DataFrame:
+    """Add ``final_name``: a repeat takes the first suffix ``_1``, ``_2`` ... that no name before it in its header has.
+
+    The names of one header (the columns of one table) are folded together; all final names differ.
+    """
+    def final(used: Column, own: Column) -> Column:
+        near = F.size(F.filter(used, lambda u: u.startswith(own)))
+        tries = F.transform(F.sequence(F.lit(1), near + 1), lambda k: F.concat(own, F.lit("_"), k.cast("string")))
+        free = F.get(F.filter(tries, lambda t: ~F.array_contains(used, t)), F.lit(0))
+        return F.concat(used, F.array(F.when(F.array_contains(used, own), free).otherwise(own)))
+
+    whole = F.struct(*cols(names.columns))
+    header = F.array_sort(F.collect_list(F.struct(col(ordinal).alias("o"), name.alias("n"), whole.alias("row"))))
+    headers = names.groupBy(*cols(by)).agg(header.alias("__header"))
+    folded = F.aggregate("__header", F.array().cast("array<string>"), lambda used, x: final(used, x["n"]))
+    each = headers.select(F.inline(F.arrays_zip(F.col("__header").alias("h"), folded.alias("final_name"))))
+    return each.select("h.row.*", "final_name")
+
+
 def _last_per_name(columns: DataFrame, name: Column) -> DataFrame:
     """One row per dataset and (rewritten) name; of several, the last by ordinal counts."""
     return columns.groupBy("dataset", name.alias("key")).agg(
