@@ -23,10 +23,6 @@ def _priced(spark, sf):
     return orders.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
 
 
-def _documents(spark, sf):
-    return frame(spark, sf, "documents").select("doc_id", "text", "source")
-
-
 @query("scan_csv", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, o_orderdate FROM orders")
 def scan_csv(spark, sf):
     path = scratch_path(spark, "csv")
@@ -45,12 +41,13 @@ def scan_csv_as_strings(spark, sf):
     return readers.read_csv(spark, path, infer=False)
 
 
-@query("save_csv", "SELECT doc_id, text, source FROM documents")
+@query("save_csv", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def save_csv(spark, sf):
     """Whole texts with quotes and line breaks survive the round trip."""
     path = scratch_path(spark, "csv")
-    sinks.save_csv(_documents(spark, sf), path)
-    return readers.read_csv(spark, path, schema="doc_id bigint, text string, source string")
+    sinks.save_csv(frame(spark, sf, "documents"), path)
+    columns = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    return readers.read_csv(spark, path, schema=columns, multi_line=True)
 
 
 @query("scan_dataset", "SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority")

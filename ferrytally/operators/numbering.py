@@ -221,6 +221,8 @@ def _below_bound(df: DataFrame, keys: list[Column], n: int) -> tuple[DataFrame,
     named = [k.alias(f"__s{i}") for i, k in enumerate(keys)]
     sample = df.sample(fraction, seed=0).select(*named)
     types = [f.dataType for f in sample.schema]
+    if any(isinstance(t, (T.StructType, T.ArrayType, T.BinaryType)) for t in types):
+        return df, total  # such a bound cannot be carried as text
     rank = int(fraction * n * 1.2) + 100
     while rank < SAMPLE_ROWS:
         # Text carries the bound unharmed whatever the session's time zone.

@@ -35,7 +35,8 @@ def sample_keys(df: DataFrame, keys: list[str], n: int, seed: int = SEED) -> Dat
 def first_keys(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
     """The first ``n`` distinct non-NULL keys in the order of ``order``."""
     seen = df.na.drop("any", subset=keys).groupBy(*cols(keys)).agg(F.min(F.struct(*cols(order))).alias("__first"))
-    return first_rows(seen, [F.col("__first"), *cols(keys)], n).drop("__first")
+    flat = seen.select(*cols(keys), *[F.col("__first")[c].alias(f"__o{i}") for i, c in enumerate(order)])
+    return first_rows(flat, [*[F.col(f"__o{i}") for i in range(len(order))], *cols(keys)], n).select(*cols(keys))
 
 
 BROADCAST_BYTES = 64 << 20

@@ -108,7 +108,7 @@ def test_csv_round_trip_keeps_odd_text(spark, tmp_path, rows):
     data = [(1, 'say "hi"'), (2, "two\nlines"), (3, "a,b"), (4, None), (5, " padded "), (6, "back\\slash")]
     df = spark.createDataFrame(data, "k int, t string")
     sinks.save_csv(df, str(tmp_path / "c"))
-    assert rows(readers.read_csv(spark, str(tmp_path / "c"), schema="k int, t string")) == data
+    assert rows(readers.read_csv(spark, str(tmp_path / "c"), schema="k int, t string", multi_line=True)) == data
 
 
 def test_csv_encoding_and_separator(spark, tmp_path):
