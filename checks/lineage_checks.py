@@ -84,6 +84,16 @@ def producers_of(spark, sf):
     return lineage.producers_of(entities(spark, sf), wanted)
 
 
+@query("producer_ids", oracle(["flows"], f"""WITH {FLOW_EDGES},
+p AS (SELECT flow_id FROM fe WHERE role = 'output' AND dataset_id IN (SELECT 'C' || c_custkey FROM customer WHERE c_custkey % 3 = 0))
+SELECT DISTINCT flow_id, role AS kind, dataset_id AS id FROM fe WHERE flow_id IN (SELECT flow_id FROM p)"""))
+def producer_ids(spark, sf):
+    wanted = frame(spark, sf, "customer").filter("c_custkey % 3 = 0").select(
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("dataset_id")
+    )
+    return lineage.producer_ids(entities(spark, sf), wanted)
+
+
 CONSUMERS = "SELECT DISTINCT 'C' || o_custkey AS dataset_id, 'FO' || o_orderkey AS flow_id FROM orders"
 
 

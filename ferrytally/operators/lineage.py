@@ -70,8 +70,8 @@ def merge_ids(df: DataFrame, by: str, names: list[str], cell_ids: int = CELL_IDS
     return list_cells(distinct, by, {n: n for n in names}, cell_ids=cell_ids)
 
 
-def producers_of(entities: DataFrame, datasets: DataFrame) -> DataFrame:
-    """Dataflows that output one of ``datasets(dataset_id)``, with all their ids merged."""
+def producer_ids(entities: DataFrame, datasets: DataFrame) -> DataFrame:
+    """``(flow_id, kind, id)``: dataflows that output one of ``datasets(dataset_id)``, a row per source and output."""
     flows = entities.filter(F.col("type") == "DATAFLOW")
     wanted = datasets.select(F.col("dataset_id").alias("__wanted")).distinct()
     producing = (
@@ -79,8 +79,12 @@ def producers_of(entities: DataFrame, datasets: DataFrame) -> DataFrame:
         .join(wanted, F.col("__output") == F.col("__wanted"), "left_semi").select("__flow").distinct()
     )
     touched = lineage_edges(flows.join(producing, F.col("id") == F.col("__flow"), "left_semi")).distinct()
-    ids = touched.select("flow_id", F.col("role").alias("kind"), F.col("dataset_id").alias("id"))
-    return list_cells(ids, "flow_id", {"source": "source_ids", "output": "output_ids"})
+    return touched.select("flow_id", F.col("role").alias("kind"), F.col("dataset_id").alias("id"))
+
+
+def producers_of(entities: DataFrame, datasets: DataFrame) -> DataFrame:
+    """``producer_ids`` as text: the ids of a dataflow in list cells."""
+    return list_cells(producer_ids(entities, datasets), "flow_id", {"source": "source_ids", "output": "output_ids"})
 
 
 def consumers_of(entities: DataFrame, datasets: DataFrame) -> DataFrame:
