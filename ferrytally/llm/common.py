@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferrytally.session import scratch_path
+
 #: Fixed value: what separates words (space and the control characters 9 to 13).
 BLANK = "[\\x20\\x09-\\x0D]+"
 
@@ -73,10 +74,34 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(small, schema)
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether a frame has at most ``rows`` rows; reads no more than that many per partition."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def unsigned(a: np.ndarray) -> np.ndarray:
-    return a.view(np.uint64)
+def stored(df: DataFrame) -> DataFrame:
+    """The frame as a Parquet table in the shared folder: it cuts the lineage like a checkpoint and takes less room."""
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+#: A key is hot from so many rows, or a thousandth of all; so at most a thousand keys are.
+HOT_ROWS = 1000
+HOT_SHARE = 1000
+SALTS = 64
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join ``rows`` with what was counted per key: ``counted`` has one row per key and its ``times``.
+
+    The rows of hot keys are dealt into parts, and what was counted for those few keys is sent to every part.
+    Keys are not null.
+    """
+    counted = stored(counted)
+    total = counted.agg(F.sum("times")).first()[0] or 0
+    # Bounded: at most HOT_SHARE keys.
+    hot = F.broadcast(counted.filter(F.col("times") > max(HOT_ROWS, total // HOT_SHARE)).select(*keys, F.lit(True).alias("__hot")))
+    dealt = rows.join(hot, keys, "left").withColumn(
+        "__salt", F.when(F.col("__hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(F.lit(0).cast("bigint"))
+    ).drop("__hot")
+    every = F.when(F.col("__hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+    spread = counted.join(hot, keys, "left").withColumn(
+        "__salt", F.explode(F.coalesce(every, F.array(F.lit(0).cast("bigint"))))
+    ).drop("__hot")
+    return dealt.join(spread, [*keys, "__salt"], how).drop("__salt")

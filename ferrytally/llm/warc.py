@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ferrytally.llm.common import map_arrow, table
+from ferrytally.llm.common import join_counted, map_arrow, table
 from ferrytally.session import scratch_path
 
 SPLIT_BYTES = 32 << 20
@@ -91,9 +91,9 @@ def write(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> None:
     )
     # Only payloads that occur more than once are looked up.
     firsts = rows.filter(F.col("size") >= min_bytes).groupBy("sha", "size").agg(
-        F.count(F.lit(1)).alias("n"), F.max("page_id").alias("largest")
-    ).filter((F.col("n") > 1) & F.col("largest").isNotNull()).select("sha", "size", "largest")
-    judged = rows.join(firsts, ["sha", "size"], "left")
+        F.count(F.lit(1)).alias("times"), F.max("page_id").alias("largest")
+    ).filter((F.col("times") > 1) & F.col("largest").isNotNull())
+    judged = join_counted(rows, firsts, ["sha", "size"], "left")
     revisit = F.col("largest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("largest"))
     records = judged.select(
         "page_id", "url", "payload", F.when(revisit, F.col("largest")).alias("refers_to"), revisit.alias("revisit")
