@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
+UNIT = 1 << 52
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
@@ -14,12 +16,12 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 
 
 def per_class(rows: DataFrame, label: str, key: str, most: int) -> DataFrame:
-    """At most ``most`` rows of each class, those with the smallest hash of ``key``.
+    """All rows of a class of at most ``most``; of a larger one those whose hash of ``key`` is small enough.
 
-    Every class is first thinned in ``SALTS`` parts, so that a large one is not sorted in one task.
+    The share is three standard deviations below ``most``, so that many rows are the bound but for one class
+    in a thousand, and nothing has to be ranked in one task. The classes are few and their sizes are broadcast.
     """
-    salted = rows.withColumn("__h", F.xxhash64(key)).withColumn("__salt", F.pmod(F.xxhash64(F.lit("salt"), key), F.lit(SALTS)))
-    for by in (["__salt"], []):
-        order = Window.partitionBy(label, *by).orderBy("__h", key)
-        salted = salted.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= most)
-    return salted.drop("__h", "__salt", "__n")
+    sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
+    share = (most - 3 * math.sqrt(most)) / F.col("__n")
+    drawn = F.pmod(F.xxhash64(key), F.lit(UNIT)) / F.lit(float(UNIT))
+    return rows.join(F.broadcast(sizes), label).filter((F.col("__n") <= most) | (drawn < share)).drop("__n")
