@@ -16,8 +16,8 @@ as each is repeated; the result does not depend on order. Hashes are 128 bits wi
 polynomials), so equal hashes stand for equal words.
 
 Only counts, never lists of occurrences, are gathered per anchor, block or window, so a passage that a third
-of the documents share is counted by partial sums. Texts are shuffled once; those with a boundary
-are kept compressed in a reliable checkpoint.
+of the documents share is counted by partial sums, and its rows are dealt into parts to get the counts back. Texts are shuffled once; those with a boundary
+are kept compressed in a table of the shared folder.
 
 Defined results: a null or empty text has no words; a text shorter than the window keeps all. Rows with
 a null id are rows like any other, and repeated rows are copies of each other. An empty table gives no rows.
@@ -35,8 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrytally.llm.common import map_arrow, table
-from ferrytally.session import materialise
+from ferrytally.llm.common import join_counted, map_arrow, stored, table
 
 WINDOW = 35
 GRAM = 8
@@ -192,20 +191,20 @@ def _marks(docs: DataFrame) -> DataFrame:
     index = map_arrow(docs, _index, "anchor bigint, block bigint, d bigint, t bigint, first int, n int")
     shared = index.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("times"), F.min("block").alias("low"), F.max("block").alias("high")
-    ).filter("times > 1").select("anchor", (F.col("low") == F.col("high")).alias("alike"))
-    hits = materialise(index.join(shared, "anchor"))
+    ).filter("times > 1").select("anchor", "times", (F.col("low") == F.col("high")).alias("alike"))
+    hits = stored(join_counted(index, shared, ["anchor"]).drop("times"))
     mixed = hits.filter("NOT alike")
     place = F.struct("d", "t", "first")
     counts = mixed.groupBy("anchor", "block").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("model"))
-    # An anchor needs its boundaries checked only if some block of it occurs once.
-    open_anchors = counts.groupBy("anchor").agg(F.min("times").alias("least")).filter("least = 1").select(
-        F.col("anchor").alias("open")
-    )
-    counts = counts.join(open_anchors, F.col("anchor") == F.col("open"), "left")
-    judged = mixed.join(counts, ["anchor", "block"]).select(
-        "d", "t", "first", "n", (F.col("times") > 1).alias("factor"),
+    # Beside blocks that occur once, a repeated block of the same anchor is to be compared window by window.
+    open_anchors = counts.groupBy("anchor").agg(F.min("times").alias("least"), F.max("times").alias("most")).filter(
+        "least = 1 AND most > 1"
+    ).select(F.col("anchor").alias("open"))
+    repeated = counts.filter("times > 1").join(open_anchors, F.col("anchor") == F.col("open"), "left")
+    judged = join_counted(mixed, repeated, ["anchor", "block"], "left").select(
+        "d", "t", "first", "n", F.col("times").isNotNull().alias("factor"),
         # Of equal blocks one stands for all when windows are compared.
-        ((F.col("times") == 1) | (F.col("open").isNotNull() & (place == F.col("model")))).alias("check"),
+        F.coalesce(F.col("times").isNull() | (F.col("open").isNotNull() & (place == F.col("model"))), F.lit(False)).alias("check"),
     )
     factors = hits.filter("alike").select("d", "t", "first", "n", F.lit(True).alias("factor"), F.lit(False).alias("check"))
     mark = (
@@ -230,13 +229,13 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     marks = _marks(narrow)
     kind = "d bigint, t bigint, n_words bigint, n_removed bigint, kept_sha256 string, packed binary, "
     kind += "covered array<int>, starts array<int>, one array<bigint>, two array<bigint>"
-    parsed = materialise(map_arrow(narrow.join(marks, ["d", "t"], "left").select("d", "t", "text", "marks"), _parse(window), kind))
+    parsed = stored(map_arrow(narrow.join(marks, ["d", "t"], "left").select("d", "t", "text", "marks"), _parse(window), kind))
     open_texts = parsed.filter("packed IS NOT NULL")
     windows = open_texts.select("d", "t", F.explode(F.arrays_zip("starts", "one", "two")).alias("w")).select(
         "d", "t", "w.starts", "w.one", "w.two"
     )
-    repeated = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
-    found = windows.join(repeated, ["one", "two"], "left_semi").groupBy("d", "t").agg(F.collect_set("starts").alias("found"))
+    repeated = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    found = join_counted(windows, repeated, ["one", "two"]).groupBy("d", "t").agg(F.collect_set("starts").alias("found"))
     finished = map_arrow(
         open_texts.select("d", "t", "packed", "covered").join(found, ["d", "t"], "left").select("d", "packed", "covered", "found"),
         _finish(window), "d bigint, n_words bigint, n_removed bigint, kept_sha256 string",
