@@ -126,15 +126,22 @@ def _parts(marks: np.ndarray) -> tuple[np.ndarray, ...]:
     return marks >> 10, (marks >> 2) & 255, (marks >> 1) & 1 == 1, marks & 1 == 1
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed, for the one shuffle they take."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for b in batches:
+        packed = pa.array([pack.compress(text.as_py()) for text in b.column("text")], pa.binary())
+        yield pa.RecordBatch.from_arrays([b.column("d"), b.column("t"), packed], names=["d", "t", "packed"])
+
+
 def _parse(window: int):
-    """Results of texts without a boundary; the others compressed, with the hashes of their windows to check."""
+    """Results of texts without a boundary; the others as they are, with the hashes of their windows to check."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
+        unpack = zstandard.ZstdDecompressor()
         for b in batches:
             rows = []
-            for d, t, text, marks in zip(*[b.column(c) for c in ("d", "t", "text", "marks")]):
-                own = text.as_py()
-                words = own.split()
+            for d, t, packed, marks in zip(*[b.column(c) for c in ("d", "t", "packed", "marks")]):
+                words = unpack.decompress(packed.as_py()).split()
                 if not marks.is_valid:
                     rows.append((d.as_py(), t.as_py(), *_kept(words, np.zeros(len(words), bool)), None, None, None, None, None))
                     continue
@@ -147,7 +154,7 @@ def _parse(window: int):
                 starts = np.concatenate([np.arange(f, f + k) for f, k in zip(first[check], n[check])])
                 one, two = (Polynomial(hashes, base).of(starts, starts + window).view(np.int64) for base in BASES)
                 rows.append((
-                    d.as_py(), t.as_py(), len(words), 0, None, pack.compress(own), np.flatnonzero(covered).astype(np.int32),
+                    d.as_py(), t.as_py(), len(words), 0, None, packed.as_py(), np.flatnonzero(covered).astype(np.int32),
                     starts.astype(np.int32), one, two,
                 ))
             yield _batch(rows, _PARSED)
@@ -229,7 +236,8 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     marks = _marks(narrow)
     kind = "d bigint, t bigint, n_words bigint, n_removed bigint, kept_sha256 string, packed binary, "
     kind += "covered array<int>, starts array<int>, one array<bigint>, two array<bigint>"
-    parsed = stored(map_arrow(narrow.join(marks, ["d", "t"], "left").select("d", "t", "text", "marks"), _parse(window), kind))
+    texts = map_arrow(narrow, _pack, "d bigint, t bigint, packed binary")
+    parsed = stored(map_arrow(texts.join(marks, ["d", "t"], "left").select("d", "t", "packed", "marks"), _parse(window), kind))
     open_texts = parsed.filter("packed IS NOT NULL")
     windows = open_texts.select("d", "t", F.explode(F.arrays_zip("starts", "one", "two")).alias("w")).select(
         "d", "t", "w.starts", "w.one", "w.two"
