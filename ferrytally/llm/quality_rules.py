@@ -40,10 +40,15 @@ def base_stats(text: Column, rules: Rules = Rules()) -> dict[str, Column]:
     """The plain statistics, all in one pass over the text."""
     text = F.coalesce(text.cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    stats = let(words(text), lambda w: F.struct(
+    stats = let(let(words(text), lambda w: F.struct(
         F.size(w).cast("bigint").alias("n_words"),
         F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
         repeated_words(w, rules.window).cast("bigint").alias("n_repeat_words"),
+    )), lambda s: F.struct(
+        s["n_words"].alias("n_words"), s["word_chars"].alias("word_chars"), s["n_repeat_words"].alias("n_repeat_words"),
+        (
+            (s["n_words"] < rules.min_words) | (100 * s["n_repeat_words"] > rules.max_repeat_percent * s["n_words"])
+        ).alias("base_failed"),
     ))
     return {
         "stats": stats,
@@ -117,12 +122,11 @@ def judge(docs: DataFrame, labels: DataFrame, rules: Rules = Rules(), packed: bo
     measured = rows.withColumn("__weights", weights).select(
         *(["__row"] if packed else []), "doc_id", *[c.alias(n) for n, c in base_stats(text, rules).items()], llr.alias("llr")
     )
-    n, repeated = F.col("stats.n_words"), F.col("stats.n_repeat_words")
-    failed = (n < rules.min_words) | (100 * repeated > rules.max_repeat_percent * n)
+    # The verdict takes the statistics once: a filter on it would work out the texts again for each use.
+    kept = F.when(F.col("stats.base_failed"), False).otherwise(F.col("llr") >= rules.threshold)
     return measured.select(
         *(["__row"] if packed else []), "doc_id", "stats.n_words", "stats.word_chars", "n_symbols", "n_dup_lines",
-        "stats.n_repeat_words", failed.alias("base_failed"),
-        (~failed & (F.col("llr") >= rules.threshold)).alias("kept"), "llr",
+        "stats.n_repeat_words", "stats.base_failed", kept.alias("kept"), "llr",
     )
 
 

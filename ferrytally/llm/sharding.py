@@ -31,7 +31,7 @@ from ferrytally.session import materialise
 
 SHARDS = 16
 SEED = 5
-PIECE_ROWS = 200_000
+PIECE_ROWS = 50_000
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
