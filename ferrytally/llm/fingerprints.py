@@ -16,37 +16,48 @@ SEED = 42
 CHUNK = 1 << 16  # shingles whose bits are counted at once
 
 
-def simhash(text: bytes, shingle: int) -> int:
-    """The fingerprint of one text, signed; bit 1 where over half of the shingle hashes have it.
+def simhash(text: bytes, shingle: int, words: int = 1) -> list[int]:
+    """The fingerprint of one text in ``words`` signed 64-bit words; bit 1 where over half of the shingle hashes have it.
 
     A-Z are lower-cased, words are separated by ASCII blanks. A text with fewer words than a shingle
-    is one shingle; without words the fingerprint is 0.
+    is one shingle; without words the fingerprint is 0. Words after the first use a mixture of the hash.
     """
     w = text.lower().split()
     if not w:
-        return 0
+        return [0] * words
     runs = zip(*[w[k:] for k in range(shingle)]) if len(w) >= shingle else [w]
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(b" ".join(r), SEED) for r in runs), np.uint64)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), CHUNK):
-        part = hashes[at:at + CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * ones > len(hashes), bitorder="little")
-    return int(bits.view("<i8")[0])
-
-
-def fingerprinted(docs: DataFrame, keys: dict[str, Column], text: str, shingle: int) -> DataFrame:
-    """``keys`` and the fingerprint ``fp`` (bigint) of each text; null counts as empty."""
+    out = []
+    for word in range(words):
+        ones = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), CHUNK):
+            part = hashes[at:at + CHUNK]
+            if word:
+                part = (part ^ (part >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15 + 2 * word)
+                part ^= part >> np.uint64(29)
+            part = part.astype("<u8").view(np.uint8).reshape(-1, 8)
+            ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out.append(int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0]))
+    return out
+
+
+def fingerprinted(docs: DataFrame, keys: dict[str, Column], text: str, shingle: int, words: int = 1) -> DataFrame:
+    """``keys`` and the fingerprint ``fp0``, ``fp1`` ... (bigint) of each text; null counts as empty."""
     narrow = docs.select(*[c.alias(n) for n, c in keys.items()], F.coalesce(F.col(text), F.lit("")).cast("binary").alias("__text"))
     names = list(keys)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if f.name != "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            values = pa.array([simhash(t.as_py(), shingle) for t in b.column("__text")], pa.int64())
+            found = [simhash(t.as_py(), shingle, words) for t in b.column("__text")]
+            values = [pa.array([f[i] for f in found], pa.int64()) for i in range(words)]
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(n) for n in names], values], names=[*names, "fp"]
+                [*[b.column(n) for n in names], *values], names=[*names, *fingerprint_columns(words)]
             )
 
-    return map_arrow(narrow, run, f"{kept}, fp bigint")
+    return map_arrow(narrow, run, ", ".join([kept, *[f"{n} bigint" for n in fingerprint_columns(words)]]))
+
+
+def fingerprint_columns(words: int) -> list[str]:
+    return [f"fp{i}" for i in range(words)]

@@ -12,6 +12,11 @@ Only distinct fingerprints take part, so exact copies cost nothing. A key with m
 into chunks and every pair of chunks is a group of its own, so no task holds more than two
 chunks. A group emits a spanning forest of its links, never all of them: components stay the same.
 
+``near_duplicates`` links fingerprints of 64 bits within 3. That is far closer than a similarity of 0.8, at which texts
+differ in about 15 % of the bits, and so many bits cannot be searched exactly at any reasonable cost. ``one_of_each`` therefore
+takes fingerprints of 128 bits and the radius that belongs to 0.8; its keys are again tuples of distances to pivots within chosen
+bits, enough of them that a pair of similarity 0.8 shares one with probability 0.97.
+
 Defined results: null and empty texts have fingerprint 0 and are linked like any other. Rows
 with a null id take part; a component's id is the smallest id that is not null, and null if there
 is none. Repeated rows are returned once each by ``near_duplicates``; ``one_of_each`` keeps one
@@ -20,6 +25,7 @@ row of a component, that with the smallest (id, row hash), nulls last.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -30,9 +36,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrytally.llm.common import row_key, table
+from ferrytally.llm.common import join_counted, row_key, table
 from ferrytally.llm.components import components
-from ferrytally.llm.fingerprints import fingerprinted
+from ferrytally.llm.fingerprints import fingerprint_columns, fingerprinted
 from ferrytally.session import materialise
 
 
@@ -76,77 +82,112 @@ def pivot_keys(fps: DataFrame, pivots: Pivots) -> DataFrame:
     return about.select("fp", F.explode(F.array(*keys)).alias("k"))
 
 
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of fingerprints whose last axis is their words."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int16)
+
+
 def forest(fps: np.ndarray, bases: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Links (positions) that join what is within the radius: a spanning forest of the group."""
-    table = np.bitwise_count(fps[:, None] ^ bases[None, :]).astype(np.int16)
+    table = _apart(fps[:, None], bases[None, :])
     left = np.arange(len(fps))
     links: list[tuple[int, int]] = []
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             at = queue.pop()
-            near = (np.abs(table[left] - table[at]).max(axis=1) <= radius)
-            near[near] = np.bitwise_count(fps[left[near]] ^ fps[at]) <= radius
+            near = np.abs(table[left] - table[at]).max(axis=1) <= radius
+            near[near] = _apart(fps[left[near]], fps[at]) <= radius
             found, left = left[near], left[~near]
             links.extend((int(at), int(x)) for x in found)
             queue.extend(found)
     return links
 
 
-def _group_links(pivots: Pivots):
-    bases = np.array(pivots.references(), np.uint64)
-    names = ["k", "i", "j", "fp"]
-
-    def links_of(columns: list[np.ndarray], cuts: np.ndarray) -> pa.RecordBatch:
-        fp = columns[3].view(np.uint64)
-        sizes = np.diff(cuts)
-        a, b = [], []
-        pairs = cuts[:-1][sizes == 2]
-        if len(pairs):
-            near = np.abs(
-                np.bitwise_count(fp[pairs][:, None] ^ bases).astype(np.int16)
-                - np.bitwise_count(fp[pairs + 1][:, None] ^ bases).astype(np.int16)
-            ).max(axis=1) <= pivots.radius
-            near &= np.bitwise_count(fp[pairs] ^ fp[pairs + 1]) <= pivots.radius
-            a.append(fp[pairs[near]])
-            b.append(fp[pairs[near] + 1])
-        for lo, hi in zip(cuts[:-1][sizes > 2], cuts[1:][sizes > 2]):
-            own = fp[lo:hi]
-            linked = forest(own, bases, pivots.radius)
-            a.append(own[[x for x, _ in linked]])
-            b.append(own[[y for _, y in linked]])
-        a = np.concatenate(a) if a else np.empty(0, np.uint64)
-        b = np.concatenate(b) if b else np.empty(0, np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+DENSE = 8  # links per member beyond which a group is reduced to a forest
+
+
+def near_pairs(fps: np.ndarray, bases: np.ndarray, radius: int, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links within groups of consecutive rows: all of them, or a spanning forest where they are many."""
+    table = _apart(fps[:, None], bases[None, :])
+    group = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    ends = np.repeat(cuts[1:], np.diff(cuts))
+    first, second, links = [], [], np.zeros(len(cuts) - 1, np.int64)
+    rows, step = np.arange(len(fps)), 1
+    dense = np.zeros(len(cuts) - 1, bool)
+    while len(rows):
+        rows = rows[(rows + step < ends[rows]) & ~dense[group[rows]]]
+        near = rows[np.abs(table[rows] - table[rows + step]).max(axis=1, initial=0) <= radius]
+        near = near[_apart(fps[near], fps[near + step]) <= radius]
+        first.append(near)
+        second.append(near + step)
+        np.add.at(links, group[near], 1)
+        dense = links > DENSE * np.diff(cuts)
+        step += 1
+    a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (first, second))
+    kept = ~dense[group[a]]
+    a, b = [a[kept]], [b[kept]]
+    for g in np.flatnonzero(dense):
+        lo, hi = cuts[g], cuts[g + 1]
+        found = np.array(forest(fps[lo:hi], bases, radius), np.int64).reshape(-1, 2) + lo
+        a.append(found[:, 0])
+        b.append(found[:, 1])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _group_links(bases: np.ndarray, radius: int):
+    """Links of all groups (k, i, j) in sorted rows; a group may go on over several batches."""
+    words = bases.shape[1]
+    columns = ["k", "i", "j", *fingerprint_columns(words)]
+    names = [f"{side}{w}" for side in "ab" for w in range(words)]
+
+    def links_of(rows: list[np.ndarray], cuts: np.ndarray) -> pa.RecordBatch:
+        fps = np.stack([c.view(np.uint64) for c in rows[3:]], axis=1)
+        pairs = near_pairs(fps, bases, radius, cuts)
+        out = [np.ascontiguousarray(fps[side, w]).view(np.int64) for side in pairs for w in range(words)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = [np.empty(0, np.int64)] * 4
+        rest = [np.empty(0, np.int64)] * len(columns)
         for batch in batches:
-            columns = [np.concatenate([r, batch.column(n).to_numpy()]) for r, n in zip(rest, names)]
-            new = reduce(np.logical_or, [c[1:] != c[:-1] for c in columns[:3]]) if len(columns[0]) else np.empty(0, bool)
+            rows = [np.concatenate([r, batch.column(n).to_numpy()]) for r, n in zip(rest, columns)]
+            if not len(rows[0]):
+                continue
+            new = reduce(np.logical_or, [c[1:] != c[:-1] for c in rows[:3]])
             cuts = np.concatenate([[0], np.flatnonzero(new) + 1])
             # The last group may go on in the next batch.
-            rest = [c[cuts[-1]:] for c in columns]
-            yield links_of([c[:cuts[-1]] for c in columns], cuts)
+            rest = [c[cuts[-1]:] for c in rows]
+            yield links_of([c[:cuts[-1]] for c in rows], cuts)
         if len(rest[0]):
             yield links_of(rest, np.array([0, len(rest[0])]))
 
     return run
 
 
-def fingerprint_links(fps: DataFrame, pivots: Pivots = Pivots()) -> DataFrame:
-    """Links (a, b) between distinct fingerprints ``fp``: enough to join all that are near."""
-    keyed = pivot_keys(fps, pivots)
-    shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    chunks = F.ceil(F.col("n") / F.lit(pivots.chunk)).cast("bigint")
-    members = keyed.join(shared, "k").select(
-        "k", "fp", chunks.alias("c"), F.pmod(F.xxhash64("fp", "k"), chunks).alias("own")
+def linked(keyed: DataFrame, bases: np.ndarray, radius: int, chunk: int) -> DataFrame:
+    """Links (a0.., b0..) between fingerprints that share a key ``k``: enough to join all that are near.
+
+    A key with many members is cut into chunks, and each pair of chunks is a group of its own.
+    """
+    words = fingerprint_columns(bases.shape[1])
+    shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    chunks = F.ceil(F.col("times") / F.lit(chunk)).cast("bigint")
+    members = join_counted(keyed, shared, ["k"]).select(
+        "k", *words, chunks.alias("c"), F.pmod(F.xxhash64(*words, "k"), chunks).alias("own")
     )
     placed = members.select(
-        "k", "fp", "own", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("c") - 1)).alias("other")
-    ).select("k", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+        "k", *words, "own", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("c") - 1)).alias("other")
+    ).select("k", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *words)
     grouped = placed.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
-    return grouped.mapInArrow(_group_links(pivots), "a bigint, b bigint").distinct()
+    kind = ", ".join(f"{side}{w} bigint" for side in "ab" for w in range(len(words)))
+    return grouped.mapInArrow(_group_links(bases, radius), kind).distinct()
+
+
+def fingerprint_links(fps: DataFrame, pivots: Pivots = Pivots()) -> DataFrame:
+    """Links (a, b) between distinct fingerprints ``fp``: enough to join all that are near."""
+    bases = np.array(pivots.references(), np.uint64).reshape(-1, 1)
+    keyed = pivot_keys(fps, pivots).withColumnRenamed("fp", "fp0")
+    return linked(keyed, bases, pivots.radius, pivots.chunk).select(F.col("a0").alias("a"), F.col("b0").alias("b"))
 
 
 def classes(light: DataFrame, pivots: Pivots) -> DataFrame:
@@ -158,7 +199,7 @@ def classes(light: DataFrame, pivots: Pivots) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, pivots: Pivots = Pivots()) -> DataFrame:
     """doc_id, fingerprint and component of every row."""
-    light = materialise(fingerprinted(docs, {"doc_id": F.col("doc_id")}, "text", shingle))
+    light = materialise(fingerprinted(docs, {"doc_id": F.col("doc_id")}, "text", shingle).withColumnRenamed("fp0", "fp"))
     least = light.groupBy("fp").agg(F.min("doc_id").alias("least"))
     known = classes(light, pivots).join(least, "fp")
     named = known.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -167,13 +208,92 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, pivots: Pivots = Pivots()
     )
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5, pivots: Pivots = Pivots()) -> DataFrame:
-    """One row of every component, with the columns of ``docs``."""
+@dataclass(frozen=True)
+class Wide:
+    """Near duplicates by similarity: wider fingerprints, and keys that a similar pair shares with high probability.
+
+    Texts of Jaccard similarity s differ in a share ``differs(s)`` of their bits. A key is the tuple of distances
+    to the bases within ``bits`` chosen bits, and there are as many keys as a pair of the wanted similarity needs to
+    share one with probability ``recall``. More texts take longer keys, and more of them.
+    """
+
+    similarity: float = 0.8
+    words: int = 2
+    recall: float = 0.97
+    bases: int = 8
+    seed: int = 7
+    least_bits: int = 16
+    spare: int = 64  # unrelated texts per key, about
+    slack: int = 3  # bits beyond the expected distance at the wanted similarity
+    chunk: int = 1024
+
+    def differs(self, similarity: float) -> float:
+        return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+    @property
+    def radius(self) -> int:
+        return round(64 * self.words * self.differs(self.similarity)) + self.slack
+
+    def references(self) -> np.ndarray:
+        return np.random.default_rng(self.seed).integers(0, 1 << 64, (self.bases, self.words), dtype=np.uint64)
+
+    def masks(self, texts: int) -> np.ndarray:
+        """The bits of each key, for so many texts."""
+        bits = max(self.least_bits, math.ceil(math.log2(max(texts, 1) / self.spare + 1)))
+        alike = (1 - self.differs(self.similarity)) ** bits
+        rng = np.random.default_rng(self.seed + 1)
+        out = np.zeros((math.ceil(math.log(1 - self.recall) / math.log(1 - alike)), self.words), np.uint64)
+        for mask in out:
+            for bit in rng.choice(64 * self.words, bits, replace=False):
+                mask[bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
+        return out
+
+
+def _wide_keys(bases: np.ndarray, masks: np.ndarray):
+    names = fingerprint_columns(bases.shape[1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.stack([batch.column(n).to_numpy().view(np.uint64) for n in names], axis=1)
+            unlike = fps[:, None] ^ bases[None]
+            for i, mask in enumerate(masks):
+                # Half the difference of the distances to a base and to the base with the mask's bits flipped.
+                inside = np.bitwise_count(unlike & mask).sum(axis=-1, dtype=np.uint8)
+                key = np.ascontiguousarray(inside).view(np.uint64)[:, 0] * np.uint64(0x9E3779B97F4A7C15)
+                key = (key ^ (key >> np.uint64(32))) + np.uint64(0xC2B2AE3D27D4EB4F * (i + 1) & ((1 << 64) - 1))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *[batch.column(n) for n in names]], names=["k", *names])
+
+    return run
+
+
+def _node(side: str, words: int) -> Column:
+    return F.concat(*[F.lpad(F.hex(f"{side}{w}"), 16, "0") for w in range(words)])
+
+
+def similar_classes(light: DataFrame, wide: Wide) -> DataFrame:
+    """The columns of ``light`` and ``root``: alike for rows whose texts are joined by similar ones."""
+    words = fingerprint_columns(wide.words)
+    fps = light.select(*words).distinct()
+    bases = wide.references()
+    kind = ", ".join(["k bigint", *[f"{w} bigint" for w in words]])
+    keyed = fps.mapInArrow(_wide_keys(bases, wide.masks(fps.count())), kind)
+    links = linked(keyed, bases, wide.radius, wide.chunk).select(_node("a", wide.words).alias("a"), _node("b", wide.words).alias("b"))
+    own = _node("fp", wide.words)
+    joined = components(links)
+    return light.withColumn("own", own).join(joined, F.col("own") == F.col("node"), "left").select(
+        *light.columns, F.coalesce("root", "own").alias("root")
+    )
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, wide: Wide = Wide()) -> DataFrame:
+    """One row of every group of similar texts, with the columns of ``docs``."""
     keys = {"__id": F.col("doc_id"), "__key": row_key(docs)}
-    light = materialise(fingerprinted(docs, keys, "text", shingle))
-    first = F.min(F.struct(F.col("__id").isNull().alias("last"), F.col("__id"), F.col("__key")))
-    least = light.groupBy("fp").agg(first.alias("first"))
-    chosen = classes(light, pivots).join(least, "fp").groupBy("root").agg(F.min("first").alias("first")).select(
+    words = fingerprint_columns(wide.words)
+    light = materialise(fingerprinted(docs, keys, "text", shingle, wide.words))
+    first = F.min(F.struct(F.col("__id").isNull().alias("last"), F.col("__id"), F.col("__key"))).alias("first")
+    # Equal fingerprints are counted together before anything is joined.
+    least = light.groupBy(*words).agg(first)
+    chosen = similar_classes(least, wide).groupBy("root").agg(F.min("first").alias("first")).select(
         F.col("first.__id").alias("__own"), F.col("first.__key").alias("__ownkey")
     )
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *[c.alias(n) for n, c in keys.items()])
