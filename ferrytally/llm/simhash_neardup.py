@@ -104,7 +104,7 @@ def forest(fps: np.ndarray, bases: np.ndarray, radius: int) -> list[tuple[int, i
     return links
 
 
-DENSE = 8  # links per member beyond which a group is reduced to a forest
+DENSE = 1  # links per member beyond which a group is reduced to a forest
 
 
 def near_pairs(fps: np.ndarray, bases: np.ndarray, radius: int, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
