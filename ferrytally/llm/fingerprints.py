@@ -16,18 +16,29 @@ SEED = 42
 CHUNK = 1 << 16  # shingles whose bits are counted at once
 
 
-def simhash(text: bytes, shingle: int, words: int = 1) -> list[int]:
-    """The fingerprint of one text in ``words`` signed 64-bit words; bit 1 where over half of the shingle hashes have it.
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """The 64-bit hashes of a text's shingles, in order.
 
     A-Z are lower-cased, words are separated by ASCII blanks. A text with fewer words than a shingle
-    is one shingle; without words the fingerprint is 0. Words after the first use a mixture of the hash.
+    is one shingle; without words there is none.
     """
     w = text.lower().split()
     if not w:
-        return [0] * words
+        return np.empty(0, np.uint64)
     runs = zip(*[w[k:] for k in range(shingle)]) if len(w) >= shingle else [w]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(b" ".join(r), SEED) for r in runs), np.uint64)
+    return np.fromiter((digest(b" ".join(r), SEED) for r in runs), np.uint64)
+
+
+def simhash(text: bytes, shingle: int, words: int = 1) -> list[int]:
+    """The fingerprint of one text in ``words`` signed 64-bit words; 0 without words."""
+    return fingerprint(shingle_hashes(text, shingle), words)
+
+
+def fingerprint(hashes: np.ndarray, words: int = 1) -> list[int]:
+    """Bit 1 where over half of the hashes have it, in signed words. Words after the first use a mixture of the hash."""
+    if not len(hashes):
+        return [0] * words
     out = []
     for word in range(words):
         ones = np.zeros(64, np.int64)

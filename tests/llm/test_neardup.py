@@ -141,3 +141,32 @@ def test_one_of_each(spark):
     assert {0, 3, 4, 7, 10, 15, 19} <= set(ids) and not {1, 8, 9} & set(ids) and 12 not in ids
     for text in texts.values():
         assert max(similarity(text, t) for t in chosen) >= 0.5
+
+
+def test_the_cut_is_exact(spark):
+    """Pairs on both sides of 0.8: all at or above it are joined, none below."""
+    rng = random.Random(21)
+    rows = []
+    for group in range(120):
+        base = odd.words(rng, 64 + group % 7).split()
+        other = list(base)
+        for at in rng.sample(range(len(base)), 1 + group % 2):
+            other[at] = f"changed{group}"
+        rows += [(2 * group, " ".join(base)), (2 * group + 1, " ".join(other))]
+    near = {g for g in range(120) if similarity(rows[2 * g][1], rows[2 * g + 1][1]) >= 0.8}
+    kept = {r["doc_id"] for r in nd.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert 30 < len(near) < 90
+    assert kept == {2 * g for g in range(120)} | {2 * g + 1 for g in range(120) if g not in near}
+
+
+@pytest.mark.parametrize("chunk", [1024, 3])
+def test_prefix_filter_alone_is_complete(spark, chunk, monkeypatch):
+    """Without a single link of fingerprints the same rows stay."""
+    monkeypatch.setattr(nd, "pivot_pairs", lambda texts, wide: spark.createDataFrame([], "a bigint, b bigint"))
+    rng = random.Random(5)
+    footer = odd.words(rng, 30)
+    rows = [(i, f"{odd.words(rng, rng.randint(1, 9))} {footer}") for i in range(150)]
+    got = {r["doc_id"] for r in nd.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"), wide=nd.Wide(chunk=chunk)).collect()}
+    found = roots(rows, lambda a, b: similarity(a[1], b[1]) >= 0.8)
+    want = {min(i for i, r in enumerate(found) if r == x) for x in found}
+    assert got == want and 1 < len(want) < 150
