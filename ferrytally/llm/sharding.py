@@ -5,13 +5,14 @@ multivariate hypergeometric distribution of what the shards can still take. Ever
 permutes its rows and deals them out by its counts, the rows are exchanged, and each shard permutes
 what it got. The law is ``rows``: shard sizes differ by one at most.
 
-The driver holds one number per partition and shard, never rows. Partitions are those of the table
-scan; their rows are ordered by a hash of their position, so no exchange is needed before the one that
+The driver holds one number per partition and shard, never rows. Partitions are those of a reliable
+checkpoint; their rows are ordered by a hash of their position, so no exchange is needed before the one that
 moves them. A shard's rows are numbered in ``pieces`` of its hash range, each a window of its own,
 so no task sorts a whole shard.
 
-``docs`` must be a frame whose partitions stay as they are, such as a checkpoint; ``sharded`` makes
-one of the narrow columns by itself.
+``dealt`` takes a frame whose partitions stay as they are, such as a checkpoint; a scan's may change between the
+jobs that count and deal rows. ``sharded`` makes a checkpoint of its whole input. Rows that were not counted, and shards
+that do not get the size they were given, are an error.
 
 Defined results: a null text counts no bytes and has the checksum of an empty one. Null ids and repeated
 rows are rows like any other; every row gets a slot of its own. An empty table gives no rows.
@@ -100,8 +101,10 @@ def dealt(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     ).withColumn("__h", F.xxhash64(F.lit(seed), "__at"))
     ranked = here.sortWithinPartitions("__h", "__at").withColumn("__rank", _local_rank())
     # Bounded: a number per partition and shard.
-    sent = ranked.join(F.broadcast(bounds), "__p").select(
-        "__row", "__at", F.size(F.filter("__bounds", lambda b: b <= F.col("__rank"))).alias("shard")
+    moved = F.raise_error(F.lit("partitions changed after their rows were counted")).cast("int")
+    known = F.coalesce(F.col("__rank") < F.element_at("__bounds", -1), F.lit(False))
+    sent = ranked.join(F.broadcast(bounds), "__p", "left").select(
+        "__row", "__at", F.when(known, F.size(F.filter("__bounds", lambda b: b <= F.col("__rank")))).otherwise(moved).alias("shard")
     )
     total = sum(counts.values())
     pieces = max(1, math.ceil(total / shards / PIECE_ROWS))
@@ -110,16 +113,20 @@ def dealt(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     sizes = again.groupBy("shard", "__piece").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
     # Bounded: a row per piece, of which there are rows / PIECE_ROWS.
-    offsets = sizes.select("shard", "__piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
+    size = F.lit(total // shards) + F.when(F.col("shard") < total % shards, 1).otherwise(0)
+    offset = F.coalesce(F.sum("n").over(before), F.lit(0))
+    offsets = sizes.select(
+        "shard", "__piece", F.when(F.sum("n").over(Window.partitionBy("shard")) == size, offset).otherwise(moved).alias("__offset")
+    )
     inside = Window.partitionBy("shard", "__piece").orderBy("__h", "__at")
     placed = again.withColumn("__n", F.row_number().over(inside)).join(F.broadcast(offsets), ["shard", "__piece"])
     return placed.select("__row", "shard", (F.col("__offset") + F.col("__n") - 1).cast("bigint").alias("slot"))
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """The columns of ``docs``, a table scan, with ``shard`` and ``slot``."""
+    """The columns of ``docs``, whatever its partitions, with ``shard`` and ``slot``."""
     return with_columns(
-        dealt(docs, shards, seed), "__row", {"shard": F.col("shard"), "slot": F.col("slot")}, docs.schema
+        dealt(materialise(docs), shards, seed), "__row", {"shard": F.col("shard"), "slot": F.col("slot")}, docs.schema
     )
 
 

@@ -75,3 +75,33 @@ def test_odd_and_empty(spark):
     assert got.columns == [c for c in docs.columns if c not in ("shard", "slot")] + ["shard", "slot"]
     assert got.count() == len(odd.rows())
     assert s.sharded(odd.empty(spark).checkpoint()).collect() == []
+
+
+def scan_that_changes(spark, path):
+    """A Parquet scan, and what splits it in other ways from now on."""
+    spark.range(4000).selectExpr("id", "repeat(cast(id as string), 20) text").repartition(3).write.parquet(path)
+    return spark.read.parquet(path), lambda: spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+
+
+def test_scan_may_change_its_partitions(spark, tmp_path):
+    """Cores that come or go change the split of a scan between the count and the deal."""
+    docs, change = scan_that_changes(spark, str(tmp_path / "docs"))
+    try:
+        sharded = s.sharded(docs)
+        change()
+        got = sharded.select("id", "shard", "slot").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r["id"] for r in got) == list(range(4000))
+    assert sorted((r["shard"], r["slot"]) for r in got) == [(i, k) for i in range(16) for k in range(250)]
+
+
+def test_changed_partitions_are_an_error(spark, tmp_path):
+    docs, change = scan_that_changes(spark, str(tmp_path / "docs"))
+    try:
+        dealt = s.dealt(docs)
+        change()
+        with pytest.raises(Exception, match="partitions changed"):
+            dealt.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
