@@ -158,3 +158,14 @@ def test_licences(spark):
 def test_licences_odd(spark):
     assert licenses.scan(odd.frame(spark)).filter("confirmed").collect() == []
     assert licenses.scan(odd.empty(spark)).collect() == []
+
+
+def test_a_common_notice_is_reported(spark):
+    """The footer of every third document, in more paragraphs than any common word may be in."""
+    rng = random.Random(14)
+    rows = []
+    for i in range(300):
+        lines = [odd.words(rng, 12) for _ in range(3)] + (["Released under the MIT License."] if i % 3 == 0 else [])
+        rows.append((i, "\n".join(lines)))
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).filter("confirmed").collect()
+    assert sorted((r["doc_id"], r["family"]) for r in got) == [(i, "mit") for i in range(0, 300, 3)]
