@@ -169,3 +169,14 @@ def test_a_common_notice_is_reported(spark):
         rows.append((i, "\n".join(lines)))
     got = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).filter("confirmed").collect()
     assert sorted((r["doc_id"], r["family"]) for r in got) == [(i, "mit") for i in range(0, 300, 3)]
+
+
+def test_a_wrapped_notice_is_reported(spark):
+    """A notice over several lines, in a run of lines after blank ones; a notice in one line stays one row."""
+    rng = random.Random(15)
+    rows = [(i, f"{odd.words(rng, 12)}\n{odd.words(rng, 9)}") for i in range(60)]
+    gpl, mit = licenses.TEMPLATES["gpl-3.0"][1].split(), licenses.TEMPLATES["mit"][1]
+    wrapped = "\n".join(" ".join(gpl[k:k + 7]) for k in range(0, len(gpl), 7))
+    rows += [(100, f"{odd.words(rng, 9)}\n\n \n{wrapped}\n\n{odd.words(rng, 9)}"), (101, f"{odd.words(rng, 9)}\n{mit}\n{odd.words(rng, 9)}")]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).filter("confirmed").collect()
+    assert sorted((r["doc_id"], r["paragraph"], r["family"]) for r in got) == [(100, 3, "gpl-3.0"), (101, 1, "mit")]
