@@ -5,7 +5,7 @@ letters; i and l are one letter, as 1 stands for both. What is not a letter then
 words apart in many languages, so they stay; a word without its accents is compared with whole words only.
 
 The lexicon is learned from labelled documents: words, and beginnings of words, that are far more frequent
-in toxic documents than in clean ones, and stand after many different words, so that what copies of one text
+in toxic documents than in clean ones, beyond chance, and stand after many different words, so that what copies of one text
 share is not taken for toxic. Of a word and its beginnings the longest is kept that is found in (almost)
 as many toxic documents as the shortest. A term weighs the log ratio of its rates. The density of a text
 is the sum of the weights of its terms over its length; the score maps it to 0..1 so that the density that
@@ -20,7 +20,6 @@ Repeated rows are scored alike, each as a row of its own.
 
 from __future__ import annotations
 
-import math
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -29,7 +28,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrytally.llm.common import map_arrow, table
@@ -84,8 +83,8 @@ class Settings:
     terms: int = 5_000  # of the lexicon's candidates, at most
     shortest: int = 4
     longest: int = 9
-    least_share: float = 0.02  # of the toxic documents that have a term
     least_docs: int = 5
+    least_evidence: float = 24.0  # of the log-likelihood ratio that a term is as frequent in both classes; chance gives 24 once in a million
     least_weight: float = 2.5  # natural log of the ratio of rates
     least_ratio: float = 3.0  # of the shares of toxic and of clean documents that have a term
     least_places: float = 0.2  # different words before a term, of the toxic documents that have it
@@ -191,10 +190,17 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     if not every or not every["bad"] or not every["good"]:
         return Lexicon(settings=settings)
     weight = F.log((F.col("bad") + 0.5) / every["bad"]) - F.log((F.col("good") + 0.5) / every["good"])
-    least = max(settings.least_docs, math.ceil(settings.least_share * every["docs"]))
+    # Twice the log-likelihood ratio of shares that differ to equal ones: more documents admit more terms.
+    toxic, clean = float(every["docs"]), float(every["others"])
+    both = F.col("docs") + F.col("others")
+
+    def evidence(n: Column, share: float) -> Column:
+        return F.when(n > 0, n * F.log(n / (both * share))).otherwise(0.0)
+
+    proof = 2 * (evidence(F.col("docs"), toxic / (toxic + clean)) + evidence(F.col("others"), clean / (toxic + clean)))
     wide = F.col("places") >= F.greatest(F.lit(settings.least_docs), F.col("docs") * settings.least_places)
     more = F.col("docs") / every["docs"] >= settings.least_ratio * F.col("others") / max(every["others"], 1)
-    found = counted.filter((F.col("docs") >= least) & wide & more & (F.col("term") != "")).withColumn("weight", weight)
+    found = counted.filter((F.col("docs") >= settings.least_docs) & (proof >= settings.least_evidence) & wide & more & (F.col("term") != "")).withColumn("weight", weight)
     best = found.filter(F.col("weight") >= settings.least_weight).orderBy(F.desc("docs"), "term").limit(settings.terms).collect()
     lexicon = Lexicon(choose({r["term"]: (r["docs"], r["weight"]) for r in best}), 1.0, settings)
     return Lexicon(lexicon.weights, _calibrated(rows, lexicon), settings)

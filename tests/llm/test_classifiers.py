@@ -180,3 +180,15 @@ def test_a_wrapped_notice_is_reported(spark):
     rows += [(100, f"{odd.words(rng, 9)}\n\n \n{wrapped}\n\n{odd.words(rng, 9)}"), (101, f"{odd.words(rng, 9)}\n{mit}\n{odd.words(rng, 9)}")]
     got = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).filter("confirmed").collect()
     assert sorted((r["doc_id"], r["paragraph"], r["family"]) for r in got) == [(100, 3, "gpl-3.0"), (101, 1, "mit")]
+
+
+def test_rare_toxic_words_are_learned(spark):
+    """A word in 1.5 % of the toxic documents and in no clean one."""
+    rng = random.Random(16)
+    rows = [(i, odd.words(rng, 12, "abcdefghnrst")) for i in range(6000)]
+    toxic = [i for i in range(6000) if i % 2]
+    rare = set(rng.sample(toxic, 45))
+    rows = [(i, f"{t} scumbag {odd.words(rng, 5)}" if i in rare else t) for i, t in rows]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], LABELS)
+    weights = toxicity.learn(spark.createDataFrame(rows, "doc_id bigint, text string"), labels).weights
+    assert weights and all("scumbag".startswith(w.strip()) for w in weights)
