@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ferrytally.llm import (
-    conversation_trie, decontaminate, language_id, licenses, mixing, quality_rules, sharding, simhash_neardup, substring_dedup, toxicity, warc, whitening,
+    conversation_trie, decontaminate, language_id, licenses, mixing, ngram_join, quality_rules, sharding, simhash_neardup, substring_dedup, toxicity, warc, whitening,
 )
 
 QUERIES = {
@@ -19,10 +19,12 @@ QUERIES = {
     "op10_simhash_neardup": simhash_neardup.query,
     "op11_conversation_trie": conversation_trie.query,
     "op12_embedding_whitening": whitening.query,
+    "op13_ngram_jaccard_join": ngram_join.query,
 }
 
 #: Only what SQL can express; the others are tested against plain Python on small tables.
 ORACLES: dict[str, str] = {
     "op3_source_mixing": mixing.SQL,
     "op11_conversation_trie": conversation_trie.SQL,
+    "op13_ngram_jaccard_join": ngram_join.SQL,
 }
