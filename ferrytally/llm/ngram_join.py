@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrytally.llm.common import join_counted, map_arrow, row_key, stored, table
+from ferrytally.llm.common import ARROW_ROWS, join_counted, map_arrow, row_key, stored, table
 from ferrytally.llm.components import components
 from ferrytally.llm.set_links import Similarity, cells_of, exact_links, prefix_forest
 
@@ -106,20 +106,28 @@ def described(docs: DataFrame, key: str, text: str, join: Join) -> DataFrame:
     return map_arrow(narrow, run, f"id {kind}, row bigint, n bigint, k1 bigint, k2 bigint, first array<bigint>, cells binary")
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, join: Join) -> DataFrame:
-    """(node, h) for the documents named in ``wanted`` (node, id, row): their sets, worked out again from the text."""
-    wanted = stored(wanted)
+def with_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, join: Join) -> DataFrame:
+    """``wanted`` (node, one: the id and hash of a row, and others) with the set ``h`` of that row, worked out again from its text."""
+    wanted = stored(wanted.withColumn("row", F.col("one.row")))
     few = wanted.count() <= join.broadcast
     own = docs.select(F.col(f"`{key}`").alias("own"), row_key(docs).alias("row"), _bytes(F.col(f"`{text}`")).alias("t"))
-    met = own.join(F.broadcast(wanted) if few else wanted, ["row"]).filter(F.col("own").eqNullSafe(F.col("id"))).select("node", "t")
+    met = own.join(F.broadcast(wanted) if few else wanted, "row").filter(F.col("own").eqNullSafe(F.col("one.id")))
+    kept = [f for f in wanted.schema if f.name not in ("one", "row")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()  # a row that repeats gives its set once in a task
         for b in batches:
-            found = [ngrams(t.as_py(), join.words).view(np.int64) for t in b.column("t")]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "h"])
+            keys = list(zip(*[b.column(f.name).to_pylist() for f in kept]))
+            new = [i for i, k in enumerate(keys) if not (k in seen or seen.add(k))]
+            for at in range(0, len(new), ARROW_ROWS):
+                part = b.take(pa.array(new[at:at + ARROW_ROWS]))
+                found = [ngrams(t.as_py(), join.words).view(np.int64) for t in part.column("t")]
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(f.name) for f in kept], pa.array(found, pa.list_(pa.int64()))], names=[*[f.name for f in kept], "h"]
+                )
 
-    # A row that repeats gives its set each time.
-    return stored(map_arrow(met, run, "node bigint, h array<bigint>").dropDuplicates(["node"]))
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "h array<bigint>"])
+    return met.select(*[f.name for f in kept], "t").mapInArrow(run, schema)
 
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
@@ -132,8 +140,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", join: Join
     texts = stored(same.withColumn("node", F.monotonically_increasing_id()).withColumn("label", F.col("node")))
     clusters = components(prefix_forest(texts, join.similar, join.chunk))
     clustered = stored(clusters.join(texts.select("node", "n", "one"), "node").select(F.col("root").alias("cluster"), "node", "n", "one"))
-    sets = whole_sets(docs, clustered.select("node", "one.id", "one.row"), key, text, join)
-    classes = components(exact_links(clustered.drop("one"), sets, join.similar, join.budget))
+    classes = components(exact_links(clustered, lambda rows: with_sets(docs, rows, key, text, join), join.similar, join.budget))
     named = texts.join(classes, "node", "left").select("k1", "k2", "times", "least", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("times"))
     known = join_counted(named.drop("times"), least, ["root"]).drop("times").join(texts.select("k1", "k2", "times"), ["k1", "k2"])

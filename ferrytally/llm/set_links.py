@@ -26,6 +26,8 @@ from ferrytally.llm.common import join_counted, stored
 from ferrytally.llm.components import components
 
 CELLS = 128
+FINE = 1024  # cells of sets with more than LONG hashes: a few counts say little about many hashes
+LONG = 2048
 LEAF = 16  # points of a leaf; groups up to this size are not indexed
 
 
@@ -50,16 +52,45 @@ class Similarity:
 
 def cells_of(hashes: np.ndarray) -> bytes:
     """How many hashes fall in each cell; a byte for each if all fit, else four."""
-    counts = np.bincount((hashes & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+    cells = FINE if len(hashes) > LONG else CELLS
+    counts = np.bincount((hashes & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
     return counts.astype(np.uint8 if counts.max() < 256 else "<u4").tobytes()
 
 
-def cell_matrix(cells: pa.Array) -> np.ndarray:
-    """The counts as rows; small integers if all are."""
-    lengths = pc.binary_length(cells).to_numpy()
-    if (lengths == CELLS).all():
-        return np.frombuffer(b"".join(cells.to_pylist()), np.uint8).reshape(-1, CELLS)
-    return np.stack([np.frombuffer(c, np.uint8 if len(c) == CELLS else "<u4").astype(np.int64) for c in cells.to_pylist()])
+def _counts(cells: bytes) -> np.ndarray:
+    return np.frombuffer(cells, np.uint8 if len(cells) in (CELLS, FINE) else "<u4").astype(np.int64)
+
+
+@dataclass(frozen=True)
+class Points:
+    """Count vectors of many sets: all with few cells, and long ones also with many."""
+
+    few: np.ndarray
+    many: np.ndarray
+    row: np.ndarray  # of ``many``, for each set; -1 for short ones
+
+    @staticmethod
+    def of(cells: pa.Array) -> Points:
+        lengths = pc.binary_length(cells).to_numpy()
+        if (lengths == CELLS).all():
+            return Points(np.frombuffer(b"".join(cells.to_pylist()), np.uint8).reshape(-1, CELLS), np.empty((0, FINE), np.int64), np.full(len(cells), -1))
+        counts = [_counts(c) for c in cells.to_pylist()]
+        long = np.array([len(c) == FINE for c in counts])
+        # A cell of the few is what its cells of the many add up to.
+        few = np.stack([c.reshape(-1, CELLS).sum(axis=0) for c in counts])
+        return Points(few, np.stack([c for c in counts if len(c) == FINE] or [np.empty(FINE)])[:long.sum()].astype(np.int64), np.where(long, np.cumsum(long) - 1, -1))
+
+    def part(self, own: slice) -> Points:
+        return Points(self.few[own], self.many, self.row[own])
+
+    def may(self, x: np.ndarray, y: np.ndarray, n: np.ndarray, similar: Similarity) -> np.ndarray:
+        """Whether the counts of the sets ``x`` and ``y`` (positions, pairwise) allow the similarity."""
+        both = n[x] + n[y]
+        good = similar.holds(np.minimum(self.few[x], self.few[y]).sum(axis=1, dtype=np.int64), both)
+        at = np.flatnonzero(good & (self.row[x] >= 0) & (self.row[y] >= 0))
+        if len(at):
+            good[at] = similar.holds(np.minimum(self.many[self.row[x[at]]], self.many[self.row[y[at]]]).sum(axis=1), both[at])
+        return good
 
 
 def by_group(keys: list[str], links: Callable[[pa.RecordBatch, np.ndarray], Iterator[pa.RecordBatch]]):
@@ -98,13 +129,14 @@ def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
-def tree_forest(n: np.ndarray, cells: np.ndarray, label: np.ndarray, similar: Similarity) -> list[tuple[int, int]]:
+def tree_forest(n: np.ndarray, points: Points, label: np.ndarray, similar: Similarity) -> list[tuple[int, int]]:
     """A spanning forest of the points whose counts allow the similarity; equal labels are joined already.
 
     The points are packed into the leaves of an R-tree by size and, among equal sizes, by the cell that varies most. A leaf's
     box is the largest count in each cell and its least and greatest size.
     """
     joined = np.unique(label, return_inverse=True)[1]
+    cells = points.few
     order = np.lexsort((cells[:, np.argmax(cells.var(axis=0))], n))
     leaves = [order[i:i + LEAF] for i in range(0, len(order), LEAF)]
     box = np.stack([cells[leaf].max(axis=0) for leaf in leaves]).astype(np.int64)
@@ -116,15 +148,15 @@ def tree_forest(n: np.ndarray, cells: np.ndarray, label: np.ndarray, similar: Si
         # Leaves ascend in size.
         for j in after[similar.holds(most, low[i] + low[after]) & similar.sizes_allow(high[i], low[after])]:
             other = leaves[j]
-            if (joined[leaf] == joined[leaf[0]]).all() and (joined[other] == joined[leaf[0]]).all():
+            apart = joined[leaf][:, None] != joined[other][None]
+            x, y = (v[rows] for v, rows in zip((leaf, other), np.nonzero(apart)))
+            x, y = (v[similar.sizes_allow(np.minimum(n[x], n[y]), np.maximum(n[x], n[y]))] for v in (x, y))
+            if not len(x):
                 continue
-            overlap = np.minimum(cells[leaf][:, None], cells[other][None]).sum(axis=2, dtype=np.int64)
-            sizes = n[leaf][:, None], n[other][None]
-            may = similar.holds(overlap, sizes[0] + sizes[1]) & similar.sizes_allow(np.minimum(*sizes), np.maximum(*sizes))
-            for x, y in zip(*np.nonzero(may & (joined[leaf][:, None] != joined[other][None]))):
-                a, b = leaf[x], other[y]
+            may = points.may(x, y, n, similar)
+            for a, b in zip(x[may].tolist(), y[may].tolist()):
                 if joined[a] != joined[b]:
-                    links.append((int(a), int(b)))
+                    links.append((a, b))
                     joined[joined == joined[b]] = joined[a]
     return links
 
@@ -132,7 +164,7 @@ def tree_forest(n: np.ndarray, cells: np.ndarray, label: np.ndarray, similar: Si
 def _tentative(similar: Similarity):
     def links(b: pa.RecordBatch, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
         n, at, node, label = (b.column(c).to_numpy() for c in ("n", "at", "node", "label"))
-        cells = cell_matrix(b.column("cells"))
+        points = Points.of(b.column("cells"))
         sizes = np.diff(cuts)
         small = np.repeat(sizes <= LEAF, sizes)
         ends = np.repeat(cuts[1:], sizes)
@@ -146,13 +178,12 @@ def _tentative(similar: Similarity):
             x, y = near, near + step
             ahead = np.minimum(at[x], at[y]) + np.minimum(n[x] - at[x], n[y] - at[y])
             x, y = (v[similar.holds(ahead, n[x] + n[y])] for v in (x, y))
-            overlap = np.minimum(cells[x], cells[y]).sum(axis=1, dtype=np.int64)
-            may = similar.holds(overlap, n[x] + n[y])
+            may = points.may(x, y, n, similar)
             if may.any():
                 yield _edges(node[x[may]], node[y[may]])
         for g in np.flatnonzero(sizes > LEAF):
             own = slice(int(cuts[g]), int(cuts[g + 1]))
-            found = np.array(tree_forest(n[own], cells[own], label[own], similar), np.int64).reshape(-1, 2) + cuts[g]
+            found = np.array(tree_forest(n[own], points.part(own), label[own], similar), np.int64).reshape(-1, 2) + cuts[g]
             if len(found):
                 yield _edges(node[found[:, 0]], node[found[:, 1]])
 
@@ -246,26 +277,31 @@ def _pivot_links(large: DataFrame, weights: DataFrame, sets: DataFrame, similar:
     return each.filter((F.col("a") != F.col("b")) & similar.holds(F.col("shared"), F.col("both"))).select("a", "b")
 
 
-def exact_links(clustered: DataFrame, sets: DataFrame, similar: Similarity, budget: int) -> DataFrame:
-    """Links (a, b) that hold, enough to join all similar sets of a cluster: ``clustered`` has (cluster, node, n), ``sets`` (node, h).
+def exact_links(clustered: DataFrame, with_sets: Callable[[DataFrame], DataFrame], similar: Similarity, budget: int) -> DataFrame:
+    """Links (a, b) that hold, enough to join all similar sets of a cluster: ``clustered`` has (cluster, node, n) and what
+    ``with_sets`` needs to add the set ``h`` to rows of nodes (which may repeat a row).
 
     A task compares at most two chunks of about ``budget`` hashes. Clusters of up to that size are one chunk.
     """
     weights = stored(clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("times"), F.sum("n").alias("weight")))
-    large = stored(join_counted(clustered, weights.filter(F.col("weight") > budget), ["cluster"]).select("cluster", "node", "n"))
+    large = stored(join_counted(clustered, weights.filter(F.col("weight") > budget), ["cluster"]).drop("times", "weight"))
     small = clustered.join(weights.filter(F.col("weight") <= budget).select("cluster"), "cluster", "left_semi")
-    columns = ["cluster", "i", "j", "node", "label"]
+    columns = ["cluster", "i", "j", "node", "label", "h"]
     none = F.lit(0).cast("bigint")
-    placed = small.select("cluster", none.alias("i"), none.alias("j"), "node", F.col("node").alias("label"))
-    first = None
-    if not large.isEmpty():
-        first = stored(_pivot_links(large, weights, sets, similar))
-        joined = components(first)
-        labelled = stored(large.join(joined, "node", "left").select("cluster", "node", "n", F.coalesce("root", "node").alias("label")))
-        placed = placed.unionByName(_chunk_pairs(labelled, budget).select(*columns))
-    grouped = placed.join(sets, "node").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    found = grouped.select(*columns, "h").mapInArrow(_verified(similar), "a bigint, b bigint")
-    return stored(found if first is None else found.unionByName(first))
+    found = _compared(with_sets(small.withColumn("label", F.col("node")).withColumn("i", none).withColumn("j", none)).select(*columns), similar)
+    if large.isEmpty():
+        return stored(found)
+    sets = stored(with_sets(large).select("node", "h").dropDuplicates(["node"]))
+    first = stored(_pivot_links(large.select("cluster", "node"), weights, sets, similar))
+    joined = components(first)
+    labelled = stored(large.join(joined, "node", "left").select("cluster", "node", "n", F.coalesce("root", "node").alias("label")))
+    rest = _compared(_chunk_pairs(labelled, budget).join(sets, "node").select(*columns), similar)
+    return stored(found.unionByName(first).unionByName(rest))
+
+
+def _compared(placed: DataFrame, similar: Similarity) -> DataFrame:
+    grouped = placed.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    return grouped.mapInArrow(_verified(similar), "a bigint, b bigint").filter("a <> b")
 
 
 def _chunk_pairs(labelled: DataFrame, budget: int) -> DataFrame:
@@ -274,7 +310,7 @@ def _chunk_pairs(labelled: DataFrame, budget: int) -> DataFrame:
     Labels with much weight have chunks of their own, which do not meet each other; all else of a cluster shares chunks.
     """
     by_label = labelled.groupBy("cluster", "label").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("times"))
-    pure = F.col("w") * 8 > budget
+    pure = F.col("w") > budget
     kinds = by_label.select("cluster", "label", "w", "times", pure.alias("pure"))
     rest = kinds.filter(~F.col("pure")).groupBy("cluster").agg(F.sum("w").alias("w")).select("cluster", F.col("w").alias("rest"))
     parts = stored(kinds.join(rest, "cluster", "left").select(

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ferrytally.llm import ngram_join, set_links
@@ -105,12 +106,14 @@ def test_bounds_hold():
     rng = np.random.default_rng(2)
     similar = Similarity(85, 100)
     for _ in range(200):
-        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 900), dtype=np.uint64))
+        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, [900, 9000][_ % 2]), dtype=np.uint64))
         kept = a[rng.random(len(a)) < 0.93]
         b = np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, rng.integers(1, 60), dtype=np.uint64)]))
         shared = len(np.intersect1d(a, b))
-        cells = [np.frombuffer(set_links.cells_of(s), np.uint8 if len(set_links.cells_of(s)) == 128 else "<u4").astype(int) for s in (a, b)]
-        assert np.minimum(*cells).sum() >= shared
+        n = np.array([len(a), len(b)])
+        points = set_links.Points.of(pa.array([set_links.cells_of(s) for s in (a, b)]))
+        assert np.minimum(*points.few).sum() >= shared
+        assert points.may(np.array([0]), np.array([1]), n, similar)[0] or not similar.holds(shared, n.sum())
         if similar.holds(shared, len(a) + len(b)):
             order = lambda s: s[np.argsort(s % np.uint64(97), kind="stable")]
             heads = [set(order(s)[:similar.prefix(len(s))].tolist()) for s in (a, b)]
@@ -135,8 +138,8 @@ def test_forests_join_what_all_pairs_join():
     partition = lambda root: {frozenset(np.flatnonzero(np.array(root) == r).tolist()) for r in set(root)}
     exact = set_links.set_forest(sets, label, similar)
     assert partition(groups(exact)) == partition(groups(true)) and len(exact) < len(sets)
-    cells = np.stack([np.frombuffer(set_links.cells_of(s), np.uint8) for s in sets])
-    tree = set_links.tree_forest(np.array([len(s) for s in sets]), cells, label, similar)
+    points = set_links.Points.of(pa.array([set_links.cells_of(s) for s in sets]))
+    tree = set_links.tree_forest(np.array([len(s) for s in sets]), points, label, similar)
     assert len(tree) < len(sets)
     joined = groups(tree)
     assert all(joined[a] == joined[b] for a, b in true)
