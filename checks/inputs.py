@@ -155,6 +155,9 @@ FROM region WHERE r_regionkey < 3
 UNION ALL SELECT 'N' || {_s('n_nationkey')}, 'R' || {_s('n_regionkey')} FROM nation
 UNION ALL SELECT 'C' || {_s('c_custkey')}, 'N' || {_s('c_nationkey')} FROM customer
 UNION ALL SELECT 'O' || {_s('o_orderkey')}, 'C' || {_s('o_custkey')} FROM orders"""),
+    "chains": (["orders"], f"""
+SELECT 'o' || {_s('o_orderkey')} AS output_id,
+  'o' || {_s('CASE WHEN o_orderkey % 256 = 255 THEN o_orderkey - 2 ELSE o_orderkey + 1 END')} AS source_id FROM orders"""),
     "steps": (["conversations"], """
 SELECT conv_id AS dataflow_id, turn AS position,
   CASE WHEN turn % 5 = 4 THEN 'Mystery' WHEN role = 'system' THEN 'SelectValues' WHEN role = 'user' THEN 'Filter'

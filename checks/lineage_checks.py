@@ -183,6 +183,22 @@ CLOSURE = """WITH closure AS (SELECT output_id, source_id FROM edges
 """
 
 
+@query("transitive_sources_deep", oracle(["chains"], CLOSURE.replace("edges", "chains") + """
+SELECT output_id, count(*) AS sources, min(source_id) AS first_source FROM closure GROUP BY output_id""", recursive=True))
+def transitive_sources_deep(spark, sf):
+    """Chains of 256 orders that end in a cycle."""
+    closed = lineage.transitive_sources(frame(spark, sf, "chains"))
+    return closed.groupBy("output_id").agg(F.count(F.lit(1)).alias("sources"), F.min("source_id").alias("first_source"))
+
+
+@query("transitive_sources_near", oracle(["edges"], """
+SELECT output_id, source_id FROM edges UNION SELECT a.output_id, b.source_id FROM edges a JOIN edges b ON a.source_id = b.output_id
+UNION SELECT a.output_id, c.source_id FROM edges a JOIN edges b ON a.source_id = b.output_id JOIN edges c ON b.source_id = c.output_id"""))
+def transitive_sources_near(spark, sf):
+    """Sources at most three steps away."""
+    return lineage.transitive_sources(frame(spark, sf, "edges"), max_hops=3)
+
+
 @query("transitive_sources_hub", """SELECT o_orderkey::VARCHAR AS output_id, 'hub' AS source_id FROM orders
 UNION ALL SELECT 'hub', 'r' || r_regionkey FROM region
 UNION ALL SELECT o_orderkey::VARCHAR, 'r' || r_regionkey FROM orders, region""")

@@ -166,59 +166,55 @@ def expansion_stats(flows: DataFrame) -> DataFrame:
     return one.withColumn("ratio", ratio)
 
 
-# Rounds after which the pairs found so far become one table again.
-COMPACT_ROUNDS = 10
-
-
 # Parts that the rows of a hub are dealt into.
 HUB_PARTS = 64
 
 
-def _extended(frontier: DataFrame, step: DataFrame, size: int, hot_rows: int) -> DataFrame:
-    """Pairs one step longer. Pairs that end in a hub are dealt into parts, each with the hub's steps."""
+def _extended(pairs: DataFrame, near: DataFrame, size: int, hot_rows: int) -> DataFrame:
+    """``pairs`` followed by ``near``. Pairs that end in a hub are dealt into parts, each with what is near the hub."""
+    step = near.select(F.col("output_id").alias("__via"), F.col("source_id").alias("__next"), F.col("hops").alias("__more"))
+
     def joined(pairs: DataFrame, steps: DataFrame, *more: Column) -> DataFrame:
         on = reduce(lambda a, b: a & b, more, F.col("source_id") == F.col("__via"))
-        return pairs.join(steps, on).select("output_id", F.col("__next").alias("source_id"))
+        return pairs.join(steps, on).select(
+            "output_id", F.col("__next").alias("source_id"), (F.col("hops") + F.col("__more")).alias("hops")
+        )
 
-    profile = profile_keys([frontier], ["source_id"], hot_rows) if size > hot_rows else None
+    profile = profile_keys([pairs], ["source_id"], hot_rows) if size > hot_rows else None
     if profile is None or profile.hot_keys == 0:
-        return joined(frontier, step)
-    hot = hot_keys([frontier], ["source_id"], hot_rows)
-    cold_part, hub_part = split_hot(frontier, hot, ["source_id"], profile.hot_keys)
+        return joined(pairs, step)
+    hot = hot_keys([pairs], ["source_id"], hot_rows)
+    cold_part, hub_part = split_hot(pairs, hot, ["source_id"], profile.hot_keys)
     hubs = step.join(hot.select("__k0"), F.col("__via") == F.col("__k0"), "left_semi")
     hubs = hubs.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(HUB_PARTS - 1))))
     dealt = hub_part.withColumn("__own", F.pmod(F.xxhash64("output_id"), F.lit(HUB_PARTS)).cast("int"))
     return joined(cold_part, step).unionByName(joined(dealt, hubs, F.col("__own") == F.col("__part")))
 
 
-def transitive_sources(edges: DataFrame, max_rounds: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All ``(output_id, source_id)`` pairs reachable over ``edges``; cycles are safe.
+def transitive_sources(edges: DataFrame, max_hops: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """All ``(output_id, source_id)`` pairs reachable over ``edges``, in at most ``max_hops`` steps; cycles are safe.
 
-    Each round extends only the pairs found in the round before and keeps the new ones. The
-    rounds are checkpointed in the shared folder, so a lost executor re-reads a round instead
-    of recomputing all of them.
+    The reach doubles in each round. With all pairs of distance up to ``span`` known, a pair farther apart by up to as
+    much again has a node exactly ``span`` steps from its start, so one join of the pairs at that very distance with all known
+    ones finds it, together with its distance. Rounds grow with the logarithm of the longest shortest path, and as
+    shortest distances inside a cycle are short, cycles end it like anything else.
+
+    The rounds are checkpointed in the shared folder, so a lost executor re-reads a round instead of recomputing all of them.
     """
-    step = materialise(
-        edges.select(F.col("output_id").alias("__via"), F.col("source_id").alias("__next")).distinct()
-    )
-    frontier = step.select(F.col("__via").alias("output_id"), F.col("__next").alias("source_id"))
-    found, rounds = frontier, 1
-    size = frontier.count()
-    while max_rounds is None or rounds < max_rounds:
-        reached = _extended(frontier, step, size, hot_rows).distinct()
-        known = found.select(F.col("output_id").alias("__o"), F.col("source_id").alias("__s"))
-        fresh = reached.join(
+    near = materialise(edges.select("output_id", "source_id", F.lit(1).cast("bigint").alias("hops")).distinct())
+    farthest, span = near, 1
+    size = near.count()
+    while size and (max_hops is None or span < max_hops):
+        reached = _extended(farthest, near, size, hot_rows).groupBy("output_id", "source_id").agg(F.min("hops").alias("hops"))
+        known = near.select(F.col("output_id").alias("__o"), F.col("source_id").alias("__s"))
+        fresh = materialise(reached.join(
             known, (F.col("output_id") == F.col("__o")) & (F.col("source_id") == F.col("__s")), "left_anti"
-        )
-        frontier = materialise(fresh)
-        size = frontier.count()
-        if size == 0:
-            break
-        found = found.unionByName(frontier)
-        rounds += 1
-        if rounds % COMPACT_ROUNDS == 0:
-            found = materialise(found)
-    return found
+        ))
+        span *= 2
+        near, farthest = near.unionByName(fresh), fresh.filter(F.col("hops") == span)
+        size = farthest.count()
+    found = near if max_hops is None else near.filter(F.col("hops") <= max_hops)
+    return found.select("output_id", "source_id")
 
 
 def source_cells(closure: DataFrame, cell_ids: int = CELL_IDS) -> DataFrame:
