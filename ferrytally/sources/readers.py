@@ -12,6 +12,7 @@ from ferrytally.columns import col, cols
 from ferrytally.operators.counts import row_count
 from ferrytally.operators.lineage import LINEAGE_SCHEMA
 from ferrytally.operators.numbering import first_rows
+from ferrytally.sources.json_split import object_members
 
 CORRUPT = "_corrupt_record"
 
@@ -70,8 +71,17 @@ def read_control(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lineage(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Entities of lineage exports, one row per entity with its key."""
-    documents = spark.read.schema(LINEAGE_SCHEMA).option("multiLine", multi_line).json(path)
+    """Entities of lineage exports, one row per entity with its key.
+
+    An export is one JSON object, however large: its byte ranges are read by tasks of their own. With ``multi_line=False``
+    every line is an export.
+    """
+    if multi_line:
+        members = object_members(spark, path, "entities")
+        export = F.concat(F.lit('{"entities":{'), "text", F.lit("}}"))
+        documents = members.select(F.from_json(export, LINEAGE_SCHEMA).alias("export")).select("export.entities")
+    else:
+        documents = spark.read.schema(LINEAGE_SCHEMA).json(path)
     return documents.select(F.explode("entities").alias("entity_key", "entity")).select("entity_key", "entity.*")
 
 
