@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -205,6 +206,46 @@ def verify_load(spark, sf):
     return sinks.verify_count(spark, path, lines.count())
 
 
+@query("verify_load_content", """SELECT 'copied' AS "case", count(*) AS expected, count(*) AS actual, true AS ok FROM lineitem
+UNION ALL SELECT 'changed', count(*), count(*), false FROM lineitem UNION ALL SELECT 'swapped', count(*), count(*), false FROM lineitem
+UNION ALL SELECT 'nulled', count(*), count(*), false FROM lineitem UNION ALL SELECT 'replaced', count(*), count(*), false FROM lineitem""")
+def verify_load_content(spark, sf):
+    """A load is right if it holds the very rows: one changed value, two columns swapped, a null, or a row in place of another are found."""
+    lines, checks = frame(spark, sf, "lineitem"), []
+    least = lines.agg(F.min(F.struct("l_orderkey", "l_linenumber"))).first()[0]
+    one = (F.col("l_orderkey") == least[0]) & (F.col("l_linenumber") == least[1])
+    cases = {
+        "copied": lines.repartition(5),
+        "changed": lines.withColumn("l_tax", F.when(one, F.col("l_tax") + 1).otherwise(F.col("l_tax"))),
+        "swapped": lines.withColumns({"l_partkey": F.col("l_suppkey"), "l_suppkey": F.col("l_partkey")}),
+        "nulled": lines.withColumn("l_shipdate", F.when(~one, F.col("l_shipdate"))),
+        "replaced": lines.filter(~one).unionByName(lines.filter(one).withColumn("l_orderkey", F.col("l_orderkey") + 1000000000)),
+    }
+    for case, loaded in cases.items():
+        path = scratch_path(spark, "table")
+        expected = sinks.write_table(lines, path, checked=True)
+        sinks.write_table(loaded, path)
+        checks.append(sinks.verify_content(spark, path, expected).select(F.lit(case).alias("case"), "*"))
+    return reduce(DataFrame.unionByName, checks)
+
+
+@query("sink_table_failed_replace", "SELECT count(*) AS rows, sum(o_orderkey)::BIGINT AS keys, true AS failed FROM orders")
+def sink_table_failed_replace(spark, sf):
+    """A replacement that fails half-way: the old rows are still there."""
+    orders, path = frame(spark, sf, "orders"), scratch_path(spark, "table")
+    sinks.write_table(orders, path)
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    broken = F.when(F.col("o_orderkey") == last, F.raise_error(F.lit("broken"))).otherwise(F.col("o_orderkey"))
+    failed = False
+    try:
+        sinks.write_table(orders.repartition(8, "o_orderkey").withColumn("o_orderkey", broken.cast("bigint")), path)
+    except Exception:
+        failed = True
+    return readers.read_ref(spark, path).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"), F.lit(failed).alias("failed")
+    )
+
+
 @query("write_report", oracle(["right_orders"], """
 SELECT 'left_only' AS part, o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM right_orders)
 UNION ALL SELECT 'right_only', o_orderkey FROM right_orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)

@@ -1,7 +1,7 @@
 """Migrations: extract, clean, load, verify -- one table or many from a control table.
 
-The number of rows written is observed while writing, so a table is read once and the
-verification only counts the target.
+A checksum of the rows is observed while they are written, so a source is read once. The verification
+takes that of the target: a load that loses, repeats or changes a value has failed, whatever its number of rows.
 """
 
 from __future__ import annotations
@@ -15,12 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrytally.functions.names import identifier, rename_columns, table_name, warehouse_name
+from ferrytally.operators.checksum import Checksum, checksum
 from ferrytally.operators.cleaning import drop_empty_rows, trim_headers
 from ferrytally.operators.control import MIGRATION, find_header, pending, standardize, update_status
-from ferrytally.sources.readers import list_stage, read_dataset, read_ref
-from ferrytally.sources.sinks import (
-    exists, load_rejects, load_stage, read_stage, verify_count, write_stage, write_table,
-)
+from ferrytally.sources.readers import list_stage, read_dataset
+from ferrytally.sources.sinks import load_stage, read_stage, verify_content, write_stage, write_table
 
 Resolve = Callable[[str], DataFrame]
 TargetOf = Callable[[str], str]
@@ -65,11 +64,8 @@ def migrate(
 
     An empty extract is an error and leaves the target alone. Returns ``(expected, actual, ok)``.
     """
-    spark = source.sparkSession
-    written = Observation()
     named = rename_columns(_extract(source, limit, order), warehouse_name)
-    write_table(named.observe(written, F.count(F.lit(1)).alias("rows")), target, if_exists)
-    return verify_count(spark, target, written.get["rows"])
+    return verify_content(source.sparkSession, target, write_table(named, target, if_exists, checked=True))
 
 
 def _attempt(
@@ -184,13 +180,13 @@ def to_stage(
 
 def _staged(
     source: DataFrame, stage: str, name: str, limit: int | None = None, order: list[str] | None = None
-) -> tuple[str, int]:
-    """The folder of the staged files and the number of rows written to them."""
+) -> tuple[str, Checksum]:
+    """The folder of the staged files and the checksum of the rows written to them."""
     written = Observation()
-    folder = write_stage(_extract(source, limit, order).observe(written, F.count(F.lit(1)).alias("rows")), stage, name)
+    folder = write_stage(_extract(source, limit, order), stage, name, written=written)
     if list_stage(source.sparkSession, folder).isEmpty():
         raise ValueError(f"no file staged in {folder}")
-    return folder, written.get["rows"]
+    return folder, Checksum.of(written.get)
 
 
 def staged_schema(source: DataFrame) -> T.StructType:
@@ -205,17 +201,16 @@ def via_stage(
     """Stage a dataset, load the target from the staged files, and verify.
 
     One row ``(expected, actual, rejected, ok)``: rows staged, rows that the load put into the target, and
-    staged records that do not fit the schema.
+    staged records that do not fit the schema. It is right if the rows that were loaded are those that were staged, value by value,
+    and the target holds them beside what it held before. The files are parsed once.
     """
     spark = source.sparkSession
     folder, expected = _staged(source, stage, name, limit, order)
-    schema = staged_schema(source)
-    before = read_ref(spark, target).count() if if_exists == "append" and exists(spark, target) else 0
-    load_stage(spark, folder, target, schema, if_exists=if_exists)
-    rejected = load_rejects(spark, folder, schema).count()
-    return verify_count(spark, target, expected + before).select(
-        F.lit(expected).cast("bigint").alias("expected"), (F.col("actual") - before).alias("actual"),
-        F.lit(rejected).cast("bigint").alias("rejected"), (F.col("ok") & F.lit(rejected == 0)).alias("ok"),
+    load = load_stage(spark, folder, target, staged_schema(source), if_exists=if_exists)
+    before = load.total.rows - load.added.rows
+    return verify_content(spark, target, load.total).select(
+        F.lit(expected.rows).cast("bigint").alias("expected"), (F.col("actual") - before).alias("actual"),
+        F.lit(load.rejected).cast("bigint").alias("rejected"), (F.col("ok") & F.lit(load.added == expected)).alias("ok"),
     )
 
 
@@ -224,7 +219,7 @@ def control_to_stage(
 ) -> ControlRun:
     """Stage the pending rows of a control table, one folder of files per dataset.
 
-    What was written is compared with the rows that the files hold when read back.
+    What was written is compared, value by value, with what the files hold when read back.
     """
     spark = control.sparkSession
 
@@ -232,9 +227,7 @@ def control_to_stage(
         name = spark.range(1).select(identifier(F.lit(target))).first()[0]
         source = resolve(dataset_id)
         folder, expected = _staged(source, stage, name, limit)
-        n = F.count(F.lit(1))
-        return read_stage(spark, folder, staged_schema(source)).agg(
-            F.lit(expected).cast("bigint").alias("expected"), n.alias("actual"), (n == expected).alias("ok")
-        )
+        found = checksum(read_stage(spark, folder, staged_schema(source)))
+        return spark.createDataFrame([(expected.rows, found.rows, found == expected)], "expected bigint, actual bigint, ok boolean")
 
     return _control_run(control, ordinal, work, concurrent, limit)

@@ -13,6 +13,7 @@ from ferrytally.operators.counts import row_count
 from ferrytally.operators.lineage import LINEAGE_SCHEMA
 from ferrytally.operators.numbering import first_rows
 from ferrytally.sources.json_split import object_members
+from ferrytally.sources.replace import recover
 
 CORRUPT = "_corrupt_record"
 
@@ -23,6 +24,7 @@ def is_path(ref: str) -> bool:
 
 def read_ref(spark: SparkSession, ref: str) -> DataFrame:
     """A parquet path or a catalog table."""
+    recover(spark, ref)
     return spark.read.parquet(ref) if is_path(ref) else spark.table(ref)
 
 
