@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferrytally.columns import col, cols, partner_keys, same_key
 from ferrytally.functions.bands import sample_size_of
@@ -26,10 +27,38 @@ def sample_rank(keys: list[str], seed: int = SEED) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 
-def sample_keys(df: DataFrame, keys: list[str], n: int, seed: int = SEED) -> DataFrame:
-    """``n`` distinct keys drawn uniformly; all of them when there are no more than ``n``."""
-    ranked = distinct_keys(df, keys).withColumn("__rank", sample_rank(keys, seed))
-    return first_rows(ranked, [F.col("__rank"), *cols(keys)], n).drop("__rank")
+# Keys of a table that Spark expects to be no larger are all ranked; from a larger one those are that can be among the first.
+SMALL_BYTES = 1 << 30
+
+
+def sample_keys(df: DataFrame, keys: list[str], n: int, seed: int = SEED, small_bytes: int = SMALL_BYTES) -> DataFrame:
+    """``n`` distinct keys drawn uniformly; all of them when there are no more than ``n``.
+
+    The ranks of distinct keys are uniform, so the ``n`` smallest lie below a bound that the number of distinct keys tells. It is
+    estimated by a sketch, one small state per task that merges, and only rows below the bound are made distinct: neither the
+    keys of the table nor ``n`` rows of every task are ever shuffled. A bound that turns out too low is raised.
+    """
+    rank = sample_rank(keys, seed)
+    if n > DIRECT_LIMIT:
+        return first_rows(distinct_keys(df, keys).withColumn("__rank", rank), [F.col("__rank"), *cols(keys)], n).drop("__rank")
+    share = 1.0
+    if _expected_bytes(df) > small_bytes:
+        known = df.agg(F.approx_count_distinct(rank, 0.02)).first()[0]
+        # Six standard deviations of the draw, five of the sketch.
+        share = (n + 6 * n**0.5 + 20) / (0.9 * known + 1)
+    while True:
+        below = df if share >= 1 else df.filter(rank < F.lit(format(int(share * (1 << 64)), "016x")))
+        drawn = distinct_keys(below, keys).withColumn("__rank", rank).orderBy("__rank", *cols(keys)).limit(n).drop("__rank")
+        if share >= 1:
+            return drawn
+        drawn = materialise(drawn)
+        if drawn.count() >= n:
+            return drawn
+        share *= 4
+
+
+def _expected_bytes(df: DataFrame) -> int:
+    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
 
 
 def first_keys(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
@@ -55,7 +84,7 @@ def restrict(
     side = partner_keys(listed, keys)
     if sampled_rows is None or sampled_rows > most:
         sampled_rows = side.limit(most + 1).count()
-    if sampled_rows <= most and _bytes(side) <= BROADCAST_BYTES:
+    if sampled_rows <= most and (_fixed_width(side) or _bytes(side) <= BROADCAST_BYTES):
         return df.join(F.broadcast(side), same_key(keys), "left_semi")
     profile = profile_keys([df], keys, hot_rows)
     if profile.hot_keys == 0 or profile.hot_keys > BROADCAST_KEYS:
@@ -67,6 +96,11 @@ def restrict(
     return cold_part.join(side, same_key(keys), "left_semi").unionByName(kept)
 
 
+def _fixed_width(side: DataFrame) -> bool:
+    """Whether the number of keys bounds their size."""
+    return all(isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.TimestampNTZType, T.BooleanType)) for f in side.schema)
+
+
 def _bytes(side: DataFrame) -> int:
     """The size of a short key list as text."""
     length = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint") for c in side.columns]
@@ -99,14 +133,14 @@ def _size(df: DataFrame, n: int | None) -> int:
 def sync_sample(left: DataFrame, right: DataFrame, keys: list[str], n: int | None = None, seed: int = SEED):
     """The same randomly drawn keys on both sides, with all their rows."""
     size = _size(left, n)
-    drawn = sample_keys(left, keys, size, seed)
+    drawn = materialise(sample_keys(left, keys, size, seed))
     return restrict(left, drawn, keys, size), restrict(right, drawn, keys, size)
 
 
 def sync_first(left: DataFrame, right: DataFrame, keys: list[str], order: list[str], n: int | None = None):
     """The first ``n`` keys of the left side in ``order``, applied to both sides."""
     size = _size(left, n)
-    drawn = first_keys(left, keys, order, size)
+    drawn = materialise(first_keys(left, keys, order, size))
     return restrict(left, drawn, keys, size), restrict(right, drawn, keys, size)
 
 
