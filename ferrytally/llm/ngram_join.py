@@ -42,6 +42,11 @@ class Join:
     budget: int = 1 << 19  # hashes that are compared with each other at once
     broadcast: int = 1_000_000  # keys of documents that are broadcast, at most
 
+    def prefix(self, hashes: np.ndarray, frequent: np.ndarray, bits: int) -> np.ndarray:
+        """The first of a set's hashes, those of frequent buckets last: a similar set has one of them among its own."""
+        order = np.lexsort((hashes, frequent[(hashes >> np.uint64(64 - bits)).astype(np.int64)]))
+        return hashes[order[:self.similar.prefix(len(hashes)) if len(hashes) else 0]].view(np.int64)
+
 
 def ngrams(text: bytes, words: int) -> np.ndarray:
     """The distinct hashes of a text's n-grams, ascending. A-Z are lower-cased; ASCII blanks separate words."""
@@ -62,6 +67,10 @@ def _bytes(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit("")).cast("binary")
 
 
+def bucket_bits(docs: DataFrame) -> int:
+    return min(MOST, max(FEWEST, (docs.count() // 4).bit_length()))
+
+
 def bucket_counts(docs: DataFrame, text: str, words: int, bits: int) -> np.ndarray:
     """In how many documents the hashes of each bucket are; over all documents, with 2^bits numbers from each task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,20 +90,18 @@ def bucket_counts(docs: DataFrame, text: str, words: int, bits: int) -> np.ndarr
 
 def described(docs: DataFrame, key: str, text: str, join: Join) -> DataFrame:
     """Key, row hash, size ``n``, two hashes of the set, its prefix ``first`` and its counts ``cells`` for each document."""
-    bits = min(MOST, max(FEWEST, (docs.count() // 4).bit_length()))
+    bits = bucket_bits(docs)
     counts = docs.sparkSession.sparkContext.broadcast(bucket_counts(docs, text, join.words, bits))
     narrow = docs.select(F.col(f"`{key}`").alias("id"), row_key(docs).alias("row"), _bytes(F.col(f"`{text}`")).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = counts.value
         for b in batches:
             rows, first, cells = [], [], []
             for t in b.column("t"):
                 h = ngrams(t.as_py(), join.words)
                 whole = xxhash.xxh3_128_digest(h.tobytes())
-                order = np.lexsort((h, frequent[(h >> np.uint64(64 - bits)).astype(np.int64)]))
                 rows.append((len(h), *np.frombuffer(whole, np.int64).tolist()))
-                first.append(h[order[:join.similar.prefix(len(h))]].view(np.int64) if len(h) else np.empty(0, np.int64))
+                first.append(join.prefix(h, counts.value, bits))
                 cells.append(cells_of(h))
             sizes = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else ([], [], []))]
             yield pa.RecordBatch.from_arrays(

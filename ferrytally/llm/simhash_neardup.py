@@ -14,13 +14,12 @@ chunks. A group emits a spanning forest of its links, never all of them: compone
 
 ``near_duplicates`` links fingerprints of 64 bits within 3. That is far closer than a similarity of 0.8, at which texts
 differ in about 15 % of the bits. ``one_of_each`` joins texts whose sets of five-word shingles have a Jaccard similarity of at
-least 0.8, all of them and no others. Candidates come from two sources, and each is verified on the whole sets of shingle hashes:
+least 0.8, all of them and no others, in two steps that never list pairs (``set_links``):
 
-* links of 128-bit fingerprints within the radius that belongs to 0.8, whose keys are tuples of distances to pivots within chosen
-  bits. They find most pairs, and what they join need not be compared again, which keeps hot groups linear;
-* the prefix filter, between texts not joined so far: shingles have one order for all texts, and two sets of n and m
-  shingles with the similarity s share one among the first n - ceil(s n) + 1 and m - ceil(s m) + 1. That misses no pair, whatever
-  the order; shingles that are frequent in a sample come last, so that few texts share a first one by chance.
+* tentative links make clusters. Most come from 128-bit fingerprints within the radius that belongs to 0.8, whose keys are tuples of
+  distances to pivots within chosen bits. What they miss comes from the prefix filter, between texts not in one cluster so far: shingles
+  have one order for all texts, frequent ones last, and two similar sets share one among their first. That misses no pair;
+* within the clusters whole sets of shingle hashes decide, and a spanning forest of the links that hold comes out.
 
 Defined results: null and empty texts have fingerprint 0 and are linked like any other. Rows
 with a null id take part; a component's id is the smallest id that is not null, and null if there
@@ -33,6 +32,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 from functools import reduce
 from itertools import combinations
 
@@ -44,7 +44,9 @@ from pyspark.sql import functions as F
 
 from ferrytally.llm.common import join_counted, map_arrow, row_key, stored, table
 from ferrytally.llm.components import components
-from ferrytally.llm.fingerprints import fingerprint, fingerprint_columns, fingerprinted, shingle_hashes
+from ferrytally.llm.fingerprints import fingerprint, fingerprint_columns, fingerprinted
+from ferrytally.llm.ngram_join import Join, bucket_bits, bucket_counts, ngrams, with_sets
+from ferrytally.llm.set_links import Similarity, cells_of, exact_links, prefix_forest
 from ferrytally.session import materialise
 
 
@@ -272,46 +274,13 @@ def _wide_keys(bases: np.ndarray, masks: np.ndarray):
     return run
 
 
-SAMPLE = 20_000  # texts in which frequent shingles are looked for; they only order the prefix
-FREQUENT = 200_000  # shingles that are put last, at most
-CELLS = 128  # shingles are counted in so many cells, which bounds what two texts can share
-BROADCAST_TEXTS = 1_000_000  # keys of texts that are broadcast, at most
+BUDGET = 1 << 19  # hashes that a task compares with each other
 
 
-def frequent_shingles(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (ascending) of shingles that a sample of the texts repeats, and in how many of its texts each is."""
-    share = min(1.0, SAMPLE / max(1, docs.count()))
-    drawn = docs.select(F.col("text").cast("string").alias("text")).filter(
-        F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(1_000_000 * share)
-    ).distinct()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [np.unique(shingle_hashes((t.as_py() or "").encode(), shingle)) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64))], names=["h"])
-
-    # Bounded: at most FREQUENT rows.
-    found = map_arrow(drawn, run, "h bigint").groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 2").orderBy(
-        F.desc("n"), "h"
-    ).limit(FREQUENT).toArrow()
-    hashes, times = found.column("h").to_numpy().view(np.uint64), found.column("n").to_numpy()
-    order = np.argsort(hashes)
-    return hashes[order], times[order]
-
-
-def prefix(hashes: np.ndarray, similarity: float, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first of a set's hashes, rare ones before frequent ones: any set so similar has one of them among its own."""
-    known, times = frequent
-    rank = np.zeros(len(hashes), np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        rank = np.where(known[at] == hashes, times[at], 0)
-    order = np.lexsort((hashes, rank))
-    return hashes[order[: len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1]]
-
-
-def shingled(docs: DataFrame, keys: dict[str, Column], shingle: int, wide: Wide, frequent) -> DataFrame:
+def shingled(docs: DataFrame, keys: dict[str, Column], join: Join, wide: Wide) -> DataFrame:
     """``keys``, the fingerprint, ``node`` (hash of the set of shingles), its size ``n``, its prefix ``first`` and ``cells`` of each text."""
+    bits = bucket_bits(docs)
+    counts = docs.sparkSession.sparkContext.broadcast(bucket_counts(docs, "text", join.words, bits))
     narrow = docs.select(*[c.alias(n) for n, c in keys.items()], F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("__text"))
     names = list(keys)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if f.name != "__text")
@@ -321,44 +290,18 @@ def shingled(docs: DataFrame, keys: dict[str, Column], shingle: int, wide: Wide,
         for b in batches:
             found, first, cells = [], [], []
             for t in b.column("__text"):
-                h = np.unique(shingle_hashes(t.as_py(), shingle))
+                h = ngrams(t.as_py(), join.words)
                 node = int(np.uint64(xxhash.xxh64_intdigest(h.tobytes())).view(np.int64))
                 found.append([*fingerprint(h, wide.words), node, len(h)])
-                first.append(prefix(h, wide.similarity, frequent).view(np.int64))
-                cells.append(np.bincount((h % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.int32))
+                first.append(join.prefix(h, counts.value, bits))
+                cells.append(cells_of(h))
             values = [pa.array([f[i] for f in found], pa.int64()) for i in range(len(more))]
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(n) for n in names], *values, pa.array(first, pa.list_(pa.int64())), pa.array(cells, pa.list_(pa.int32()))],
+                [*[b.column(n) for n in names], *values, pa.array(first, pa.list_(pa.int64())), pa.array(cells, pa.binary())],
                 names=[*names, *more, "first", "cells"],
             )
 
-    return map_arrow(narrow, run, ", ".join([kept, *[f"{n} bigint" for n in more], "first array<bigint>", "cells array<int>"]))
-
-
-def verified(docs: DataFrame, texts: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets of shingles are similar enough, compared whole."""
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
-    a, b = (texts.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("cells").alias(f"c{x}")) for x in "ab")
-    # What two sets share is at most the sum of the lesser counts of their cells: no pair is lost here.
-    most = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    least = F.lit(similarity / (1 + similarity)) * (F.col("na") + F.col("nb")) - 1e-6
-    pairs = stored(pairs.join(a, "a").join(b, "b").filter(most >= least).select("a", "b"))
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = stored(texts.select("node", F.col("least.__key").alias("__key")).join(nodes, "node"))
-    few = wanted.count() <= BROADCAST_TEXTS
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [np.unique(shingle_hashes(t.as_py(), shingle)).view(np.int64) for t in b.column("__text")]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "h"])
-
-    own = docs.select(row_key(docs).alias("__key"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("__text"))
-    own = own.join(F.broadcast(wanted) if few else wanted, "__key").select("node", "__text")
-    sets = stored(map_arrow(own, run, "node bigint, h array<bigint>").dropDuplicates(["node"]))
-    a, b = (sets.select(F.col("node").alias(x), F.col("h").alias(f"h{x}")) for x in "ab")
-    common = F.size(F.array_intersect("ha", "hb"))
-    compared = pairs.join(a, "a").join(b, "b").select("a", "b", common.alias("common"), (F.size("ha") + F.size("hb")).alias("both"))
-    return stored(compared.filter(F.col("common") / (F.col("both") - F.col("common")) >= similarity).select("a", "b"))
+    return map_arrow(narrow, run, ", ".join([kept, *[f"{n} bigint" for n in more], "first array<bigint>", "cells binary"]))
 
 
 def pivot_pairs(texts: DataFrame, wide: Wide) -> DataFrame:
@@ -374,76 +317,23 @@ def pivot_pairs(texts: DataFrame, wide: Wide) -> DataFrame:
     return near.unionByName(texts.filter("n > 0").join(named, words).select(F.col("name").alias("a"), F.col("node").alias("b")))
 
 
-def _prefix_groups(similarity: float):
-    """Candidates within groups (h, i, j) of sorted rows: sizes and places allow the similarity, and no class joins them yet."""
-    columns = ["h", "i", "j", "n", "at", "node", "root"]
-    share = similarity / (1 + similarity)
-
-    def pairs_of(rows: list[np.ndarray], cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        n, at, node, root = rows[3:]
-        ends = np.repeat(cuts[1:], np.diff(cuts))
-        left, step = np.arange(len(node)), 1
-        while len(left):
-            left = left[left + step < ends[left]]
-            # Sizes ascend within a group.
-            left = left[n[left] >= similarity * n[left + step] - 1e-9]
-            a, b = left, left + step
-            most = np.minimum(at[a], at[b]) + np.minimum(n[a] - at[a], n[b] - at[b])
-            good = (root[a] != root[b]) & (most >= share * (n[a] + n[b]) - 1e-9)
-            if good.any():
-                x, y = node[a[good]], node[b[good]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-            step += 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = [np.empty(0, np.int64)] * len(columns)
-        for batch in batches:
-            rows = [np.concatenate([r, batch.column(c).to_numpy()]) for r, c in zip(rest, columns)]
-            if not len(rows[0]):
-                continue
-            new = reduce(np.logical_or, [c[1:] != c[:-1] for c in rows[:3]])
-            cuts = np.concatenate([[0], np.flatnonzero(new) + 1])
-            rest = [c[cuts[-1]:] for c in rows]
-            yield from pairs_of([c[:cuts[-1]] for c in rows], cuts)
-        if len(rest[0]):
-            yield from pairs_of(rest, np.array([0, len(rest[0])]))
-
-    return run
-
-
-def prefix_pairs(texts: DataFrame, joined: DataFrame, wide: Wide) -> DataFrame:
-    """Candidates (a, b): nodes of different classes in ``joined`` that share a shingle of their prefixes."""
-    known = texts.filter("n > 0").join(joined, "node", "left").select(
-        "node", "n", F.coalesce("root", "node").alias("root"), "first"
-    )
-    placed = known.select("node", "n", "root", F.posexplode("first").alias("at", "h"))
-    # Only shingles of several classes can join any.
-    shared = placed.groupBy("h").agg(
-        F.count(F.lit(1)).alias("times"), F.min("root").alias("lo"), F.max("root").alias("hi")
-    ).filter("lo <> hi").select("h", "times")
-    chunks = F.ceil(F.col("times") / F.lit(wide.chunk)).cast("bigint")
-    members = join_counted(placed, shared, ["h"]).select(
-        "h", "n", F.col("at").cast("bigint").alias("at"), "node", "root", chunks.alias("c"), F.pmod(F.xxhash64("node", "h"), chunks).alias("own")
-    )
-    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("c") - 1))).select(
-        "h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "n", "at", "node", "root"
-    )
-    grouped = dealt.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "n", "node")
-    return grouped.mapInArrow(_prefix_groups(wide.similarity), "a bigint, b bigint")
-
-
 def one_of_each(docs: DataFrame, shingle: int = 5, wide: Wide = Wide()) -> DataFrame:
     """One row of every group of similar texts, with the columns of ``docs``."""
     keys = {"__id": F.col("doc_id"), "__key": row_key(docs)}
-    light = shingled(docs, keys, shingle, wide, frequent_shingles(docs, shingle))
+    cut = Fraction(wide.similarity).limit_denominator(1000)
+    join = Join(words=shingle, similar=Similarity(cut.numerator, cut.denominator), chunk=wide.chunk, budget=BUDGET)
+    light = shingled(docs, keys, join, wide)
     least = F.min(F.struct(F.col("__id").isNull().alias("last"), F.col("__id"), F.col("__key"))).alias("least")
     # Texts with the same shingles are counted together before anything is joined.
     same = [F.first(c).alias(c) for c in (*fingerprint_columns(wide.words), "n", "first", "cells")]
     texts = stored(light.groupBy("node").agg(least, *same))
-    near = verified(docs, texts, pivot_pairs(texts, wide), shingle, wide.similarity)
-    joined = materialise(components(near))
-    others = verified(docs, texts, prefix_pairs(texts, joined, wide), shingle, wide.similarity)
-    classes_of = components(near.unionByName(others))
+    near = stored(pivot_pairs(texts, wide))
+    labelled = texts.filter("n > 0").join(components(near), "node", "left").withColumn("label", F.coalesce("root", "node"))
+    rest = prefix_forest(stored(labelled.select("node", "label", "n", "first", "cells")), join.similar, join.chunk)
+    clusters = components(near.unionByName(rest))
+    one = F.struct(F.col("least.__key").alias("row"), F.col("least.__id").alias("id")).alias("one")
+    clustered = stored(clusters.join(texts, "node").select(F.col("root").alias("cluster"), "node", "n", one))
+    classes_of = components(exact_links(clustered, lambda rows: with_sets(docs, rows, "doc_id", "text", join), join.similar, join.budget))
     chosen = texts.select("node", "least").join(classes_of, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(
         F.min("least").alias("least")
     ).select(F.col("least.__id").alias("__own"), F.col("least.__key").alias("__ownkey"))
