@@ -173,9 +173,9 @@ grams AS (
     ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS gram
   FROM words),
 sizes AS (SELECT r, count(*) AS n FROM grams GROUP BY r),
-shared AS (SELECT a.r AS x, b.r AS y, count(*) AS both FROM grams a JOIN grams b ON a.gram = b.gram AND a.r <> b.r GROUP BY ALL),
+shared AS (SELECT a.r AS x, b.r AS y, count(*) AS common FROM grams a JOIN grams b ON a.gram = b.gram AND a.r <> b.r GROUP BY ALL),
 links AS (
-  SELECT x, y FROM shared JOIN sizes s ON s.r = x JOIN sizes t ON t.r = y WHERE 100 * both >= 85 * (s.n + t.n - both)),
+  SELECT x, y FROM shared JOIN sizes s ON s.r = x JOIN sizes t ON t.r = y WHERE 100 * common >= 85 * (s.n + t.n - common)),
 reached AS (SELECT r, r AS other FROM words UNION SELECT reached.r, y FROM reached JOIN links ON x = other)
 SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
 FROM words w LEFT JOIN sizes s ON s.r = w.r

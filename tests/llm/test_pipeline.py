@@ -39,5 +39,5 @@ def test_queries_with_sql(spark, sf):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in llm.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in llm.QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
