@@ -9,9 +9,15 @@ each row with a separator; that is the byte 0, which is also the last byte of ev
 Reading. Files are cut into byte ranges, whatever lies in them. A task scans its range for the gzip magic,
 takes a candidate for a record if its header is one of gzip and its data begin like a WARC record, and owns the
 records that start inside the range; it reads on past the end to finish the last one. A record that lies
-within another one (an archive kept in an archive) is dropped by comparing the places of all records of a file.
+within another one (an archive kept in an archive) starts before the end of a record of an earlier range; each range tells how far
+its records reach, and rows that start before that are dropped. Only these reaches, one per range, are compared
+within a file. With payloads the archives are read twice, so that payloads are never shuffled or stored.
 Files are opened with pyarrow's file systems.
 
+Archives of other writers may hold any type of record. The payload is what follows the HTTP header where the record holds an HTTP
+message, else the whole block. A missing length, type or address is null; a missing digest is computed from the payload, and is null for a
+revisit. A SHA-1 that is given is checked, unless the payload is truncated or transfer-encoded; other digests are returned as they are.
+
 Defined results: a null html is an empty payload; rows that share the largest id of their group are all responses;
 null ids count as smallest, and rows of a group without any id are all responses. Line breaks in a url are
 percent-encoded, a null url is left out. An empty table gives no archive and no rows.
@@ -30,7 +36,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ferrytally.llm.common import join_counted, map_arrow, table
+from ferrytally.llm.common import join_counted, map_arrow, stored, table
 from ferrytally.session import scratch_path
 
 SPLIT_BYTES = 32 << 20
@@ -168,33 +174,41 @@ class Range:
 
 
 def parse(data: bytes) -> dict:
-    """Headers (lower-case names) and block of a record."""
+    """Headers (lower-case names) and block of a record; without a length the block goes on to the end of the data."""
     head, _, rest = data.partition(b"\r\n\r\n")
     lines = head.decode("utf-8", "replace").split("\r\n")
     headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-    return headers | {"block": rest[:int(headers["content-length"])]}
+    length = headers.get("content-length", "")
+    return headers | {"block": rest[:int(length)] if length.isdecimal() else rest.removesuffix(b"\r\n\r\n")}
 
 
 def _page(urn: str) -> int | None:
-    found = re.fullmatch(r"<urn:page:(-?\d+)>", urn)
+    found = re.fullmatch(r"<urn:page:(-?\d{1,18})>", urn)
     return int(found[1]) if found else None
 
 
 def _described(data: bytes) -> tuple:
-    """page, url, payload size, digest, type, page referred to and payload (None for a revisit)."""
+    """page, url, payload size, digest, type, page referred to and payload (None for a revisit); what is not told is None."""
     r = parse(data)
-    http, _, payload = r["block"].partition(b"\r\n\r\n")
-    revisit = r["warc-type"] == "revisit"
-    digest = r["warc-payload-digest"].removeprefix("sha1:")
-    if revisit:
-        size = int(re.search(rb"(?i)\r\ncontent-length: *(\d+)", http)[1])
+    kind, given = r.get("warc-type"), r.get("warc-payload-digest")
+    http, payload = b"", r["block"]
+    if r.get("content-type", "").lower().startswith("application/http"):
+        http, _, payload = payload.partition(b"\r\n\r\n")
+    digest = given and given.removeprefix("sha1:")
+    if kind == "revisit":
+        told = re.search(rb"(?i)\r\ncontent-length: *(\d{1,18})(?!\d)", http)
+        size, payload = int(told[1]) if told else None, None
     else:
         size = len(payload)
-        if base32_sha1(payload) != digest:
-            raise ValueError(f"payload of {r['warc-record-id']} does not match its digest")
+        encoded = "warc-truncated" in r or re.search(rb"(?i)\r\ntransfer-encoding:", http)
+        if not given or (given != digest and not encoded):
+            own = base32_sha1(payload)
+            if given and own != digest:
+                raise ValueError(f"payload of {r.get('warc-record-id')} does not match its digest")
+            digest = own
     return (
-        _page(r["warc-record-id"]), r.get("warc-target-uri"), size, digest, r["warc-type"],
-        _page(r.get("warc-refers-to", "")), None if revisit else payload,
+        _page(r.get("warc-record-id", "")), r.get("warc-target-uri"), size, digest, kind,
+        _page(r.get("warc-refers-to", "")), payload,
     )
 
 
@@ -202,7 +216,7 @@ _FIELDS = [
     ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
     ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()),
 ]
-_PLACES = [("path", pa.string()), ("start", pa.int64()), ("after", pa.int64())]
+_PLACES = [("path", pa.string()), ("range", pa.int64()), ("start", pa.int64()), ("after", pa.int64())]
 
 
 def _records(with_payload: bool):
@@ -210,13 +224,15 @@ def _records(with_payload: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path, start, end in zip(*[b.column(c).to_pylist() for c in ("path", "start", "end")]):
+            for path, start, end, floor in zip(*[b.column(c).to_pylist() for c in ("path", "range", "end", "floor")]):
                 system, name = fs.FileSystem.from_uri(_uri(path))
                 with system.open_input_file(name) as file:
                     rows, held = [], 0
                     for at, after, data in Range(file, start, end):
+                        if at < floor:
+                            continue
                         row = _described(data)
-                        rows.append((path, at, after, *(row if with_payload else row[:-1])))
+                        rows.append((path, start, at, after, *(row if with_payload else row[:-1])))
                         held += len(data) if with_payload else 200
                         if held > 4 * READ_BYTES:
                             yield _batch(rows, schema)
@@ -235,17 +251,21 @@ def read(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, with_pa
     """The records of all archives under ``path``; payloads only if asked for."""
     files = spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0")
     starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(split_bytes).cast("bigint")))
-    ranges = files.select("path", "length", starts.alias("start")).select(
-        "path", "start", F.least("length", F.col("start") + split_bytes).alias("end")
+    ranges = files.select("path", "length", starts.alias("range")).select(
+        "path", "range", F.least("length", F.col("range") + split_bytes).alias("end")
     )
-    number = ranges.count()
-    kind = "path string, start bigint, after bigint, page_id bigint, url string, payload_bytes bigint, "
-    kind += "payload_digest string, record_type string, refers_to bigint" + (", payload binary" if with_payload else "")
-    found = ranges.repartition(max(1, number)).mapInArrow(_records(with_payload), kind)
-    earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    return found.withColumn("__before", F.max("after").over(earlier)).filter(
-        F.coalesce(F.col("__before") <= F.col("start"), F.lit(True))
-    ).drop("__before", "path", "start", "after")
+    number = max(1, ranges.count())
+    kind = "path string, range bigint, start bigint, after bigint, page_id bigint, url string, payload_bytes bigint, "
+    kind += "payload_digest string, record_type string, refers_to bigint"
+    begin = F.lit(0).cast("bigint").alias("floor")
+    found = stored(ranges.select("*", begin).repartition(number).mapInArrow(_records(False), kind))
+    earlier = Window.partitionBy("path").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    reached = found.groupBy("path", "range").agg(F.max("after").alias("reach"))
+    floors = reached.select("path", "range", F.coalesce(F.max("reach").over(earlier), F.lit(0)).alias("floor"))
+    if with_payload:
+        again = ranges.join(floors, ["path", "range"]).repartition(number)
+        return again.mapInArrow(_records(True), f"{kind}, payload binary").drop(*[n for n, _ in _PLACES])
+    return found.join(floors, ["path", "range"]).filter("start >= floor").drop(*[n for n, _ in _PLACES], "floor")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -109,3 +109,58 @@ def test_record_whose_size_does_not_end_in_zero():
     data = b"x" * (1 << 24)
     packed = warc.member(data)
     assert packed[-1] == 0 and gzip.decompress(packed) == data
+
+
+def foreign(kind, block, **headers):
+    lines = ["WARC/1.0"] + ([f"WARC-Type: {kind}"] if kind else []) + [f"{k.replace('_', '-')}: {v}" for k, v in headers.items()]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("split", [1 << 20, 150])
+def test_archive_of_another_writer(spark, tmp_path, split):
+    """Records without digests, ids, types or lengths, and of types that are no pages."""
+    page = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<p>hello</p>"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3\r\nabc\r\n0\r\n\r\n"
+    http = "application/http; msgtype=response"
+    given = "sha1:" + warc.base32_sha1(b"abc")
+    records = [
+        foreign("warcinfo", b"software: x", Content_Type="application/warc-fields", Content_Length=11),
+        foreign("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", Content_Type="application/http; msgtype=request", Content_Length=27),
+        foreign("response", page, Content_Type=http, Content_Length=len(page), WARC_Target_URI="http://a/"),
+        foreign("response", chunked, Content_Type=http, Content_Length=len(chunked), WARC_Payload_Digest=given),
+        foreign("revisit", b"HTTP/1.1 200 OK\r\n\r\n", Content_Type=http, Content_Length=19, WARC_Refers_To="<urn:uuid:1>"),
+        foreign("resource", b"plain", Content_Length=5, WARC_Payload_Digest="md5:00"),
+        foreign(None, b"no length"),
+    ]
+    path = tmp_path / "foreign.warc.gz"
+    path.write_bytes(b"".join(gzip.compress(r) for r in records))
+    got = warc.read(spark, str(path), split, with_payload=True).collect()
+    sha = warc.base32_sha1
+    assert sorted((tuple(r) for r in got), key=str) == sorted([
+        (None, None, 11, sha(b"software: x"), "warcinfo", None, b"software: x"),
+        (None, None, 0, sha(b""), "request", None, b""),
+        (None, "http://a/", 12, sha(b"<p>hello</p>"), "response", None, b"<p>hello</p>"),
+        (None, None, len(b"3\r\nabc\r\n0\r\n\r\n"), given[5:], "response", None, b"3\r\nabc\r\n0\r\n\r\n"),
+        (None, None, None, None, "revisit", None, None),
+        (None, None, 5, "md5:00", "resource", None, b"plain"),
+        (None, None, 9, sha(b"no length"), None, None, b"no length"),
+    ], key=str)
+    narrow = warc.read(spark, str(path), split).collect()
+    assert sorted((tuple(r) for r in narrow), key=str) == sorted((tuple(r)[:-1] for r in got), key=str)
+
+
+@pytest.mark.parametrize("split", [1 << 20, 64, 50])
+def test_nested_archive_in_ranges(spark, tmp_path, split):
+    inner = warc.member(warc.record(5, "u", b"inner" * 40, None, False))
+    stored = zlib.compressobj(0, zlib.DEFLATED, 31)
+    outer = stored.compress(warc.record(6, "u", inner * 3, None, False)) + stored.flush()
+    path = tmp_path / "nested.warc.gz"
+    path.write_bytes(outer + warc.member(warc.record(7, "u", b"last", None, False)))
+    for with_payload in (False, True):
+        assert sorted(r["page_id"] for r in warc.read(spark, str(path), split, with_payload).collect()) == [6, 7]
+
+
+def test_a_wrong_digest_is_an_error():
+    data = foreign("response", b"x", Content_Length=1, WARC_Payload_Digest="sha1:" + warc.base32_sha1(b"y"))
+    with pytest.raises(ValueError):
+        warc._described(data)
