@@ -4,7 +4,10 @@ A source with target weight w gets w / (sum of weights) of the mixture's text. I
 that share over its present one, so that the mixture is expected to be as large as the input. Each
 document draws its number of copies from the Poisson distribution with that mean, by inverting the
 distribution at a number hashed from the seed and the document; it is exploded by its count, and the
-copies are sorted by another hash, which is a global shuffle. Rates above ``STEP`` are drawn as a sum
+copies are sorted by another hash, their place, which is a global shuffle. Places are uniform, so equal ranges of places are
+equal parts: the partition of a copy follows from its place, and texts are shuffled once, without a look at the data first. There are as many
+parts as the mixture has ``PART_BYTES``. The distributions are broadcast for up to ``BROADCAST_SOURCES`` sources, a kilobyte or two each;
+beyond, rows are joined to them with those of hot sources dealt into parts. Rates above ``STEP`` are drawn as a sum
 of Poisson numbers with smaller means, so that nothing underflows.
 
 A draw depends on seed, id and text alone, so it is the same wherever and however often a task runs.
@@ -21,11 +24,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrytally.llm.common import table
-from ferrytally.session import materialise
+from ferrytally.llm.common import join_counted, table
+from ferrytally.session import materialise, shuffle_width
 
 STEP = 64.0  # the largest mean that is inverted at once
 SEED = 11
+BROADCAST_SOURCES = 5_000
+PART_BYTES = 64 << 20  # text of a partition of the mixture, about
+PLACES = 1 << 52
 
 
 def _size(text: str) -> Column:
@@ -44,17 +50,21 @@ def _number(*what: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *what).cast("binary")), 1, 13), 16, 10).cast("bigint")
 
 
-def source_rates(docs: DataFrame, weights: dict[str | None, float] | None = None, rest: float = 1.0) -> DataFrame:
-    """(source, rate): how often each document of a source is to be repeated on average."""
-    sizes = docs.groupBy("source").agg(F.sum(_size("text")).alias("size"))
+def _weighed(docs: DataFrame, weights: dict[str | None, float] | None, rest: float) -> tuple[DataFrame, int, int]:
+    """(source, times, rate), the number of sources and the bytes of all their texts."""
+    sizes = docs.groupBy("source").agg(F.sum(_size("text")).alias("size"), F.count(F.lit(1)).alias("times"))
     weight = F.lit(float(rest))
     for name, value in (weights or {}).items():
         weight = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(value))).otherwise(weight)
     sizes = materialise(sizes.withColumn("weight", weight))
-    total, heavy = sizes.agg(F.sum("size"), F.sum("weight")).first()
-    if not heavy:
-        return sizes.select("source", F.lit(0.0).alias("rate"))
-    return sizes.select("source", (F.col("weight") / F.lit(heavy) * F.lit(total) / F.col("size")).alias("rate"))
+    number, total, heavy = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0)), F.sum("weight")).first()
+    rate = F.col("weight") / F.lit(heavy) * F.lit(total) / F.col("size") if heavy else F.lit(0.0)
+    return sizes.select("source", "times", rate.alias("rate")), number, total
+
+
+def source_rates(docs: DataFrame, weights: dict[str | None, float] | None = None, rest: float = 1.0) -> DataFrame:
+    """(source, rate): how often each document of a source is to be repeated on average."""
+    return _weighed(docs, weights, rest)[0].select("source", "rate")
 
 
 def distribution(rate: Column) -> Column:
@@ -69,45 +79,57 @@ def distribution(rate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), last), start, step, lambda s: s["all"])
 
 
-def replicas(docs: DataFrame, weights: dict[str | None, float] | None = None, rest: float = 1.0, seed: int = SEED) -> DataFrame:
-    """Every copy: the document as ``__row``, its number of copies, the copy's number and its place."""
-    rates = source_rates(docs, weights, rest)
+def _copies(docs: DataFrame, weights: dict[str | None, float] | None, rest: float, seed: int) -> tuple[DataFrame, int]:
+    """What ``replicas`` returns, and the bytes of the mixture, about."""
+    rates, number, total = _weighed(docs, weights, rest)
     steps = F.greatest(F.ceil(F.col("rate") / STEP), F.lit(1)).cast("int")
-    cdfs = rates.filter("rate > 0").select(
-        F.col("source").alias("__source"), steps.alias("__steps"), (F.col("rate") / steps).alias("__mean")
-    ).withColumn("__cdf", distribution(F.col("__mean")))
+    cdfs = rates.select(
+        F.col("source").isNull().alias("__none"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("__of"), "times", "rate",
+        steps.alias("__steps"), (F.col("rate") / steps).alias("__mean"),
+    ).withColumn("__cdf", F.when(F.col("rate") > 0, distribution(F.col("__mean"))))
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("source").alias("__of"),
-        _identity().alias("__identity"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("source").isNull().alias("__none"),
+        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("__of"), _identity().alias("__identity"),
     )
-    drawn = rows.join(cdfs, F.col("__of").eqNullSafe(F.col("__source")))
+    keys = ["__none", "__of"]
+    drawn = rows.join(F.broadcast(cdfs), keys) if number <= BROADCAST_SOURCES else join_counted(rows, cdfs, keys)
     count = F.aggregate(F.sequence(F.lit(0), F.col("__steps") - 1), F.lit(0), lambda n, i: n + _inverse(
-        F.col("__cdf"), _number(F.lit(str(seed)), i.cast("string"), F.col("__identity")) / F.lit(float(1 << 52))
+        F.col("__cdf"), _number(F.lit(str(seed)), i.cast("string"), F.col("__identity")) / F.lit(float(PLACES))
     ))
-    counted = drawn.select("__row", "__identity", count.alias("__copies")).filter("__copies > 0")
+    counted = drawn.filter("rate > 0").select("__row", "__identity", count.alias("__copies")).filter("__copies > 0")
     copied = counted.select("*", F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)).alias("__copy"))
     place = _number(F.lit(str(seed + 1)), F.col("__copy").cast("string"), F.col("__identity"))
-    return copied.select("__row", "__copies", "__copy", place.alias("__place"))
+    return copied.select("__row", "__copies", "__copy", place.alias("__place")), total
+
+
+def replicas(docs: DataFrame, weights: dict[str | None, float] | None = None, rest: float = 1.0, seed: int = SEED) -> DataFrame:
+    """Every copy: the document as ``__row``, its number of copies, the copy's number and its place."""
+    return _copies(docs, weights, rest, seed)[0]
 
 
 def _inverse(cdf: Column, u: Column) -> Column:
     return F.aggregate(cdf, F.lit(0), lambda n, c: n + F.when(c <= u, 1).otherwise(0))
 
 
-def shuffled(copies: DataFrame) -> DataFrame:
-    """In random order: sorted by place, which is a hash. Only rows that are alike can tie."""
-    return copies.orderBy("__place", "__copy")
+def shuffled(copies: DataFrame, size: int = 0) -> DataFrame:
+    """In random order: sorted by place, which is a hash. Only rows that are alike can tie.
+
+    ``size`` is the number of bytes to expect; there are no fewer parts than the session shuffles into.
+    """
+    width = shuffle_width(copies, size, PART_BYTES)
+    part = F.floor(F.col("__place") / F.lit(PLACES // width + 1)).cast("int")
+    return copies.repartitionById(width, part).sortWithinPartitions("__place", "__copy")
 
 
 def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, rest: float = 1.0, seed: int = SEED) -> DataFrame:
     """The mixture, with the columns of ``docs``."""
-    copies = shuffled(replicas(docs, weights, rest, seed))
+    copies = shuffled(*_copies(docs, weights, rest, seed))
     return copies.select(*[F.col("__row")[c].alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """Equal shares for all sources: every copy with its text, in shuffled order."""
-    copies = shuffled(replicas(table(spark, sf_dir, "documents")))
+    copies = shuffled(*_copies(table(spark, sf_dir, "documents"), None, 1.0, SEED))
     return copies.select(
         "__row.doc_id", "__row.source", "__row.text", F.col("__copies").alias("n_copies"),
         F.col("__copy").alias("copy"), F.col("__place").alias("place"),

@@ -77,3 +77,29 @@ def test_columns_and_empty(spark):
     assert mixing.mixed(odd.frame(spark)).columns == odd.frame(spark).columns
     assert mixing.mixed(odd.empty(spark)).collect() == []
     assert mixing.mixed(odd.frame(spark), {}, 0.0).collect() == []
+
+
+def test_many_sources_are_joined_in_parts(spark, monkeypatch):
+    """Beyond the broadcast: the same draws, a hot source and null included."""
+    from ferrytally.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    rows = [(i, f"t{i} " * (i % 5), None if i % 11 == 0 else "hot" if i % 3 else f"s{i % 40}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    before = sorted(map(str, mixing.replicas(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 3)
+    assert sorted(map(str, mixing.replicas(docs).collect())) == before
+
+
+def test_parts_follow_from_places(spark):
+    """One exchange of the texts, a global order, and every copy in the part of its place."""
+    docs = spark.createDataFrame([(i, f"text {i}", f"s{i % 3}") for i in range(3000)], "doc_id bigint, text string, source string")
+    copies, size = mixing._copies(docs, None, 1.0, mixing.SEED)
+    got = mixing.shuffled(copies, 40 * mixing.PART_BYTES)
+    assert got.rdd.getNumPartitions() == 40
+    rows = got.collect()
+    assert [r["__place"] for r in rows] == sorted(r["__place"] for r in copies.collect())
+    sizes = [len(p) for p in got.rdd.glom().collect()]
+    assert min(sizes) > 30 and max(sizes) < 150
+    plan = mixing.mixed(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") - plan.count("BroadcastExchange") == 1 and "rangepartitioning" not in plan
