@@ -39,6 +39,7 @@ from ferrytally.llm.common import join_counted, map_arrow, stored, table
 
 WINDOW = 35
 GRAM = 8
+COUNT_BITS = 20  # for the number of windows of a block
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so that they can be inverted modulo 2**64
 
 _EMPTY = hashlib.sha256(b"").hexdigest()
@@ -75,7 +76,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def blocks(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """(anchor hash, block hash, first window, number of windows) of each block of a document."""
-    n = len(hashes)
+    n, gram = len(hashes), min(gram, window)
     if n < window:
         return tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64))
     one, two = (Polynomial(hashes, b) for b in BASES)
@@ -87,25 +88,28 @@ def blocks(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[
     first, count = cuts[:-1], np.diff(cuts)
     anchor = anchors[first]
     inside = two.of(first, first + count - 1 + window)
-    place = ((anchor - first) * 1024 + count).astype(np.uint64)
+    place = ((anchor - first) * (1 << COUNT_BITS) + count).astype(np.uint64)
     return grams[anchor], _mix(inside + place * np.uint64(0xD6E8FEB86659FD93)), first, count
 
 
-def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _index(window: int):
     """The blocks of every text."""
-    for b in batches:
-        found, sizes = [], []
-        for text in b.column("text"):
-            parts = blocks(_hashes(text.as_py().split()))
-            found.append(parts)
-            sizes.append(len(parts[0]))
-        columns = [np.concatenate([f[i] for f in found]) for i in range(4)] if found else [np.empty(0, np.int64)] * 4
-        ids = [np.repeat(b.column(c).to_numpy(zero_copy_only=False), sizes) for c in ("d", "t")]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c.astype(np.int64)) for c in (columns[0].view(np.int64), columns[1].view(np.int64), *ids)]
-            + [pa.array(columns[2].astype(np.int32)), pa.array(columns[3].astype(np.int32))],
-            names=["anchor", "block", "d", "t", "first", "n"],
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found, sizes = [], []
+            for text in b.column("text"):
+                parts = blocks(_hashes(text.as_py().split()), window)
+                found.append(parts)
+                sizes.append(len(parts[0]))
+            columns = [np.concatenate([f[i] for f in found]) for i in range(4)] if found else [np.empty(0, np.int64)] * 4
+            ids = [np.repeat(b.column(c).to_numpy(zero_copy_only=False), sizes) for c in ("d", "t")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c.astype(np.int64)) for c in (columns[0].view(np.int64), columns[1].view(np.int64), *ids)]
+                + [pa.array(columns[2].astype(np.int32)), pa.array(columns[3].astype(np.int32))],
+                names=["anchor", "block", "d", "t", "first", "n"],
+            )
+
+    return run
 
 
 def _covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -123,7 +127,7 @@ def _kept(words: list[bytes], covered: np.ndarray) -> tuple[int, int, str]:
 
 def _parts(marks: np.ndarray) -> tuple[np.ndarray, ...]:
     """first, n, whether the block is a factor, whether its windows are to be checked."""
-    return marks >> 10, (marks >> 2) & 255, (marks >> 1) & 1 == 1, marks & 1 == 1
+    return marks >> (COUNT_BITS + 2), (marks >> 2) & ((1 << COUNT_BITS) - 1), (marks >> 1) & 1 == 1, marks & 1 == 1
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,10 +196,10 @@ def _finish(window: int):
     return run
 
 
-def _marks(docs: DataFrame) -> DataFrame:
+def _marks(docs: DataFrame, window: int) -> DataFrame:
     """(d, t, marks): of each text with a repeated anchor, its factors and what is to be checked."""
     # The number of distinct contents tells apart what needs the second count.
-    index = map_arrow(docs, _index, "anchor bigint, block bigint, d bigint, t bigint, first int, n int")
+    index = map_arrow(docs, _index(window), "anchor bigint, block bigint, d bigint, t bigint, first int, n int")
     shared = index.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("times"), F.min("block").alias("low"), F.max("block").alias("high")
     ).filter("times > 1").select("anchor", "times", (F.col("low") == F.col("high")).alias("alike"))
@@ -215,7 +219,7 @@ def _marks(docs: DataFrame) -> DataFrame:
     )
     factors = hits.filter("alike").select("d", "t", "first", "n", F.lit(True).alias("factor"), F.lit(False).alias("check"))
     mark = (
-        F.col("first").cast("bigint") * 1024 + F.col("n") * 4
+        F.col("first").cast("bigint") * (1 << COUNT_BITS + 2) + F.col("n") * 4
         + F.col("factor").cast("bigint") * 2 + F.col("check").cast("bigint")
     )
     # Bounded by the length of the text; repeated rows give equal marks.
@@ -232,8 +236,10 @@ def _narrow(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed and the SHA-256 of the kept words, one row per row of ``docs``."""
+    if not 0 < window < 1 << COUNT_BITS:
+        raise ValueError(f"a window has 1 to {(1 << COUNT_BITS) - 1} words, not {window}")
     narrow = _narrow(docs)
-    marks = _marks(narrow)
+    marks = _marks(narrow, window)
     kind = "d bigint, t bigint, n_words bigint, n_removed bigint, kept_sha256 string, packed binary, "
     kind += "covered array<int>, starts array<int>, one array<bigint>, two array<bigint>"
     texts = map_arrow(narrow, _pack, "d bigint, t bigint, packed binary")

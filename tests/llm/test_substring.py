@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from ferrytally.llm import substring_dedup as s
 from tests.llm import odd
 
@@ -23,9 +25,9 @@ def plain(rows, window=35):
     return sorted(out, key=str)
 
 
-def found(spark, rows):
+def found(spark, rows, window=35):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    return sorted((tuple(r) for r in s.deduplicated(docs).collect()), key=str)
+    return sorted((tuple(r) for r in s.deduplicated(docs, window).collect()), key=str)
 
 
 def test_odd_documents(spark):
@@ -64,3 +66,22 @@ def test_blocks_cover_every_window_once():
     _, _, first, n = s.blocks(hashes)
     assert [x for f, k in zip(first, n) for x in range(f, f + k)] == list(range(200 - s.WINDOW + 1))
     assert n.max() <= s.WINDOW - s.GRAM + 1
+
+
+@pytest.mark.parametrize("window", [1, 5, 20, 60, 400])
+def test_windows_of_other_lengths(spark, window):
+    rng = random.Random(9)
+    passage = odd.words(rng, 700).split()
+    rows = []
+    for i in range(40):
+        a = rng.randint(0, 200)
+        part = passage[a:a + rng.choice([3, 19, 20, 21, 25, 59, 60, 61, 90, 420])]
+        rows.append((i, " ".join([odd.words(rng, rng.randint(0, 30), "ijklmnop"), *part, odd.words(rng, rng.randint(0, 30), "qrstuvw")])))
+    rows += [(500, " ".join(["x"] * 500)), (501, "x y"), (502, None), (None, rows[3][1])]
+    want = plain(rows, window)
+    assert found(spark, rows, window) == want and any(r[2] for r in want)
+
+
+def test_a_window_has_words(spark):
+    with pytest.raises(ValueError):
+        s.deduplicated(odd.frame(spark), 0)
