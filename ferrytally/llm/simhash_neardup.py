@@ -208,10 +208,12 @@ def classes(light: DataFrame, pivots: Pivots) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 3, pivots: Pivots = Pivots()) -> DataFrame:
     """doc_id, fingerprint and component of every row."""
     light = materialise(fingerprinted(docs, {"doc_id": F.col("doc_id")}, "text", shingle).withColumnRenamed("fp0", "fp"))
-    least = light.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    least = light.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
     known = classes(light, pivots).join(least, "fp")
-    named = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    return light.join(known.join(named, "root").select("fp", "component_id"), "fp").select(
+    named = known.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("times"))
+    # One fingerprint may be that of a third of the rows, one class that of a third of the fingerprints.
+    of = join_counted(known, named, ["root"]).select("fp", "component_id", F.col("rows").alias("times"))
+    return join_counted(light, of, ["fp"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
