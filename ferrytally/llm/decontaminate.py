@@ -1,8 +1,9 @@
 """Benchmark decontamination by SimHash windows of item size.
 
 An item is contaminating where a window of a document, as long as the item, has a weighted
-similarity of at least ``similarity`` to it on 5-word shingles (a shingle weighs as often as it occurs;
-an item shorter than a shingle is one shingle) and a fingerprint within ``radius`` bits.
+similarity of at least ``similarity`` to it on 5-word shingles (a shingle weighs as often as it occurs)
+and a fingerprint within ``radius`` bits. A document shorter than the item is one window, compared whole. An
+item shorter than a shingle is one shingle of its own length, and is found where its words stand in a row.
 
 Windows are compared by fingerprint: the 64 bits are cut into ``blocks``; within the radius at least
 one block differs by no more than radius/blocks bits, so joining the windows' blocks with all such
@@ -11,14 +12,16 @@ verifies what is found.
 
 Which windows need a fingerprint follows from the similarity: with n shingles on either side, at least
 ``2 n s / (1 + s)`` of the window's shingles occur in an item of that length, so one of its first few
-does. Only windows with such a shingle there are built; no other window can qualify.
+does. Only windows with such a shingle there are built; no other window can qualify. The same holds for a whole
+document of m shingles, which must share ``(m + n) s / (1 + s)`` of them.
 
 Everything is narrow work beside broadcast joins with the items. The benchmark is dealt into parts
-of about ``part_shingles`` shingles, so a broadcast has a known bound; more parts mean more passes.
+of about ``part_shingles`` shingles and ``part_rows`` neighbours of blocks, so a broadcast has a known bound, but
+for an item longer than a part, which is a part of its own; more parts mean more passes.
 
 Defined results: texts without words, null or empty, and items without words match nothing; an empty
 benchmark or table gives no rows. Items with equal texts all match. Rows with a null id are matched
-like others. Repeated rows give one row per (doc_id, item_id). Documents shorter than an item do not match it.
+like others. Repeated rows give one row per (doc_id, item_id).
 """
 
 from __future__ import annotations
@@ -41,10 +44,11 @@ class Match:
     radius: int = 15
     blocks: int = 8  # divides 64
     part_shingles: int = 100_000  # of the items that are broadcast at once
+    part_rows: int = 1_000_000  # of blocks and their neighbours that are broadcast at once
 
-    def least_common(self, n: Column) -> Column:
-        """How many of n shingles a window must share with an item of n shingles."""
-        return F.ceil(n * F.lit(2 * self.similarity / (1 + self.similarity)) - F.lit(1e-9))
+    def least_common(self, m: Column, n: Column) -> Column:
+        """How many of m shingles a window must share with an item of n shingles."""
+        return F.ceil((m + n) * F.lit(self.similarity / (1 + self.similarity)) - F.lit(1e-9))
 
 
 def shingles(text: Column, size: int) -> Column:
@@ -120,11 +124,14 @@ def _first_near(differing: Column, match: Match) -> Column:
 
 
 def item_table(benchmark: DataFrame, match: Match) -> DataFrame:
-    """item, n, hashes, fp, bag and the bag's own hash of every item with words."""
-    own = benchmark.select(F.col("item_id").alias("item"), shingles(F.col("text"), match.shingle).alias("h"))
-    own = own.filter(F.size("h") > 0)
+    """item, words of a short one (else 0), n, hashes, fp, bag and the bag's own hash of every item with words."""
+    many = F.size(words(F.col("text")))
+    own = benchmark.select(
+        F.col("item_id").alias("item"), F.when(many < match.shingle, many).otherwise(0).alias("short"),
+        shingles(F.col("text"), match.shingle).alias("h"),
+    ).filter(F.size("h") > 0)
     made = own.select(
-        "item", F.size("h").alias("n"), "h", fingerprint(F.col("h")).alias("fp"), tagged(F.col("h")).alias("bag")
+        "item", "short", F.size("h").alias("n"), "h", fingerprint(F.col("h")).alias("fp"), tagged(F.col("h")).alias("bag")
     )
     return made.withColumn("key", F.xxhash64("item", "bag")).dropDuplicates(["key"])
 
@@ -133,11 +140,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), keys: d
     """One row per document and item that it holds: the best window, its place and similarity."""
     keys = keys or {"doc_id": F.col("doc_id")}
     items = item_table(benchmark, match)
-    total = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    parts = max(1, math.ceil(total / match.part_shingles))
-    part = F.pmod(F.xxhash64(F.lit("part"), "item"), F.lit(parts))
+    # Bounded: a length is less than a shingle's.
+    brief = F.col("short") > 0
+    total, number, few, lengths = items.agg(
+        F.coalesce(F.sum(F.when(~brief, F.col("n"))), F.lit(0)), F.count_if(~brief), F.count_if(brief),
+        F.collect_set(F.when(brief, F.col("short"))),
+    ).first()
+    parts = max(math.ceil(total / match.part_shingles), math.ceil(number * match.blocks * len(_flips(match)) / match.part_rows), 1)
     found = reduce(DataFrame.unionByName, [
-        _leaks_of(docs, items if parts == 1 else items.filter(part == i), match, keys) for i in range(parts)
+        *[_leaks_of(docs, part, match, keys) for part in _dealt(items.filter(~brief), parts)],
+        *[_short_leaks(docs, part, sorted(lengths), keys) for part in _dealt(items.filter(brief), math.ceil(few / match.part_rows))],
     ])
     best = F.max(F.struct("similarity", (-F.col("hamming")).alias("near"), (-F.col("start")).alias("first"), "n")).alias("best")
     return found.groupBy(*keys, "item").agg(best).select(
@@ -147,6 +159,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), keys: d
     )
 
 
+def _dealt(items: DataFrame, parts: int) -> list[DataFrame]:
+    part = F.pmod(F.xxhash64(F.lit("part"), "key"), F.lit(parts))
+    return [items if parts == 1 else items.filter(part == i) for i in range(parts)]
+
+
+def _short_leaks(docs: DataFrame, items: DataFrame, lengths: list[int], keys: dict[str, Column]) -> DataFrame:
+    """Items of fewer words than a shingle: found where a run of as many words is the same."""
+    def placed(hashes: Column, k: int) -> Column:
+        return F.transform(hashes, lambda h, i: F.struct(h.alias("run"), F.lit(k).alias("short"), i.alias("start")))
+
+    runs = let(words(F.lower(F.col("text"))), lambda w: F.concat(*[
+        placed(windows(w, k, lambda x: F.xxhash64(F.lit("short"), F.concat_ws(" ", *x))), k) for k in lengths
+    ]))
+    spots = docs.select(*[c.alias(k) for k, c in keys.items()], F.explode(runs).alias("__r"))
+    own = items.select("item", "short", F.get("h", F.lit(0)).alias("run"))
+    return spots.select(*keys, "__r.run", "__r.short", "__r.start").join(F.broadcast(own), ["run", "short"]).select(
+        *keys, "item", F.lit(1).alias("n"), "start", F.lit(0).alias("hamming"), F.lit(1.0).alias("similarity")
+    )
+
+
 def _leaks_of(docs: DataFrame, items: DataFrame, match: Match, keys: dict[str, Column]) -> DataFrame:
     screen = items.select(F.explode("h").alias("__hash"), F.col("n").alias("n")).groupBy("__hash").agg(
         F.collect_set("n").alias("__lengths")
@@ -154,13 +186,13 @@ def _leaks_of(docs: DataFrame, items: DataFrame, match: Match, keys: dict[str, C
     texts = docs.select(*[c.alias(k) for k, c in keys.items()], shingles(F.col("text"), match.shingle).alias("__h"))
     spots = texts.select(*keys, "__h", F.posexplode("__h").alias("__at", "__hash"))
     hits = spots.join(F.broadcast(screen), "__hash").select(*keys, "__h", "__at", F.explode("__lengths").alias("n"))
-    n = F.col("n")
+    n, m = F.col("n"), F.least(F.size("__h"), "n")
     # The windows that have this shingle among their first ones.
     starts = hits.select(
         *keys, "__h", "n", F.explode(F.transform(
-            upto((n - match.least_common(n) + 1).cast("int")), lambda k: F.col("__at") - k
+            upto((m - match.least_common(m, n) + 1).cast("int")), lambda k: F.col("__at") - k
         )).alias("start"),
-    ).filter((F.col("start") >= 0) & (F.col("start") + n <= F.size("__h")))
+    ).filter((F.col("start") >= 0) & (F.col("start") + m <= F.size("__h")))
     window = starts.select(*keys, "n", "start", F.slice("__h", F.col("start") + 1, n).alias("w"))
     printed = window.select(*keys, "n", "start", "w", fingerprint(F.col("w")).alias("fp"))
     parts = printed.select("*", F.posexplode(F.array(*_blocks(F.col("fp"), match))).alias("block", "value"))
@@ -181,7 +213,8 @@ def _leaks_of(docs: DataFrame, items: DataFrame, match: Match, keys: dict[str, C
     )
     common = F.size(F.array_intersect("bag", tagged(F.col("w"))))
     scored = checked.select(
-        *keys, "item", "n", "start", "hamming", (common / (2 * F.col("n") - common)).alias("similarity")
+        *keys, "item", F.size("w").alias("n"), "start", "hamming",
+        (common / (F.size("w") + F.col("n") - common)).alias("similarity"),
     )
     return scored.filter(F.col("similarity") >= match.similarity)
 

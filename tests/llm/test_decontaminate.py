@@ -1,4 +1,4 @@
-"""Decontamination against plain Python: every window of item size."""
+"""Decontamination against plain Python: every window of item size, whole documents that are shorter, runs of short items."""
 
 import random
 from collections import Counter
@@ -21,12 +21,15 @@ def plain(docs, items, similarity=0.8):
     """Pairs with a window similar enough, and the best similarity."""
     out = {}
     for doc, text in docs:
-        h = shingles(text)
+        h, w = shingles(text), (text or "").lower().split()
         for item, own in items:
-            bag = shingles(own)
+            bag, short = shingles(own), (own or "").lower().split()
             n = len(bag)
             best = 0.0
-            for s in range(len(h) - n + 1 if n else 0):
+            if 0 < len(short) < 5:
+                best = float(any(w[i:i + len(short)] == short for i in range(len(w))))
+                n = 0
+            for s in range(max(len(h) - n, 0) + 1 if n and h else 0):
                 a, b = Counter(h[s:s + n]), Counter(bag)
                 best = max(best, sum((a & b).values()) / sum((a | b).values()))
             if best >= similarity:
@@ -37,6 +40,7 @@ def plain(docs, items, similarity=0.8):
 def corpus():
     rng = random.Random(8)
     items = [odd.words(rng, n) for n in (12, 30, 30, 45, 60)] + ["a b c d e", "p q", "", None, "z " * 40]
+    items += ["Q", "q r s t", " ".join(f"u{i}" for i in range(15))]
     docs = []
     for text in items[:5]:
         w = text.split()
@@ -50,6 +54,10 @@ def corpus():
             docs.append(f"{odd.words(rng, rng.randint(0, 9))} {' '.join(v)} {odd.words(rng, 5)}")
         docs.append(" ".join(w[: len(w) // 2]))
     docs += ["a b c d e", "x a b c d e y", "p q", "p q r", "z " * 38, "z " * 60, "", None, odd.words(rng, 300)]
+    own = items[-1].split()
+    docs += [" ".join(own[:14]), " ".join(own[1:]), " ".join(own[:12]), " ".join(own[2:]), "u0 u1 u2 u3", "q r s t u", "r p\nq", "p r q", "pq", "q r s"]
+    for text in items[:4]:
+        docs += [" ".join(text.split()[:-k]) for k in (1, 2, 3, 5)]
     return list(enumerate(docs)), [(i, t) for i, t in enumerate(items)] + [(0, items[0]), (None, items[1]), (0, items[3])]
 
 
@@ -66,6 +74,24 @@ def test_all_windows(spark, part):
     assert len(got) == len(want)
 
 
+def test_short_documents_and_items(spark):
+    """A document one word shorter than the item, and an item of four words within a longer document, are found."""
+    own = "one of the many questions that a benchmark asks in fifteen words or a few"
+    docs = [(1, own.rsplit(" ", 1)[0]), (2, own.split(" ", 1)[1]), (3, "well then who wrote this book they asked"), (4, "who wrote this")]
+    got = d.leaks(
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame([(7, own, 0, 0), (8, "Who wrote this book", 0, 0)], ITEMS),
+    ).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["start_word"], r["n_shingles"]) for r in got) == [(1, 7, 0, 10), (2, 7, 0, 10), (3, 8, 2, 1)]
+
+
+def test_parts_are_bounded_in_rows(spark):
+    docs, items = corpus()
+    docs, items = (spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(*i, 0, 0) for i in items], ITEMS))
+    got, whole = (sorted(map(tuple, d.leaks(docs, items, m).collect()), key=str) for m in (d.Match(part_rows=500), d.Match()))
+    assert got == whole
+
+
 def test_default_radius_finds_nearly_all(spark):
     docs, items = corpus()
     got = d.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(*i, 0, 0) for i in items], ITEMS))
