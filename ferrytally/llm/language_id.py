@@ -3,12 +3,13 @@
 For each language a tree of byte contexts of up to ``ORDER`` bytes is counted on at most
 ``sample`` documents. The code length of a byte comes from the longest context that the tree knows; where
 the byte never followed it, an escape is paid and the next shorter context is asked, down to a uniform
-code (escape method C). Trees are frozen, so all code lengths are worked out once, into one table over context
-and byte, and a text is scored by looking up all its bytes. The language with the shortest code wins;
-the score is its posterior probability under equal priors.
+code (escape method C). Trees are frozen, so code lengths are worked out once, for every context and byte of the sample, and a
+text is scored by looking up all its bytes; a byte that no language knows in its context costs the escapes of every
+length. All 256 byte values and all contexts are kept. The language with the shortest code wins; the score is its posterior
+probability under equal priors.
 
-Bounds, all parameters: documents per language, byte values told apart, contexts of full order. Every whole
-text is scored.
+Bound, a parameter: documents per language. The model has a row for each run of up to ``ORDER`` + 1 bytes in the sample and a
+column for each language. Every whole text is scored.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is every text if nothing
 could be learned. Ties go to the first language in alphabetic order. Repeated rows and null ids are rows
@@ -39,8 +40,6 @@ _FOLD = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 @dataclass(frozen=True)
 class Settings:
     sample: int = 500  # documents per language that are learned from, at most
-    alphabet: int = 64  # byte values told apart, the most frequent ones; the others count as one
-    contexts: int = 20_000  # of full order, the most frequent ones
     held_folds: int = 4
     held_fold: int = 2
 
@@ -79,22 +78,22 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class Model:
+    """Frozen trees of all languages. Each of ``levels`` holds the contexts of one length, longest first."""
+
     languages: list[str] = field(default_factory=list)
-    symbols: np.ndarray | None = None  # byte -> symbol
-    width: int = 0
-    places: np.ndarray | None = None  # three symbols -> row of the table, or -1
-    bits: np.ndarray | None = None  # (row * width + symbol, language): two-symbol contexts first
+    levels: tuple[Level, ...] = ()
 
     def code_lengths(self, text: str) -> tuple[np.ndarray, int]:
         """Bits per language, and the number of bytes."""
-        data = self.symbols[_padded(text)]
-        total, a = np.zeros(len(self.languages)), self.width
+        data = _padded(text)
+        total = np.zeros(len(self.languages))
         for at in range(ORDER, len(data), CHUNK):
-            s = data[at - ORDER:at + CHUNK].astype(np.int64)
-            short = s[1:-2] * a + s[2:-1]
-            row = self.places[s[:-3] * (a * a) + short]
-            row = np.where(row >= 0, row, short)
-            total += self.bits[row * a + s[3:]].sum(axis=0, dtype=np.float64)
+            s = data[at - ORDER:at + CHUNK].astype(np.uint32)
+            runs = (s[:-3] << 24) | (s[1:-2] << 16) | (s[2:-1] << 8) | s[3:]
+            for level in self.levels:
+                paid, runs = level.paid(runs)
+                total += paid
+            total += 8.0 * len(runs)
         return total, len(data) - ORDER
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -105,54 +104,71 @@ class Model:
         return self.languages[int(bits.argmin())], float(1 / odds.sum())
 
 
-def _lengths(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Bits of each symbol (last axis) in each context, given those in the shorter context."""
-    total = counts.sum(axis=-1, keepdims=True).astype(np.float64)
-    kinds = (counts > 0).sum(axis=-1, keepdims=True)
+@dataclass(frozen=True)
+class Level:
+    """Contexts of one length: what followed them, and what an escape from them costs."""
+
+    mask: int  # the bytes of a run that are the context and the byte after it
+    runs: np.ndarray  # sorted; the context and a byte that followed it in any language
+    bits: np.ndarray  # (run, language): the whole code length, with the escapes of a language that knows less
+    contexts: np.ndarray  # sorted
+    escapes: np.ndarray  # (context, language); nothing where a language does not know the context
+
+    def paid(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bits per language of the bytes that are found here and of the escapes, and the runs that go on to shorter contexts."""
+        at, known = _found(self.runs, runs & np.uint32(self.mask))
+        on = runs[~known]
+        context, left = _found(self.contexts, (on & np.uint32(self.mask)) >> np.uint32(8))
+        return _summed(self.bits, at[known]) + _summed(self.escapes, context[left]), on
+
+
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+    return at, (keys[at] == wanted) if len(keys) else np.zeros(len(wanted), bool)
+
+
+def _summed(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The sum of the rows named, without a copy larger than the table."""
+    if len(at) <= len(table):
+        return table[at].sum(axis=0, dtype=np.float64)
+    return np.bincount(at, minlength=len(table)) @ table.astype(np.float64)
+
+
+def _level(lang: np.ndarray, gram: np.ndarray, n: np.ndarray, size: int, length: int, shorter: list[Level]) -> Level:
+    """Contexts of ``length`` bytes, given the levels of shorter ones, the longest of them first."""
+    mask = (1 << 8 * (length + 1)) - 1
+    runs, row = np.unique((gram & mask).astype(np.uint32), return_inverse=True)
+    contexts, of = np.unique(runs >> np.uint32(8), return_inverse=True)
+    counts = np.bincount(row * size + lang, weights=n, minlength=len(runs) * size).reshape(-1, size)
+    total, kinds = np.zeros((len(contexts), size)), np.zeros((len(contexts), size))
+    np.add.at(total, of, counts)
+    np.add.at(kinds, of, counts > 0)
     with np.errstate(divide="ignore", invalid="ignore"):
-        seen = -np.log2(counts / (total + kinds))
-        escape = -np.log2(kinds / (total + kinds))
-    return np.where(total > 0, np.where(counts > 0, seen, escape + shorter), shorter)
-
-
-def build(rows: list[tuple[str, int, int]], settings: Settings = Settings()) -> Model:
+        # A language that does not know a context goes on for nothing.
+        escapes = np.where(total > 0, -np.log2(kinds / (total + kinds)), 0.0)
+        seen = -np.log2(counts / (total + kinds)[of])
+    if shorter:
+        # Every run of this level has its end in the next shorter one.
+        below = shorter[0].bits[np.searchsorted(shorter[0].runs, runs & np.uint32(shorter[0].mask))]
+    else:
+        below = np.full(counts.shape, 8.0)
+    bits = np.where(counts > 0, seen, escapes[of] + below)
+    return Level(mask, runs, bits.astype(np.float32), contexts, escapes.astype(np.float32))
+
+
+def build(rows: list[tuple[str, int, int]]) -> Model:
     """The frozen model from counts of four-byte runs per language."""
     if not rows:
         return Model()
     languages = sorted({r[0] for r in rows})
-    lang = np.array([languages.index(r[0]) for r in rows])
+    number = {name: i for i, name in enumerate(languages)}
+    lang = np.array([number[r[0]] for r in rows])
     gram = np.array([r[1] for r in rows], np.int64)
     n = np.array([r[2] for r in rows], np.float64)
-    each = np.stack([(gram >> shift) & 255 for shift in (24, 16, 8, 0)])
-    common = np.bincount(each[3], weights=n, minlength=256)
-    chosen = np.argsort(-common, kind="stable")[: settings.alphabet - 1]
-    symbols = np.zeros(256, np.uint8)
-    chosen = chosen[common[chosen] > 0]
-    symbols[chosen] = np.arange(1, len(chosen) + 1)
-    a = len(chosen) + 1
-    s = symbols[each].astype(np.int64)
-    size = len(languages)
-
-    def counted(context: np.ndarray, contexts: int) -> np.ndarray:
-        flat = (lang * contexts + context) * a + s[3]
-        return np.bincount(flat, weights=n, minlength=size * contexts * a).reshape(size, contexts, a)
-
-    none = _lengths(counted(np.zeros_like(lang), 1), np.full((size, 1, a), 8.0))
-    one = _lengths(counted(s[2], a), none)
-    two = _lengths(counted(s[1] * a + s[2], a * a), np.tile(one, (1, a, 1)))
-    full = s[0] * a * a + s[1] * a + s[2]
-    weight = np.bincount(full, weights=n, minlength=a ** 3)
-    top = np.argsort(-weight, kind="stable")[: settings.contexts]
-    top = top[weight[top] > 1]
-    places = np.full(a ** 3, -1, np.int64)
-    places[top] = np.arange(len(top))
-    known = places[full] >= 0
-    three = np.zeros((size, len(top), a))
-    np.add.at(three, (lang[known], places[full][known], s[3][known]), n[known])
-    three = _lengths(three, two[:, top % (a * a), :])
-    places[top] += a * a
-    bits = np.concatenate([two, three], axis=1).reshape(size, -1).T
-    return Model(languages, symbols, a, places, np.ascontiguousarray(bits, np.float32))
+    levels: list[Level] = []
+    for length in range(ORDER + 1):
+        levels.insert(0, _level(lang, gram, n, len(languages), length, levels))
+    return Model(languages, tuple(levels))
 
 
 def learn(docs: DataFrame, settings: Settings = Settings()) -> Model:
@@ -164,16 +180,17 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> Model:
     ).select("lang", F.col("text").cast("string").alias("text"))
     counts = map_arrow(rows, _grams, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # Bounded by the byte runs of the sample; the driver holds the model, not texts.
-    return build([tuple(r) for r in counts.orderBy("lang", "gram").collect()], settings)
+    return build([tuple(r) for r in counts.orderBy("lang", "gram").collect()])
 
 
 def identified(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row."""
-    # Bounded by the model's settings.
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.symbols, model.width, model.places, model.bits))
+    # Bounded by the sample: a row for each run of bytes in it, a column for each language.
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, [tuple(vars(level).values()) for level in model.levels]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Model(*shared.value)
+        languages, levels = shared.value
+        known = Model(languages, tuple(Level(*level) for level in levels))
         for b in batches:
             found = [known.predict(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -73,19 +73,17 @@ def test_toxicity_odd(spark, lexicon):
     assert toxicity.scored(odd.empty(spark), nothing).collect() == []
 
 
-def slow_bits(counts, text, lang, symbols, kept):
+def slow_bits(counts, text, lang):
     """Code length by walking the contexts of every byte, one after the other."""
-    data = [int(symbols[b]) for b in b"   " + language_id.folded(text) + b" "]
+    data = b"   " + language_id.folded(text) + b" "
     total = 0.0
     for i in range(3, len(data)):
         paid = 0.0
         for order in (3, 2, 1, 0):
-            context = tuple(data[i - order:i])
-            if order == 3 and context not in kept:
-                continue
+            context = data[i - order:i]
             seen = {}
             for (l, gram), n in counts.items():
-                g = tuple(int(symbols[b]) for b in gram.to_bytes(4, "big"))
+                g = gram.to_bytes(4, "big")
                 if l == lang and g[3 - order:3] == context:
                     seen[g[3]] = seen.get(g[3], 0) + n
             if not seen:
@@ -110,14 +108,27 @@ def test_code_lengths_are_those_of_the_tree():
             key = (lang, int.from_bytes(data[i:i + 4], "big"))
             counts[key] = counts.get(key, 0) + 1
     model = language_id.build([(l, g, n) for (l, g), n in counts.items()])
-    a = model.width
-    kept = {(c // (a * a), c // a % a, c % a) for c in np.flatnonzero(model.places >= 0)}
-    for text in ("the dog sat", "die müde katze", "zzz qqq", "là"):
+    for text in ("the dog sat", "die müde katze", "zzz qqq", "là", "кот 世"):
         bits, _ = model.code_lengths(text)
-        want = [slow_bits(counts, text, lang, model.symbols, kept) for lang in model.languages]
+        want = [slow_bits(counts, text, lang) for lang in model.languages]
         assert bits == pytest.approx(want, rel=1e-5)
 
 
+def test_ten_scripts(spark):
+    """Every script's bytes are told apart, also those of languages with few documents, and languages of one script."""
+    rng = random.Random(21)
+    starts = {"el": 0x3b1, "ru": 0x430, "uk": 0x430, "he": 0x5d0, "ar": 0x627, "hi": 0x915, "th": 0xe01, "ka": 0x10d0, "ko": 0xac00, "zh": 0x4e00}
+    # A language of twenty words over letters of its script; Ukrainian and Russian share theirs.
+    words = {lang: ["".join(chr(start + rng.randrange(16)) for _ in range(rng.randint(2, 6))) for _ in range(20)] for lang, start in starts.items()}
+    text = lambda lang, n: " ".join(rng.choice(words[lang]) for _ in range(n))
+    rows = [(i, text(lang, 12), lang) for i, lang in enumerate(lang for lang in starts for _ in range(400 if lang == "zh" else 12))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.learn(docs)
+    assert model.languages == sorted(starts)
+    got = language_id.identified(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert [r["doc_id"] for r in got if r["lang"] != r["lang_pred"]] == []
+
+
 def test_language_held_out(spark, sf):
     docs = table(spark, sf, "documents")
     got = language_id.identified(docs, language_id.learn(docs)).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
