@@ -48,6 +48,38 @@ def rename_transformed(spark, sf):
     return unique_names(rows, names.transform_name(F.col("raw_name")), ["dataset"], "p_partkey")
 
 
+def _chained(scope):
+    """Names with suffixed ones among them: the numbers that make no name of the scope, counted off."""
+    return f"""WITH named AS (
+  SELECT dataset, p_partkey, raw_name, {TRANSFORM} AS n FROM messy_names
+  UNION ALL SELECT dataset, p_partkey + 1000000000, raw_name, {TRANSFORM} || '_' || (1 + p_partkey % 7) FROM messy_names WHERE p_partkey % 3 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY {scope} n ORDER BY p_partkey) - 1 AS k FROM named),
+free AS (SELECT {scope} n, s, row_number() OVER (PARTITION BY {scope} n ORDER BY s) AS k FROM (
+  SELECT {scope} n, unnest(range(1, max(k) + 10)) AS s FROM k GROUP BY {scope} n HAVING max(k) > 0) AS tries
+  WHERE NOT EXISTS (SELECT 1 FROM named AS o WHERE {"o.dataset = tries.dataset AND " if scope else ""}o.n = tries.n || '_' || tries.s))
+SELECT k.dataset, k.p_partkey, k.raw_name, CASE WHEN k.k = 0 THEN k.n ELSE k.n || '_' || free.s END AS final_name
+FROM k LEFT JOIN free USING ({scope} n, k)"""
+
+
+def _with_chains(spark, sf):
+    rows = frame(spark, sf, "messy_names").select("dataset", "p_partkey", "raw_name")
+    named = rows.withColumn("n", names.transform_name(F.col("raw_name")))
+    more = named.filter("p_partkey % 3 = 0").withColumn("n", F.concat("n", F.lit("_"), (1 + F.col("p_partkey") % 7).cast("string")))
+    return named.unionByName(more.withColumn("p_partkey", F.col("p_partkey") + 1000000000))
+
+
+@query("rename_chained", oracle(["messy_names"], _chained("dataset, ")))
+def rename_chained(spark, sf):
+    """Headers in which a name may equal another one's suffixed repeat."""
+    return unique_names(_with_chains(spark, sf), F.col("n"), ["dataset"], "p_partkey").drop("n")
+
+
+@query("name_suffix_chained", oracle(["messy_names"], _chained("")))
+def name_suffix_chained(spark, sf):
+    """The same in one flat list, numbered as hot keys."""
+    return unique_names(_with_chains(spark, sf), F.col("n"), [], "p_partkey", hot_rows=20).drop("n")
+
+
 _FREE = """CASE WHEN NOT list_contains(used, own[1]) THEN own[1] ELSE list_filter(
     list_transform(range(1, len(used) + 2), k -> own[1] || '_' || k), c -> NOT list_contains(used, c))[1] END"""
 

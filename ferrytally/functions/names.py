@@ -90,23 +90,17 @@ def apply_to_header(spark, header: list[str], rule: Callable[[Column], Column])
 
 
 def rename_columns(df: DataFrame, rule: Callable[[Column], Column] = transform_name) -> DataFrame:
-    """Rename a DataFrame's columns by ``rule``, suffixing repeats.
+    """Rename a DataFrame's columns by ``rule``, suffixing repeats; all names differ afterwards.
 
-    ``transform_name`` numbers the k-th repeat ``_k``; the other rules take the first free
-    suffix. A name that is still repeated afterwards is an error.
+    With ``transform_name`` the k-th repeat of a name takes the k-th suffix that makes no name of the header; with the other rules
+    it takes the first suffix that no column before it has.
     """
-    names: list[str] = []
-    seen: dict[str, int] = {}
-    for name in apply_to_header(df.sparkSession, df.columns, rule):
-        seen[name] = seen.get(name, -1) + 1
-        candidate = name if seen[name] == 0 else f"{name}_{seen[name]}"
-        if rule is not transform_name:
-            suffix = 0
-            candidate = name
-            while candidate in names:
-                suffix += 1
-                candidate = f"{name}_{suffix}"
-        if candidate in names:
-            raise ValueError(f"column names collide after normalisation: {candidate}")
+    ruled = apply_to_header(df.sparkSession, df.columns, rule)
+    taken, names = set(ruled) if rule is transform_name else set(), []
+    for name in ruled:
+        candidate, suffix = name, 0
+        while candidate in names or (suffix and candidate in taken):
+            suffix += 1
+            candidate = f"{name}_{suffix}"
         names.append(candidate)
     return df.toDF(*names)

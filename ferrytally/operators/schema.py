@@ -10,10 +10,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrytally.columns import col, cols
+from ferrytally.columns import col, cols, partner_keys, same_key
 from ferrytally.functions.names import match_key, transform_name
 from ferrytally.functions.types import cast_type, load_type, logical_type, types_compatible
-from ferrytally.operators.numbering import HOT_ROWS, number_within
+from ferrytally.operators.numbering import BROADCAST_KEYS, HOT_ROWS, number_within
+from ferrytally.session import materialise
 
 COLUMN_TABLE = "dataset string, ordinal int, name string, type string"
 
@@ -34,14 +35,53 @@ def load_schema(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "ordinal int, name string, ddl_type string")
 
 
+_STEM, _NUMBER = "__stem", "__number"
+# A suffix that a repeat could get: no leading zero, and small enough to count up to.
+_SUFFIXED = "(?s)^(.*)_([1-9][0-9]{0,17})$"
+
+
 def unique_names(names: DataFrame, name: Column, by: list[str], ordinal: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``final_name``: the k-th repeat (k >= 1) of a name gets the suffix ``_k``."""
+    """Add ``final_name``: the k-th repeat (k >= 1) of a name gets ``_`` and the k-th number that makes no name of its scope.
+
+    Without names that look like suffixed repeats that is ``_k``; ``A, A, A_1`` becomes ``A, A_2, A_1``. The first row of a name
+    keeps it, so all final names of a scope differ. A null name stays null.
+    """
     named = names.withColumn("__name", name)
     numbered = number_within(named, [*by, "__name"], [ordinal], "__k", hot_rows)
-    suffixed = F.when(F.col("__k") == 1, F.col("__name")).otherwise(
-        F.concat("__name", F.lit("_"), (F.col("__k") - 1).cast("string"))
+    # Names that could be mistaken for a repeat, if their stem has any: (scope, stem, number), once each.
+    repeated = numbered.filter("__k = 2").select(*cols(by), F.col("__name").alias(_STEM))
+    taken = numbered.filter("__k = 1").select(
+        *cols(by), F.regexp_extract("__name", _SUFFIXED, 1).alias(_STEM), F.regexp_extract("__name", _SUFFIXED, 2).alias(_NUMBER),
+    ).filter(F.col(_NUMBER) != "").withColumn(_NUMBER, F.col(_NUMBER).cast("bigint"))
+    stem = [*by, _STEM]
+    taken = materialise(taken.join(partner_keys(repeated, stem), same_key(stem), "left_semi"))
+    count = taken.count()
+    if count == 0:
+        return _suffixed(numbered, F.col("__k") - 1)
+    # A taken number r, the j-th of its stem, has r - j free numbers before it: it moves every repeat beyond those by one. So repeats and
+    # taken numbers are numbered together, each taken one right before the first repeat it moves, and that number is the suffix.
+    places = number_within(taken, stem, [_NUMBER], "__j", hot_rows).select(
+        *cols(stem), (F.col(_NUMBER) - F.col("__j")).alias("__at"), F.lit(0).alias("__kind"), col(_NUMBER)
     )
-    return numbered.withColumn("final_name", suffixed).drop("__name", "__k")
+    stems = taken.select(*cols(stem)).distinct().withColumnRenamed(_STEM, "__name")
+    contested = partner_keys(stems, [*by, "__name"])
+    if count <= BROADCAST_KEYS:
+        contested = F.broadcast(contested)
+    repeats = numbered.filter("__k > 1")
+    moved = repeats.join(contested, same_key([*by, "__name"]), "left_semi").select(
+        *cols(by), F.col("__name").alias(_STEM), (F.col("__k") - 2).alias("__at"), F.lit(1).alias("__kind"),
+        F.struct(*cols(numbered.columns)).alias("__row"),
+    )
+    ranked = number_within(
+        moved.unionByName(places.drop(_NUMBER), allowMissingColumns=True), stem, ["__at", "__kind"], "__suffix", hot_rows
+    ).filter("__kind = 1").select("__row.*", "__suffix")
+    others = numbered.filter("__k = 1").unionByName(repeats.join(contested, same_key([*by, "__name"]), "left_anti"))
+    return _suffixed(others, F.col("__k") - 1).unionByName(_suffixed(ranked, F.col("__suffix")).drop("__suffix"))
+
+
+def _suffixed(numbered: DataFrame, suffix: Column) -> DataFrame:
+    final = F.when(F.col("__k") == 1, F.col("__name")).otherwise(F.concat("__name", F.lit("_"), suffix.cast("string")))
+    return numbered.withColumn("final_name", final).drop("__name", "__k")
 
 
 def unique_in_header(names: DataFrame, name: Column, by: list[str], ordinal: str) -> DataFrame:

@@ -43,8 +43,9 @@ def test_rename_columns(spark):
     assert names.rename_columns(df, names.warehouse_name).columns == ["BRAND", "BRAND_1", "BRAND_2"]
     clash = spark.createDataFrame([(1, 2, 3)], ["a_1", "a", "a "])
     assert names.rename_columns(clash, names.warehouse_name).columns == ["A_1", "A", "A_2"]
-    with pytest.raises(ValueError):
-        names.rename_columns(clash)
+    assert names.rename_columns(clash).columns == ["A_1", "A", "A_2"]
+    late = spark.createDataFrame([(1, 2, 3, 4)], ["a", "a ", "a_1", "a_1 "])
+    assert names.rename_columns(late).columns == ["A", "A_2", "A_1", "A_1_1"]
 
 
 def test_sample_size(spark):

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +83,32 @@ def test_unique_names(spark):
     assert got == ["A", "A_1", "B", "A_2"]
 
 
+def kth_free(rows):
+    """Final names by scope and ordinal, one name after the other."""
+    taken, seen, out = {(d, n) for d, _, n in rows}, {}, {}
+    for d, o, n in sorted(rows, key=lambda r: r[1]):
+        if (d, n) not in seen:
+            seen[d, n] = 0
+            out[d, o] = n
+            continue
+        seen[d, n] += 1
+        while (d, f"{n}_{seen[d, n]}") in taken:
+            seen[d, n] += 1
+        out[d, o] = f"{n}_{seen[d, n]}"
+    return out
+
+
+@pytest.mark.parametrize("hot_rows", [5, 1_000_000])
+def test_names_that_look_like_repeats(spark, hot_rows):
+    rng = random.Random(8)
+    pool = ["A"] * 6 + ["A_1", "A_2", "A_2", "A_4", "A_01", "A_1_1", "A_10", "B_", "B__1", "B_", "_1", "", "", "C", "A_99999999999999999999"]
+    rows = [(d, o, rng.choice(pool)) for d in ("p", "q", "r") for o in range(60 if d == "p" else 9)]
+    df = spark.createDataFrame(rows, "d string, o int, n string")
+    got = unique_names(df, F.col("n"), ["d"], "o", hot_rows=hot_rows).collect()
+    assert {(r["d"], r["o"]): r["final_name"] for r in got} == kth_free(rows) and len(got) == len(rows)
+    assert len({(r["d"], r["final_name"]) for r in got}) == len(rows)
+
+
 def test_match_columns_cases(spark):
     left = spark.createDataFrame([("d", 1, "Order ID", "LONG"), ("d", 2, "Gone", "STRING"), ("only_left", 1, "x", "LONG")],
                                  "dataset string, ordinal int, name string, type string")
