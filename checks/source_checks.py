@@ -51,6 +51,15 @@ def save_csv(spark, sf):
     return readers.read_csv(spark, path, schema=columns, multi_line=True)
 
 
+@query("scan_csv_quoted_breaks", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def scan_csv_quoted_breaks(spark, sf):
+    """The texts in plain files, each read by many tasks."""
+    path = scratch_path(spark, "csv")
+    sinks.save_csv(frame(spark, sf, "documents"), path)
+    columns = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    return readers.read_csv(spark, path, schema=columns, multi_line=True, split_bytes=0)
+
+
 @query("scan_dataset", "SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority")
 def scan_dataset(spark, sf):
     sql = "SELECT o_orderpriority, count(*) AS n FROM {table} WHERE o_orderstatus = 'F' GROUP BY o_orderpriority"

@@ -12,10 +12,13 @@ from ferrytally.columns import col, cols
 from ferrytally.operators.counts import row_count
 from ferrytally.operators.lineage import LINEAGE_SCHEMA
 from ferrytally.operators.numbering import first_rows
+from ferrytally.sources.csv_split import ENCODINGS, csv_records
 from ferrytally.sources.json_split import object_members
 from ferrytally.sources.replace import recover
 
 CORRUPT = "_corrupt_record"
+# Files beyond this size are worth more than one task.
+SPLIT_BYTES = 128 << 20
 
 
 def is_path(ref: str) -> bool:
@@ -49,24 +52,56 @@ def charset(encoding: str) -> str:
 
 def read_csv(
     spark: SparkSession, path: str, encoding: str = "utf-8", sep: str = ",", infer: bool = True,
-    schema: T.StructType | str | None = None, multi_line: bool = False,
+    schema: T.StructType | str | None = None, multi_line: bool = False, split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """CSV with a header; types inferred, declared, or all text.
 
-    Spark splits large files. ``multi_line`` keeps quoted line breaks inside a value, at the price of one
-    task per file.
+    Spark splits large files. ``multi_line`` keeps quoted line breaks inside a value; files are then split too if one is larger than
+    ``split_bytes``. A task takes a whole file, whatever its size, in encodings that are not supersets of ASCII, with a separator of
+    several characters, with lines that end in a bare carriage return and where the schema asks for corrupt records.
     """
-    reader = (
-        spark.read.option("header", True).option("encoding", charset(encoding)).option("sep", sep)
-        .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-        .option("preferDate", False).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-    )
+    options = {
+        "encoding": charset(encoding), "sep": sep, "quote": '"', "escape": '"', "multiLine": str(multi_line).lower(), "preferDate": "false",
+        "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]", "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    }
+    reader = spark.read.options(**options).option("header", True)
+    if multi_line and options["encoding"] in ENCODINGS and len(sep) == 1 and sep.isascii():
+        # Without inference only the first header is read.
+        named = (reader.schema(schema) if schema is not None else reader.option("inferSchema", False)).csv(path).schema
+        if CORRUPT not in named.names and _largest_file(spark, path) > split_bytes:
+            split = _split_csv(spark, path, options, named, infer and schema is None)
+            if split is not None:
+                return split
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", infer).csv(path)
 
 
+def _largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file; no content is read."""
+    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+
+
+def _split_csv(spark: SparkSession, path: str, options: dict[str, str], named: T.StructType, infer: bool) -> DataFrame | None:
+    records = csv_records(spark, path, options["sep"])
+    if records is None:
+        return None
+    parts = [c for c in records.columns if c != "text"]
+    names = [c for c in named.names if c not in parts]
+    # A cast leaves bytes that are no UTF-8 to the CSV parser, as in an ordinary scan.
+    text = col("text").cast("string") if options["encoding"] == "utf-8" else F.decode("text", options["encoding"])
+    texts = records.withColumn("text", text)
+    kinds = [named[c].dataType for c in names]
+    if infer:
+        # Empty cells first: they set the number of columns and are of every type.
+        cells = spark.createDataFrame([(options["sep"].join(['""'] * len(names)),)], "text string")
+        typed = spark.read.options(**options).option("inferSchema", True).csv(cells.unionByName(texts.select("text")).rdd.map(lambda r: r[0]))
+        kinds = [f.dataType for f in typed.schema]
+    declared = ", ".join(f"c{i} {k.simpleString()}" for i, k in enumerate(kinds))
+    parsed = texts.select(F.from_csv("text", declared, options).alias("row"), *parts)
+    return parsed.select("row.*", *parts).toDF(*names, *parts)
+
+
 def read_control(spark: SparkSession, path: str) -> DataFrame:
     """Control sheet: the first row is the header and every cell is text."""
     return read_csv(spark, path, infer=False, multi_line=True)
