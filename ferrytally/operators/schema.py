@@ -69,12 +69,12 @@ def unique_names(names: DataFrame, name: Column, by: list[str], ordinal: str, ho
         contested = F.broadcast(contested)
     repeats = numbered.filter("__k > 1")
     moved = repeats.join(contested, same_key([*by, "__name"]), "left_semi").select(
-        *cols(by), F.col("__name").alias(_STEM), (F.col("__k") - 2).alias("__at"), F.lit(1).alias("__kind"),
-        F.struct(*cols(numbered.columns)).alias("__row"),
+        *cols(numbered.columns), F.col("__name").alias(_STEM), (F.col("__k") - 2).alias("__at"), F.lit(1).alias("__kind"),
     )
+    # The columns stay side by side: Spark cannot plan fields of a struct that are taken above the explosions of hot keys.
     ranked = number_within(
         moved.unionByName(places.drop(_NUMBER), allowMissingColumns=True), stem, ["__at", "__kind"], "__suffix", hot_rows
-    ).filter("__kind = 1").select("__row.*", "__suffix")
+    ).filter("__kind = 1").select(*cols(numbered.columns), "__suffix")
     others = numbered.filter("__k = 1").unionByName(repeats.join(contested, same_key([*by, "__name"]), "left_anti"))
     return _suffixed(others, F.col("__k") - 1).unionByName(_suffixed(ranked, F.col("__suffix")).drop("__suffix"))
 

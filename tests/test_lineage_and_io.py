@@ -109,6 +109,14 @@ def test_names_that_look_like_repeats(spark, hot_rows):
     assert len({(r["d"], r["final_name"]) for r in got}) == len(rows)
 
 
+def test_contested_names_numbered_as_hot_keys(spark):
+    """Repeats and taken numbers of one stem are a hot key, and only some columns of the rows are wanted."""
+    rows = [("p", o, "A" if o % 2 else f"A_{1 + o % 7}", o % 3) for o in range(120)]
+    df = spark.createDataFrame(rows, "d string, o int, n string, more int")
+    got = unique_names(df, F.col("n"), [], "o", hot_rows=10).drop("n", "more").collect()
+    assert {(r["d"], r["o"]): r["final_name"] for r in got} == kth_free([r[:3] for r in rows]) and len(got) == len(rows)
+
+
 def test_match_columns_cases(spark):
     left = spark.createDataFrame([("d", 1, "Order ID", "LONG"), ("d", 2, "Gone", "STRING"), ("only_left", 1, "x", "LONG")],
                                  "dataset string, ordinal int, name string, type string")
