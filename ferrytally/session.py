@@ -2,30 +2,53 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_TRIED: set[tuple[str, str]] = set()
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, from ``spark.checkpoint.dir``.
+    """The cluster's shared folder: ``spark.checkpoint.dir`` or, without one, a folder of its own in the warehouse.
 
-    A machine-local folder is used only by a local session that names none (tests).
+    A path of the file system may be a mount that all machines have, or a folder of one: rows are written there and
+    read back before it is first used. A machine-local folder is used only by a local session that names none (tests).
     """
     sc = spark.sparkContext
+    one_machine = re.match(r"local(\[|$)", sc.master) is not None
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if current is None and one_machine:
         current = tempfile.mkdtemp(prefix="ferrytally-")
-    elif current.startswith(("file:", "/")) and not sc.master.startswith("local"):
-        raise RuntimeError(f"{current} is a folder of one machine; set spark.checkpoint.dir to a shared one")
+    elif current is None:
+        current = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/ferrytally-{uuid.uuid4().hex[:12]}"
+    if not one_machine and current.startswith(("file:", "/")):
+        _try_out(spark, current)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
 
 
+def _try_out(spark: SparkSession, folder: str) -> None:
+    """Raise if what tasks write to a folder of the file system is not there for the driver and for other tasks."""
+    tried = (spark.sparkContext.applicationId, folder)
+    if tried in _TRIED:
+        return
+    rows = max(2, spark.sparkContext.defaultParallelism)
+    path = f"{folder.rstrip('/')}/tried-{uuid.uuid4().hex[:12]}"
+    try:
+        spark.range(0, rows, 1, rows).write.parquet(path)
+        found = spark.read.schema("id bigint").parquet(path).count()
+    except Exception as e:
+        raise RuntimeError(f"{folder} cannot be used by all executors; set spark.checkpoint.dir to a shared folder") from e
+    if found != rows:
+        raise RuntimeError(f"{folder} is a folder of one machine; set spark.checkpoint.dir to a shared one")
+    _TRIED.add(tried)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
