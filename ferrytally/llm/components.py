@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferrytally.llm.common import dropping_shuffles
 from ferrytally.session import materialise
 
 MAX_ROUNDS = 100
@@ -17,9 +18,10 @@ def components(links: DataFrame) -> DataFrame:
     smallest one, then its smaller ones. Rounds grow with the logarithm of the largest component.
     Each round ends in a reliable checkpoint. Links from a node to itself and repeats are ignored.
     """
-    edges = materialise(
-        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
-    )
+    with dropping_shuffles(links.sparkSession):
+        edges = materialise(
+            links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
+        )
     before = None
     for _ in range(MAX_ROUNDS):
         edges = materialise(_smaller_star(_larger_star(edges)))

@@ -330,9 +330,11 @@ def one_of_each(docs: DataFrame, shingle: int = 5, wide: Wide = Wide()) -> DataF
     same = [F.first(c).alias(c) for c in (*fingerprint_columns(wide.words), "n", "first", "cells")]
     texts = stored(light.groupBy("node").agg(least, *same))
     near = stored(pivot_pairs(texts, wide))
-    labelled = texts.filter("n > 0").join(components(near), "node", "left").withColumn("label", F.coalesce("root", "node"))
+    # What the many keys link is joined once: from here on a row for each node stands for it.
+    joined = stored(components(near))
+    labelled = texts.filter("n > 0").join(joined, "node", "left").withColumn("label", F.coalesce("root", "node"))
     rest = prefix_forest(stored(labelled.select("node", "label", "n", "first", "cells")), join.similar, join.chunk)
-    clusters = components(near.unionByName(rest))
+    clusters = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest))
     one = F.struct(F.col("least.__key").alias("row"), F.col("least.__id").alias("id")).alias("one")
     clustered = stored(clusters.join(texts, "node").select(F.col("root").alias("cluster"), "node", "n", one))
     classes_of = components(exact_links(clustered, lambda rows: with_sets(docs, rows, "doc_id", "text", join), join.similar, join.budget))

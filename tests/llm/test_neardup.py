@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from ferrytally.llm import common
 from ferrytally.llm import simhash_neardup as nd
 from ferrytally.llm.components import components
 from tests.llm import odd
@@ -143,6 +144,30 @@ def test_one_of_each(spark):
         assert max(similarity(text, t) for t in chosen) >= 0.5
 
 
+def test_links_of_many_keys_are_joined_once(spark, monkeypatch):
+    """Near copies share most keys: only the first components see all their links, the next ones a row for each text."""
+    rng, seen, real = random.Random(3), [], nd.components
+    monkeypatch.setattr(nd, "components", lambda links: (seen.append(links.count()), real(links))[1])
+    base, rows = odd.words(rng, 300).split(), []
+    for i in range(80):
+        w = list(base)
+        w[rng.randrange(300)] = f"changed{i}"
+        rows.append((i, " ".join(w)))
+    assert [r["doc_id"] for r in nd.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()] == [0]
+    assert seen[0] > 160 >= seen[1]
+
+
+def test_stored_rows_leave_no_shuffle_behind(spark):
+    """The setting holds while rows are written, and is as it was afterwards."""
+    at = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(at, None)
+    with common.dropping_shuffles(spark):
+        assert spark.conf.get(at) == "true"
+    assert spark.conf.get(at, None) == before
+    twice = common.stored(spark.range(100).groupBy("id").count())
+    assert twice.count() == 100 and twice.join(twice.select("id"), "id").count() == 100
+
+
 def test_the_cut_is_exact(spark):
     """Pairs on both sides of 0.8: all at or above it are joined, none below."""
     rng = random.Random(21)
