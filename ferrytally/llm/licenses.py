@@ -5,11 +5,14 @@ its lines does, so wrapped notices are found. A run is judged by its words and p
 of its first line, and is returned only if confirmed. A paragraph's features are the words and word pairs that the templates have,
 all of them, common or rare: a few hundred, as many as the templates need. A multinomial
 logistic regression with an L1 penalty, one class per family and one for everything else, is trained on
-the templates and on the paragraphs of at most ``sample`` documents; of those, the ones that hold
+the templates and on every paragraph of every document; of those, the ones that hold
 a template are labelled with its family, all others are unknown, and classes weigh the same. A paragraph gets
 the likeliest family if its probability passes a threshold that nearly all unknown training paragraphs
 stay below. A prediction is confirmed if the paragraph holds most of a template of that family.
 
+The features of all lines are worked out once and stored, as hashes. Paragraphs with the same features are one training row that weighs as
+many, which is the same fit. The threshold is taken to six decimals, so that its quantile keeps a million counts at most.
+
 Training and scoring stay in DataFrame operations; the driver holds weights only, one for each feature and family.
 
 Defined results: null and empty texts have no paragraph and give no row, nor have empty tables. Ties between families go
@@ -26,7 +29,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrytally.llm.common import let, table, upto
+from ferrytally.llm.common import let, stored, table, upto
 
 # The usual wording of common licences.
 TEMPLATES = {
@@ -89,8 +92,8 @@ UNKNOWN = "unknown"
 
 @dataclass(frozen=True)
 class Settings:
-    sample: int = 2_000  # documents whose paragraphs are trained on, at most
-    parts: int = 4  # of the training set, which is small: every iteration visits all of them
+    parts: int = 4  # of the training set, at least: every iteration visits all of them
+    part_rows: int = 20_000  # of a part of the training set
     penalty: float = 0.0005
     holds: float = 0.9  # of a template's features, to label a training paragraph
     confirms: float = 0.75  # of a template's features, to confirm a prediction
@@ -98,9 +101,9 @@ class Settings:
     least_probability: float = 0.5
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, number and text of every line with a word."""
-    lines = docs.select("doc_id", F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("paragraph", "line"))
+def paragraphs(numbered: DataFrame) -> DataFrame:
+    """doc_id, __row, number and text of every line with a word."""
+    lines = numbered.select("doc_id", "__row", F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("paragraph", "line"))
     return lines.filter(F.col("line").rlike("[\\p{L}\\p{N}]"))
 
 
@@ -109,14 +112,8 @@ def _line_breaks(text: Column) -> Column:
 
 
 def runs(numbered: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, __row, paragraph, line and hits of every run of lines that holds a template which none of its lines holds."""
-    spark = numbered.sparkSession
-    kept = [
-        sorted({r["h"] for r in rows}) for rows in
-        ([x for x in template["h"]] for template in template_table(spark).select(
-            F.transform("template", lambda g: F.struct(_gram_hash(g).alias("h"))).alias("h")
-        ).collect())
-    ]
+    """doc_id, __row, paragraph and hits of every run of lines that holds a template which none of its lines holds."""
+    kept = [hashes for _, hashes in template_hashes(numbered.sparkSession)]
     every = sorted({h for hashes in kept for h in hashes})
     templates = [F.array(*[F.lit(h) for h in hashes]) for hashes in kept]
 
@@ -151,7 +148,7 @@ def runs(numbered: DataFrame, settings: Settings) -> DataFrame:
     before = F.array_join(F.slice(pieces, 1, F.col("x.at")), "")
     blank = F.when(F.col("x.line").rlike("^[^\\S\n]*\n"), 1).otherwise(0)
     return found.select(
-        "doc_id", "__row", (_line_breaks(before) + blank).alias("paragraph"), F.col("x.line").alias("line"), F.col("x.hits").alias("hits")
+        "doc_id", "__row", (_line_breaks(before) + blank).alias("paragraph"), F.col("x.hits").alias("hits")
     )
 
 
@@ -183,6 +180,12 @@ def template_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "family string, line string").select("family", grams(F.col("line")).alias("template"))
 
 
+def template_hashes(spark: SparkSession) -> list[tuple[str, list[int]]]:
+    """Family and feature hashes of every template."""
+    rows = template_table(spark).select("family", F.transform("template", _gram_hash).alias("hashes")).collect()
+    return [(r["family"], sorted(set(r["hashes"]))) for r in rows]
+
+
 def _held(features: Column, template: Column) -> Column:
     """The share of a template's features that a paragraph has."""
     return F.size(F.array_intersect(features, template)) / F.size(template)
@@ -200,61 +203,61 @@ class Model:
         return F.zip_with(F.array(*[F.lit(x) for x in self.intercepts]), sums, lambda a, b: a + b)
 
 
-def training_rows(docs: DataFrame, settings: Settings) -> DataFrame:
-    """family, features of templates and of the paragraphs of a bounded sample of documents."""
-    spark = docs.sparkSession
-    templates = template_table(spark)
-    ids = docs.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(
-        settings.sample
-    ).select(F.col("doc_id").alias("__id"))
-    lines = paragraphs(docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("__id"), "left_semi"))
-    every = spark.createDataFrame(
-        [([(family, text) for family, texts in TEMPLATES.items() for text in texts],)],
-        "all array<struct<family: string, line: string>>",
-    ).select(F.transform("all", lambda x: F.struct(x["family"].alias("family"), grams(x["line"]).alias("template"))).alias("all"))
-    known = lines.select(grams(F.col("line")).alias("grams")).withColumn("__all", every.scalar())
-    best = F.array_max(F.transform("__all", lambda t: F.struct(
-        _held(F.col("grams"), t["template"]).alias("held"), F.size(t["template"]).alias("size"), t["family"].alias("family")
-    )))
-    labelled = known.withColumn("best", best).select(
-        F.when(F.col("best.held") >= settings.holds, F.col("best.family")).otherwise(UNKNOWN).alias("family"), "grams"
+def hit_lines(numbered: DataFrame) -> DataFrame:
+    """doc_id, __row, paragraph and hits of every paragraph: the hashes of its features, sorted; often there are none."""
+    every = sorted({h for _, hashes in template_hashes(numbered.sparkSession) for h in hashes})
+    hits = F.array_distinct(F.filter(hashed_grams(F.col("line")), lambda h: h.isin(every)))
+    return paragraphs(numbered).select("doc_id", "__row", "paragraph", F.sort_array(hits).alias("hits"))
+
+
+def training_rows(lines: DataFrame, settings: Settings) -> DataFrame:
+    """family, hits and number of the templates and of all paragraphs, those with the same hits as one row."""
+    known = template_hashes(lines.sparkSession)
+    templates = lines.sparkSession.createDataFrame(known, "family string, hits array<bigint>").withColumn("n", F.lit(1).cast("bigint"))
+    best = F.array_max(F.array(*[
+        F.struct(_held(F.col("hits"), F.array(*[F.lit(h) for h in hashes])).alias("held"), F.lit(len(hashes)).alias("size"), F.lit(family).alias("family"))
+        for family, hashes in known
+    ]))
+    labelled = lines.groupBy("hits").agg(F.count(F.lit(1)).alias("n")).withColumn("best", best).select(
+        F.when(F.col("best.held") >= settings.holds, F.col("best.family")).otherwise(UNKNOWN).alias("family"), "hits", "n"
     )
-    return templates.select("family", F.col("template").alias("grams")).unionByName(labelled)
+    return templates.unionByName(labelled)
 
 
-def vocabulary(spark: SparkSession) -> list[str]:
-    """The grams of all templates: what else is in a paragraph says nothing about its licence."""
-    return sorted({r["gram"] for r in template_table(spark).select(F.explode("template").alias("gram")).collect()})
+def vocabulary(spark: SparkSession) -> list[int]:
+    """The hashes of the grams of all templates: what else is in a paragraph says nothing about its licence."""
+    every = template_table(spark).select(F.explode("template").alias("gram")).distinct()
+    return [r["hash"] for r in every.select("gram", _gram_hash(F.col("gram")).alias("hash")).orderBy("gram").collect()]
 
 
-def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
-    spark = docs.sparkSession
+def train(lines: DataFrame, settings: Settings = Settings()) -> Model:
+    """The model of the ``hit_lines`` of all documents."""
+    spark = lines.sparkSession
     classes = [UNKNOWN, *sorted(TEMPLATES)]
-    rows = training_rows(docs, settings).withColumn(
+    rows = stored(training_rows(lines, settings).withColumn(
         "label", F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("family")).cast("double") - 1
-    ).repartition(settings.parts).persist()
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    total = sum(counts.values())
+    ))
+    counts = {r["label"]: r for r in rows.groupBy("label").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("sets")).collect()}
+    total, sets = (sum(r[c] for r in counts.values()) for c in ("n", "sets"))
     weight = F.lit(1.0)
-    for label, n in counts.items():
-        weight = F.when(F.col("label") == label, F.lit(total / len(counts) / n)).otherwise(weight)
-    rows = rows.withColumn("weight", weight)
-    vector = CountVectorizerModel.from_vocabulary(vocabulary(spark), "grams", "features").setBinary(True)
+    for label, r in counts.items():
+        weight = F.when(F.col("label") == label, F.lit(total / len(counts) / r["n"])).otherwise(weight)
+    rows = rows.repartition(max(settings.parts, -(-sets // settings.part_rows))).persist()
+    # The hashes are the words of the vocabulary.
+    hashes = vocabulary(spark)
+    vector = CountVectorizerModel.from_vocabulary([str(h) for h in hashes], "terms", "features").setBinary(True)
     fit = LogisticRegression(
         family="multinomial", regParam=settings.penalty, elasticNetParam=1.0, weightCol="weight", maxIter=25, standardization=False,
-    ).fit(vector.transform(rows))
+    ).fit(vector.transform(rows.select("label", F.col("hits").cast("array<string>").alias("terms"), (weight * F.col("n")).alias("weight"))))
     matrix = fit.coefficientMatrix.toArray()
     size = matrix.shape[0]
     kept = [i for i in range(matrix.shape[1]) if abs(matrix[:, i]).max() > 1e-6]
-    table_rows = [(vector.vocabulary[i], [float(x) for x in matrix[:, i]]) for i in kept]
-    weights = spark.createDataFrame(table_rows, "word string, w array<double>").select(_gram_hash(F.col("word")).alias("gram"), "w")
-    features = [r["gram"] for r in weights.select("gram").collect()]
+    features = [hashes[i] for i in kept]
+    weights = spark.createDataFrame([(hashes[i], [float(x) for x in matrix[:, i]]) for i in kept], "gram bigint, w array<double>")
     model = Model(weights, features, classes[:size], [float(x) for x in fit.interceptVector], 0.0)
-    unknown = rows.filter(F.col("label") == 0).select(
-        F.lit(None).cast("bigint").alias("doc_id"), F.monotonically_increasing_id().alias("paragraph"), F.array_join("grams", " ").alias("line"), "grams"
-    )
-    known = unknown.select("doc_id", "paragraph", F.transform("grams", _gram_hash).alias("found"))
-    limit = _probabilities(known, model).agg(F.percentile_approx("probability", settings.unknown_quantile, 10000)).first()[0]
+    unknown = rows.filter(F.col("label") == 0).select("n", F.monotonically_increasing_id().alias("paragraph"), F.col("hits").alias("found"))
+    likely = F.floor(F.col("probability") * 1e6) / 1e6
+    limit = _probabilities(unknown, model).agg(F.percentile(likely, settings.unknown_quantile, F.col("n"))).first()[0]
     rows.unpersist()
     return Model(weights, features, model.classes, model.intercepts, max(settings.least_probability, limit or 0.0))
 
@@ -286,20 +289,20 @@ def _probabilities(known: DataFrame, model: Model, least: float = 0.0) -> DataFr
 
 def scan(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per paragraph that is predicted to be a licence notice."""
-    model = train(docs, settings)
-    # A few hundred features: they are filtered where they are hashed, before a row is made of each.
-    found = F.array_distinct(F.filter(hashed_grams(F.col("line")), lambda h: h.isin(model.features)))
     # The row number tells repeated rows apart.
     numbered = docs.select("doc_id", "text").withColumn("__row", F.monotonically_increasing_id())
-    lines = numbered.select("doc_id", "__row", F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("paragraph", "line"))
-    known = lines.select("doc_id", "__row", "paragraph", "line", found.alias("found"), F.lit(False).alias("run"))
+    lines = stored(hit_lines(numbered))
+    model = train(lines, settings)
+    found = F.filter("hits", lambda h: h.isin(model.features))
+    known = lines.select("doc_id", "__row", "paragraph", "hits", found.alias("found"), F.lit(False).alias("run"))
     wrapped = runs(numbered, settings).select(
-        "doc_id", "__row", "paragraph", "line", F.col("hits").alias("found"), F.lit(True).alias("run")
+        "doc_id", "__row", "paragraph", "hits", F.col("hits").alias("found"), F.lit(True).alias("run")
     )
     predicted = _probabilities(known.unionByName(wrapped).filter(F.size("found") > 0), model, model.threshold).filter(F.col("probability") >= model.threshold)
-    compared = predicted.withColumn("grams", grams(F.col("line"))).join(F.broadcast(template_table(docs.sparkSession)), "family")
+    templates = docs.sparkSession.createDataFrame(template_hashes(docs.sparkSession), "family string, template array<bigint>")
+    compared = predicted.join(F.broadcast(templates), "family")
     best = compared.groupBy("doc_id", "__row", "paragraph", "run", "family", "probability").agg(
-        F.max(_held(F.col("grams"), F.col("template"))).alias("similarity")
+        F.max(_held(F.col("hits"), F.col("template"))).alias("similarity")
     )
     return best.filter(~F.col("run") | (F.col("similarity") >= settings.confirms)).select(
         "doc_id", "paragraph", "family", "probability", "similarity", (F.col("similarity") >= settings.confirms).alias("confirmed")

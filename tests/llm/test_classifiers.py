@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ferrytally.llm import language_id, licenses, toxicity
 from ferrytally.llm.common import table
@@ -193,6 +194,16 @@ def test_a_wrapped_notice_is_reported(spark):
     assert sorted((r["doc_id"], r["paragraph"], r["family"]) for r in got) == [(100, 3, "gpl-3.0"), (101, 1, "mit")]
 
 
+def test_every_document_trains_the_license_model(spark):
+    """Beyond the 2,000 documents that once were all it learned from, a line like a notice is common: it is none."""
+    rng = random.Random(21)
+    ids = [r[0] for r in spark.range(3000).orderBy(F.xxhash64("id"), "id").collect()]
+    rows = [(i, odd.words(rng, 8)) for i in ids[:2000]] + [(i, "Released under the MIT label.") for i in ids[2000:]]
+    rows.append((5000, "Licensed under CC BY 4.0."))
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert [(r["doc_id"], r["family"]) for r in got] == [(5000, "cc-by-4.0")]
+
+
 def test_rare_toxic_words_are_learned(spark):
     """A word in 1.5 % of the toxic documents and in no clean one."""
     rng = random.Random(16)
