@@ -42,3 +42,10 @@ def test_folder_of_one_machine(cluster, spark, tmp_path):
     empty = SimpleNamespace(schema=lambda kind: SimpleNamespace(parquet=lambda path: spark.createDataFrame([], kind)))
     with pytest.raises(RuntimeError, match="folder of one machine"):
         session.shared_dir(cluster(str(tmp_path / "own"), read=empty))
+
+
+def test_warehouse_of_executors_on_one_machine(cluster, tmp_path):
+    """Executors of a local cluster have temp folders of their own, so the driver's is none for them."""
+    at = cluster(None, f"file:{tmp_path}/tables")
+    at.sparkContext.master = "local-cluster[3,2,3000]"
+    assert session.shared_dir(at).startswith(f"file:{tmp_path}/tables/ferrytally-")
