@@ -108,7 +108,8 @@ def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str], how: str
     """Join ``rows`` with what was counted per key: ``counted`` has one row per key and its ``times``.
 
     The rows of hot keys are dealt into parts, and what was counted for those few keys is sent to every part.
-    Keys are not null.
+    Keys are not null. Neither side is broadcast: Spark takes rows that an explosion or a Python function made for as few as
+    went in, and would send many times what it expects through the driver.
     """
     counted = stored(counted)
     total = counted.agg(F.sum("times")).first()[0] or 0
@@ -121,4 +122,4 @@ def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str], how: str
     spread = counted.join(hot, keys, "left").withColumn(
         "__salt", F.explode(F.coalesce(every, F.array(F.lit(0).cast("bigint"))))
     ).drop("__hot")
-    return dealt.join(spread, [*keys, "__salt"], how).drop("__salt")
+    return dealt.join(spread.hint("merge"), [*keys, "__salt"], how).drop("__salt")

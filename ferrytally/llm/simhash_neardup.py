@@ -314,6 +314,8 @@ def pivot_pairs(texts: DataFrame, wide: Wide) -> DataFrame:
     kind = ", ".join(["k bigint", *[f"{w} bigint" for w in words]])
     keyed = named.select(*words).mapInArrow(_wide_keys(bases, wide.masks(named.count())), kind)
     links = linked(keyed, bases, wide.radius, wide.chunk)
+    # A row for each text: not to be broadcast, however small its file.
+    named = named.hint("merge")
     a, b = (named.select(*[F.col(w).alias(w.replace("fp", x)) for w in words], F.col("name").alias(x)) for x in "ab")
     near = links.join(a, [w.replace("fp", "a") for w in words]).join(b, [w.replace("fp", "b") for w in words]).select("a", "b")
     return near.unionByName(texts.filter("n > 0").join(named, words).select(F.col("name").alias("a"), F.col("node").alias("b")))
