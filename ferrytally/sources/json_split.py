@@ -3,8 +3,9 @@
 The members of one object inside it (``{"entities": {"key": {...}, ...}}``) become rows, read by as many tasks as the file has byte ranges.
 
 Files are cut at every ``}``, which Spark's text source does in parallel. A ``}`` may stand in a text value, so whether a range begins inside
-one, and how deep, is not known where it is read. Every range therefore reports what it does under both assumptions (one small row for a
-range), a pass over those rows in file order picks the true one, and a second pass over the ranges cuts out the members.
+one, and how deep, is not known where it is read. Every range therefore reports what it does under both assumptions (three numbers), and
+those rows in file order tell the true one. Knowing how deep it begins, every range reports how many members it ends (two values), and a
+third pass over the ranges cuts out the members. The driver holds these few numbers of each range and nothing that grows with what is in it.
 A member that goes on in the next range is put together from its pieces.
 
 A cut never falls inside an escape, as ``\\}`` is none in JSON.
@@ -14,12 +15,12 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ferrytally.session import materialise
@@ -46,34 +47,46 @@ def _braces(data: np.ndarray, outside: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at, np.cumsum(np.where(data[at] == _OPEN, 1, -1))
 
 
-class _Summary:
-    """What a range does if it begins outside (0) or inside (1) a text."""
+class _Turns:
+    """What a range does to texts and, if it begins outside (0) or inside (1) one, to the depth."""
 
     def __init__(self):
         self.flips = 0
         self.depth = [0, 0]
-        # By relative depth: how many braces close to it, and whether the last one that opens from it begins the wanted object.
-        self.closes: list[dict[int, int]] = [{}, {}]
-        self.opens: list[dict[int, int]] = [{}, {}]
 
-    def add(self, data: np.ndarray, wanted: np.ndarray) -> None:
+    def add(self, data: np.ndarray, key: tuple[str, int]) -> None:
         quotes, parity = _marks(data)
         for start in (0, 1):
-            at, depth = _braces(data, (parity ^ self.flips ^ start) == 0)
-            depth = depth + self.depth[start]
-            closing = data[at] == _CLOSE
-            for level, times in zip(*(x.tolist() for x in np.unique(depth[closing], return_counts=True))):
-                self.closes[start][level] = self.closes[start].get(level, 0) + times
-            opened, named = depth[~closing] - 1, np.isin(at[~closing], wanted)
-            for level in np.unique(opened).tolist():
-                self.opens[start][level] = int(named[np.flatnonzero(opened == level)[-1]])
-            self.depth[start] = int(depth[-1]) if len(depth) else self.depth[start]
+            _, depth = _braces(data, (parity ^ self.flips ^ start) == 0)
+            self.depth[start] += int(depth[-1]) if len(depth) else 0
         self.flips ^= int(quotes.sum()) % 2
 
     def row(self) -> tuple:
-        return (
-            self.flips, *self.depth, *[list(d.items()) for d in (*self.closes, *self.opens)]
-        )
+        return (self.flips, *self.depth)
+
+
+class _Ends:
+    """What a range that begins in a known state does to the members: how many it ends, and whether the last object that it opens at their
+    place is the wanted one (None: it opens none)."""
+
+    def __init__(self, begins: dict[tuple[str, int], _State], pattern: re.Pattern):
+        self.begins, self.pattern = begins, pattern
+        self.state, self.ends, self.named = None, 0, None
+
+    def add(self, data: np.ndarray, key: tuple[str, int]) -> None:
+        state = self.state or self.begins[key]
+        quotes, parity = _marks(data)
+        at, depth = _braces(data, (parity ^ state.inside) == 0)
+        depth = depth + state.depth
+        closing = data[at] == _CLOSE
+        self.ends += int(np.isin(depth[closing], (MEMBERS, MEMBERS - 1)).sum())
+        opened = at[~closing & (depth == MEMBERS)]
+        if len(opened):
+            self.named = any(m.end() - 1 == opened[-1] for m in self.pattern.finditer(data))
+        self.state = _State(state.inside ^ int(quotes.sum()) % 2, int(depth[-1]) if len(depth) else state.depth)
+
+    def row(self) -> tuple:
+        return (self.ends, self.named)
 
 
 def _wanted(name: str) -> re.Pattern:
@@ -97,12 +110,13 @@ class _State:
     def __init__(self, inside: int = 0, depth: int = 0, number: int = 0, named: bool = False):
         self.inside, self.depth, self.number, self.named = inside, depth, number, named
 
-    def after(self, row) -> _State:
-        """The state behind a range: closings to the members' depth or out of it are counted, as they end members."""
-        closes, opens = (dict(map(tuple, row[f"{kind}{self.inside}"] or [])) for kind in ("closes", "opens"))
-        ends = sum(closes.get(level - self.depth, 0) for level in (MEMBERS, MEMBERS - 1))
-        named = opens.get(MEMBERS - 1 - self.depth, self.named)
-        return _State(self.inside ^ row["flips"], self.depth + row[f"depth{self.inside}"], self.number + ends, bool(named))
+    def turned(self, row) -> _State:
+        """Where the next range begins: in a text or not, and how deep."""
+        return _State(self.inside ^ row["flips"], self.depth + row[f"depth{self.inside}"])
+
+    def counted(self, row) -> tuple[int, bool]:
+        """The number of members ended so far, and whether the object is the wanted one, behind a range."""
+        return self.number + row["ends"], self.named if row["named"] is None else row["named"]
 
 
 def object_members(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -114,33 +128,39 @@ def object_members(spark: SparkSession, path: str, name: str) -> DataFrame:
     records = spark.read.option("lineSep", "}").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("text")
     )
-    # Both passes must see the same ranges, whatever executors come and go in between.
+    # All passes must see the same ranges, whatever executors come and go in between.
     records = materialise(records)
     pattern = _wanted(name)
 
-    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[str, int], _Summary] = {}
-        for key, data in _ranges(batches):
-            wanted = np.array([m.end() - 1 for m in pattern.finditer(data)], np.int64)
-            found.setdefault(key, _Summary()).add(np.frombuffer(data, np.uint8), wanted)
-        for (file, start), summary in found.items():
-            yield pa.RecordBatch.from_pylist([dict(zip(kind.names, (file, start, *summary.row())))], schema=kind)
-
-    pair = pa.list_(pa.list_(pa.int64()))
-    kind = pa.schema([
-        ("file", pa.string()), ("start", pa.int64()), ("flips", pa.int64()), ("depth0", pa.int64()), ("depth1", pa.int64()),
-        ("closes0", pair), ("closes1", pair), ("opens0", pair), ("opens1", pair),
-    ])
-    pairs = "array<array<bigint>>"
-    rows = records.mapInArrow(
-        report, f"file string, start bigint, flips bigint, depth0 bigint, depth1 bigint, closes0 {pairs}, closes1 {pairs}, opens0 {pairs}, opens1 {pairs}"
-    ).collect()
+    def reported(make: Callable, kind: pa.Schema, schema: str) -> list[Row]:
+        """What each range does, in file order: a row of a few numbers for a range, whatever is in it."""
+        def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found: dict[tuple[str, int], object] = {}
+            for key, data in _ranges(batches):
+                if key not in found:
+                    found[key] = make()
+                found[key].add(np.frombuffer(data, np.uint8), key)
+            for (file, start), summary in found.items():
+                yield pa.RecordBatch.from_pylist([dict(zip(kind.names, (file, start, *summary.row())))], schema=kind)
+
+        return sorted(records.mapInArrow(report, schema).collect(), key=lambda r: (r["file"], r["start"]))
+
+    place = [("file", pa.string()), ("start", pa.int64())]
+    turns = pa.schema([*place, ("flips", pa.int64()), ("depth0", pa.int64()), ("depth1", pa.int64())])
     begins: dict[tuple[str, int], _State] = {}
     state, file = _State(), None
-    for row in sorted(rows, key=lambda r: (r["file"], r["start"])):
+    for row in reported(_Turns, turns, "file string, start bigint, flips bigint, depth0 bigint, depth1 bigint"):
         state, file = (state if row["file"] == file else _State()), row["file"]
         begins[file, row["start"]] = state
-        state = state.after(row)
+        state = state.turned(row)
+    # Which braces stand at the members' place is known only now: counted for every depth at once, a range might report as many as it has braces.
+    ends = pa.schema([*place, ("ends", pa.int64()), ("named", pa.bool_())])
+    file = None
+    for row in reported(lambda: _Ends(begins, pattern), ends, "file string, start bigint, ends bigint, named boolean"):
+        (number, named), file = ((number, named) if row["file"] == file else (0, False)), row["file"]
+        state = begins[file, row["start"]]
+        state.number, state.named = number, named
+        number, named = state.counted(row)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = None

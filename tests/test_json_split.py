@@ -88,3 +88,17 @@ def test_several_exports_in_a_file(spark, tmp_path, tiny_ranges):
     tiny_ranges(97)
     assert read(spark, tmp_path) == expected(documents * 2)
     assert lineage_edges(read_lineage(spark, str(tmp_path))).count() > 0
+
+
+@pytest.mark.parametrize("note", ["{", "}", '} " { {'])
+def test_the_driver_gets_a_few_numbers_of_each_range(spark, tmp_path, tiny_ranges, monkeypatch, note):
+    """However many braces stand in texts, and so count as members if a range is taken to begin inside one."""
+    document = {"about": {"a": note}, "entities": {f"K{i}": {"id": str(i), "note": note, "type": "DATAFLOW"} for i in range(1500)}}
+    (tmp_path / "one.json").write_text(json.dumps(document))
+    tiny_ranges(20_000)
+    sent, frame = [], type(spark.range(0))
+    monkeypatch.setattr(frame, "collect", lambda self, real=frame.collect: sent.extend(rows := real(self)) or rows)
+    members = json_split.object_members(spark, str(tmp_path), "entities")
+    assert len(sent) > 3 and max(len(str(tuple(row))) for row in sent) < 300
+    monkeypatch.undo()
+    assert members.count() > 0 and read(spark, tmp_path) == expected([document])
