@@ -5,10 +5,13 @@ A column table holds the columns of many datasets, so one job compares a whole c
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferrytally.columns import col, cols, partner_keys, same_key
 from ferrytally.functions.names import match_key, transform_name
@@ -87,20 +90,48 @@ def _suffixed(numbered: DataFrame, suffix: Column) -> DataFrame:
 def unique_in_header(names: DataFrame, name: Column, by: list[str], ordinal: str) -> DataFrame:
     """Add ``final_name``: a repeat takes the first suffix ``_1``, ``_2`` ... that no name before it in its header has.
 
-    The names of one header (the columns of one table) are folded together; all final names differ.
+    All final names differ. A name and its suffixed forms are alike up to the digits and ``_`` at their end, so the names of a header
+    that are alike up to there are gone through in order, by themselves and once: no number is tried again for a name. A null name stays
+    null, and so does every repeat after it in its header.
     """
-    def final(used: Column, own: Column) -> Column:
-        near = F.size(F.filter(used, lambda u: u.startswith(own)))
-        tries = F.transform(F.sequence(F.lit(1), near + 1), lambda k: F.concat(own, F.lit("_"), k.cast("string")))
-        free = F.get(F.filter(tries, lambda t: ~F.array_contains(used, t)), F.lit(0))
-        return F.concat(used, F.array(F.when(F.array_contains(used, own), free).otherwise(own)))
-
-    whole = F.struct(*cols(names.columns))
-    header = F.array_sort(F.collect_list(F.struct(col(ordinal).alias("o"), name.alias("n"), whole.alias("row"))))
-    headers = names.groupBy(*cols(by)).agg(header.alias("__header"))
-    folded = F.aggregate("__header", F.array().cast("array<string>"), lambda used, x: final(used, x["n"]))
-    each = headers.select(F.inline(F.arrays_zip(F.col("__header").alias("h"), folded.alias("final_name"))))
-    return each.select("h.row.*", "final_name")
+    columns = names.columns
+    named = names.withColumn("__name", name)
+    nulls = materialise(named.filter(F.col("__name").isNull()).groupBy(*cols(by)).agg(
+        F.bool_or(col(ordinal).isNull()).alias("__any"), F.min(col(ordinal)).alias("__first")
+    ))
+    late, count = F.lit(False), nulls.count()
+    if count:
+        # Null names come first among those of one ordinal, null ordinals before all others.
+        side = partner_keys(nulls, by)
+        named = named.join(F.broadcast(side) if count <= BROADCAST_KEYS else side, same_key(by) if by else F.lit(True), "left")
+        late = F.coalesce(F.col("__any") | (F.col("__first") <= col(ordinal)), F.lit(False))
+    stem = F.rtrim(F.col("__name"), F.lit("_0123456789"))
+    order = [col(ordinal), F.col("__name"), *cols(columns)]
+    place = F.row_number().over(Window.partitionBy(*cols(by), "__stem").orderBy(*[c.asc_nulls_first() for c in order]))
+    placed = named.withColumn("__stem", stem).select(*cols(columns), "__name", late.alias("__late"), (place == 1).alias("__begins"))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used: set[str] = set()
+        following: dict[str, int] = {}
+        for b in batches:
+            finals = []
+            for own, late, begins in zip(*(b.column(c).to_pylist() for c in ("__name", "__late", "__begins")), strict=True):
+                if begins:
+                    used, following = set(), {}
+                final = own
+                if own in used:
+                    number = following.get(own, 1)
+                    while f"{own}_{number}" in used:
+                        number += 1
+                    following[own] = number
+                    final = None if late else f"{own}_{number}"
+                if final is not None:
+                    used.add(final)
+                finals.append(final)
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(columns))], pa.array(finals, pa.string())], names=[*columns, "final_name"])
+
+    kept = placed.select(*cols(columns)).schema
+    return placed.mapInArrow(fold, T.StructType([*kept.fields, T.StructField("final_name", T.StringType())]))
 
 
 def _last_per_name(columns: DataFrame, name: Column) -> DataFrame:
