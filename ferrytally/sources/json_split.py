@@ -32,18 +32,25 @@ _QUOTE, _ESCAPE, _OPEN, _CLOSE = 34, 92, 123, 125
 MEMBERS = 2  # depth of the object whose members are wanted
 
 
-def _marks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which bytes are quotes that begin or end a text, and the parity of such quotes before each byte."""
-    at = np.arange(len(data))
-    plain = np.maximum.accumulate(np.where(data != _ESCAPE, at, -1))
-    before = np.concatenate([[-1], plain[:-1]])
-    quotes = (data == _QUOTE) & ((at - 1 - before) % 2 == 0)
-    return quotes, (np.cumsum(quotes) - quotes) % 2
-
-
-def _braces(data: np.ndarray, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of braces outside texts, and the change of depth after each."""
-    at = np.flatnonzero(((data == _OPEN) | (data == _CLOSE)) & outside)
+def _marks(data: np.ndarray) -> np.ndarray:
+    """Positions of the quotes that begin or end a text: those after an even number of backslashes."""
+    quotes = np.flatnonzero(data == _QUOTE)
+    escapes = np.flatnonzero(data == _ESCAPE)
+    if not len(quotes) or not len(escapes):
+        return quotes
+    # For each backslash, how many there are in a row up to it.
+    at = np.arange(len(escapes))
+    first = np.maximum.accumulate(np.where(np.diff(escapes, prepend=-2) > 1, at, 0))
+    run = at - first + 1
+    before = np.searchsorted(escapes, quotes) - 1
+    after = (before >= 0) & (escapes[before] == quotes - 1)
+    return quotes[~(after & (run[before] % 2 == 1))]
+
+
+def _braces(data: np.ndarray, quotes: np.ndarray, inside: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of braces outside texts, and the change of depth after each, if the data begins inside a text or not."""
+    at = np.flatnonzero((data == _OPEN) | (data == _CLOSE))
+    at = at[(np.searchsorted(quotes, at) + inside) % 2 == 0]
     return at, np.cumsum(np.where(data[at] == _OPEN, 1, -1))
 
 
@@ -55,11 +62,11 @@ class _Turns:
         self.depth = [0, 0]
 
     def add(self, data: np.ndarray, key: tuple[str, int]) -> None:
-        quotes, parity = _marks(data)
+        quotes = _marks(data)
         for start in (0, 1):
-            _, depth = _braces(data, (parity ^ self.flips ^ start) == 0)
+            _, depth = _braces(data, quotes, self.flips ^ start)
             self.depth[start] += int(depth[-1]) if len(depth) else 0
-        self.flips ^= int(quotes.sum()) % 2
+        self.flips ^= len(quotes) % 2
 
     def row(self) -> tuple:
         return (self.flips, *self.depth)
@@ -75,15 +82,15 @@ class _Ends:
 
     def add(self, data: np.ndarray, key: tuple[str, int]) -> None:
         state = self.state or self.begins[key]
-        quotes, parity = _marks(data)
-        at, depth = _braces(data, (parity ^ state.inside) == 0)
+        quotes = _marks(data)
+        at, depth = _braces(data, quotes, state.inside)
         depth = depth + state.depth
         closing = data[at] == _CLOSE
         self.ends += int(np.isin(depth[closing], (MEMBERS, MEMBERS - 1)).sum())
         opened = at[~closing & (depth == MEMBERS)]
         if len(opened):
             self.named = any(m.end() - 1 == opened[-1] for m in self.pattern.finditer(data))
-        self.state = _State(state.inside ^ int(quotes.sum()) % 2, int(depth[-1]) if len(depth) else state.depth)
+        self.state = _State(state.inside ^ len(quotes) % 2, int(depth[-1]) if len(depth) else state.depth)
 
     def row(self) -> tuple:
         return (self.ends, self.named)
@@ -197,8 +204,8 @@ class _Reader:
 
     def members(self, data: bytes) -> Iterator[tuple]:
         raw = np.frombuffer(data, np.uint8)
-        quotes, parity = _marks(raw)
-        at, depth = _braces(raw, (parity ^ self.inside) == 0)
+        quotes = _marks(raw)
+        at, depth = _braces(raw, quotes, self.inside)
         wanted = {m.end() - 1 for m in self.pattern.finditer(data)}
         before = np.concatenate([[0], depth[:-1]]) + self.depth
         depth = depth + self.depth
@@ -214,7 +221,7 @@ class _Reader:
                 # The closing brace of the object itself belongs to no member.
                 yield self._piece(data[begin:position + (now == MEMBERS)], not self.first)
             self.number, self.held, self.first, begin = self.number + 1, [], False, position + 1
-        self.inside ^= int(quotes.sum()) % 2
+        self.inside ^= len(quotes) % 2
         self.depth = int(depth[-1]) if len(depth) else self.depth
         if self._within():
             self.held.append(data[begin:])
