@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferrytally.session import scratch_path
+from ferrytally.session import dropping_shuffles, stored  # noqa: F401  (used by the operators)
 
 #: Fixed value: what separates words (space and the control characters 9 to 13).
 BLANK = "[\\x20\\x09-\\x0D]+"
@@ -75,29 +74,6 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(small, schema)
 
 
-#: Makes Spark drop the shuffle files of a query when it ends, not when the driver happens to collect its garbage.
-_DROPS = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
-    """For queries whose rows are written away: what they shuffled is of no more use."""
-    before = spark.conf.get(_DROPS, None)
-    spark.conf.set(_DROPS, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(_DROPS) if before is None else spark.conf.set(_DROPS, before)
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """The frame as a Parquet table in the shared folder: it cuts the lineage like a checkpoint and takes less room."""
-    path = scratch_path(df.sparkSession, "stored")
-    with dropping_shuffles(df.sparkSession):
-        df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 #: A key is hot from so many rows, or a thousandth of all; so at most a thousand keys are.
 HOT_ROWS = 1000
 HOT_SHARE = 1000

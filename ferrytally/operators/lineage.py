@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ferrytally.columns import col, cols
 from ferrytally.functions.cells import LIST_SEPARATOR, clean_ids, split_ids
+from ferrytally.operators.closure import closed_parts, labelled, split_parts
 from ferrytally.operators.numbering import HOT_ROWS, hot_keys, number_within, profile_keys, split_hot
-from ferrytally.session import materialise
+from ferrytally.session import materialise, stored
 
 _REF = "array<struct<id:string,type:string>>"
 LINEAGE_SCHEMA = f"entities map<string, struct<id:string,type:string,parents:{_REF},children:{_REF}>>"
@@ -176,7 +177,8 @@ def _extended(pairs: DataFrame, near: DataFrame, size: int, hot_rows: int) -> Da
 
     def joined(pairs: DataFrame, steps: DataFrame, *more: Column) -> DataFrame:
         on = reduce(lambda a, b: a & b, more, F.col("source_id") == F.col("__via"))
-        return pairs.join(steps, on).select(
+        # Pairs repeat their ids, so their files are small beside their rows: never broadcast.
+        return pairs.join(steps.hint("merge"), on).select(
             "output_id", F.col("__next").alias("source_id"), (F.col("hops") + F.col("__more")).alias("hops")
         )
 
@@ -191,23 +193,42 @@ def _extended(pairs: DataFrame, near: DataFrame, size: int, hot_rows: int) -> Da
     return joined(cold_part, step).unionByName(joined(dealt, hubs, F.col("__own") == F.col("__part")))
 
 
-def transitive_sources(edges: DataFrame, max_hops: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+# A connected part of up to this many edges is closed by one task.
+PART_EDGES = 20_000
+
+
+def transitive_sources(
+    edges: DataFrame, max_hops: int | None = None, hot_rows: int = HOT_ROWS, part_edges: int = PART_EDGES
+) -> DataFrame:
     """All ``(output_id, source_id)`` pairs reachable over ``edges``, in at most ``max_hops`` steps; cycles are safe.
 
+    Edges are split into connected parts first. Parts of up to ``part_edges`` edges (and ``hot_rows``) are closed by one task each, and their
+    pairs are made as they are used: only edges are stored. Larger parts are closed by joins (``_joined_sources``), whose pairs are stored.
+    """
+    if edges.schema["output_id"].dataType != edges.schema["source_id"].dataType:
+        return _joined_sources(edges, max_hops, hot_rows)
+    small, others, total = split_parts(labelled(edges.select("output_id", "source_id")), min(part_edges, hot_rows))
+    pairs = closed_parts(small, total, max_hops)
+    return pairs if others is None else pairs.unionByName(_joined_sources(others, max_hops, hot_rows))
+
+
+def _joined_sources(edges: DataFrame, max_hops: int | None, hot_rows: int) -> DataFrame:
+    """The same by joins, for parts of any size.
+
     The reach doubles in each round. With all pairs of distance up to ``span`` known, a pair farther apart by up to as
     much again has a node exactly ``span`` steps from its start, so one join of the pairs at that very distance with all known
     ones finds it, together with its distance. Rounds grow with the logarithm of the longest shortest path, and as
     shortest distances inside a cycle are short, cycles end it like anything else.
 
-    The rounds are checkpointed in the shared folder, so a lost executor re-reads a round instead of recomputing all of them.
+    The rounds are stored in the shared folder, so a lost executor re-reads a round instead of recomputing all of them.
     """
-    near = materialise(edges.select("output_id", "source_id", F.lit(1).cast("bigint").alias("hops")).distinct())
+    near = stored(edges.select("output_id", "source_id", F.lit(1).cast("bigint").alias("hops")).distinct())
     farthest, span = near, 1
     size = near.count()
     while size and (max_hops is None or span < max_hops):
         reached = _extended(farthest, near, size, hot_rows).groupBy("output_id", "source_id").agg(F.min("hops").alias("hops"))
-        known = near.select(F.col("output_id").alias("__o"), F.col("source_id").alias("__s"))
-        fresh = materialise(reached.join(
+        known = near.select(F.col("output_id").alias("__o"), F.col("source_id").alias("__s")).hint("merge")
+        fresh = stored(reached.join(
             known, (F.col("output_id") == F.col("__o")) & (F.col("source_id") == F.col("__s")), "left_anti"
         ))
         span *= 2

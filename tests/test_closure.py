@@ -5,7 +5,7 @@ from collections import deque
 
 import pytest
 
-from ferrytally.operators import lineage
+from ferrytally.operators import closure, lineage
 
 
 def plain(edges, limit=None):
@@ -62,3 +62,35 @@ def test_a_deep_chain_with_a_cycle_takes_few_rounds(spark, monkeypatch):
     # Every node of the chain reaches all later ones, and the six of the cycle each other and themselves.
     assert found.count() == 4090 * 4089 // 2 + 4090 * 6 + 36
     assert len(rounds) <= 15
+
+
+@pytest.mark.parametrize("hops", [None, 3])
+def test_parts_closed_by_a_task_and_by_joins(spark, hops, monkeypatch):
+    """Whatever the size from which parts are joined, and however many chunks their edges are read in."""
+    monkeypatch.setattr(closure, "CHUNK", 7)
+    rng = random.Random(5)
+    edges = [(base + rng.randrange(12), base + rng.randrange(12)) for base in range(0, 600, 20) for _ in range(rng.randrange(1, 25))]
+    edges += [(1000 + i, 1001 + i) for i in range(40)] + [(1040, 1037), (2000, 2000)]
+    rng.shuffle(edges)
+    expected = text(plain(edges, hops))
+    for size in (10, 100_000):
+        assert closed(spark, edges, max_hops=hops, part_edges=size) == expected
+
+
+def test_ends_that_are_null(spark):
+    """They are reached, or start, but nothing goes on through them."""
+    rows = [("a", "b"), ("b", None), (None, "b"), (None, None), ("c", None), ("d", "e"), ("e", "f")]
+    found = lineage.transitive_sources(spark.createDataFrame(rows, "output_id string, source_id string")).distinct().collect()
+    assert {tuple(r) for r in found} == {*rows, ("a", None), ("d", "f")}
+
+
+def test_pairs_of_small_parts_are_not_stored(spark, monkeypatch):
+    """Chains of 256 nodes have 128 pairs for each edge; files hold edges and their parts alone."""
+    rows = []
+    real = closure.stored
+    monkeypatch.setattr(closure, "stored", lambda df: (kept := real(df), rows.append(kept.count()))[0])
+    monkeypatch.setattr(lineage, "stored", lambda df: (kept := real(df), rows.append(kept.count()))[0])
+    edges = spark.range(64 * 256).selectExpr("CAST(id AS STRING) output_id", "CAST(IF(id % 256 = 255, id - 2, id + 1) AS STRING) source_id")
+    found = lineage.transitive_sources(edges)
+    assert found.count() == 64 * (253 * 252 // 2 + 253 * 3 + 9)
+    assert max(rows) <= 64 * 256
